@@ -28,9 +28,40 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     return F.broadcast(df) if n <= max_rows else df
 
 
+class CheckedDims(dict):
+    """Dimension tables whose broadcast decision is taken once, on first use.
+
+    A plan that looks the same dimension up several times (or a job that builds several
+    plans) pays for one bounded size check per dimension instead of one per lookup.
+    """
+
+    def __init__(self, dims: dict[str, DataFrame],
+                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
+        super().__init__()
+        self._raw = dims
+        self._max_rows = max_rows
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if not dict.__contains__(self, name):
+            dict.__setitem__(self, name, checked_broadcast(self._raw[name], self._max_rows))
+        return dict.__getitem__(self, name)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._raw
+
+    def keys(self):
+        return self._raw.keys()
+
+
+def dim_broadcast_mode(dims: dict) -> str:
+    """``as_is`` for :class:`CheckedDims` (already decided), ``check`` otherwise."""
+    return "as_is" if isinstance(dims, CheckedDims) else "check"
+
+
 def lookup(facts: DataFrame, dim: DataFrame, key: Column | str, columns: dict[str, str],
            dim_key: str = "id", missing: str = "keep", overwrite: tuple[str, ...] = (),
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+           broadcast: str = "check") -> DataFrame:
     """Enrich ``facts`` with ``columns`` (``{dim column: output column}``) of ``dim``.
 
     ``key`` is compared as text with ``dim_key`` (dimension tables are all-text).
@@ -38,14 +69,17 @@ def lookup(facts: DataFrame, dim: DataFrame, key: Column | str, columns: dict[st
     attributes; ``missing="drop"`` drops them, which is what the original observably did
     (its lookup threw and the record never completed).  Output columns listed in
     ``overwrite`` replace a same-named fact column, keeping the fact's value when the
-    dimension has none.
+    dimension has none.  ``broadcast="check"`` size-checks the dimension here;
+    ``"as_is"`` keeps whatever decision the caller already attached (``CheckedDims``).
     """
     k = F.col(key) if isinstance(key, str) else key
     tmp = {dst: f"__dim_{dst}" for dst in columns.values()}
     d = dim.select(F.col(dim_key).alias("__dim_key"),
                    *[F.col(src).alias(tmp[dst]) for src, dst in columns.items()])
     how = {"keep": "left", "drop": "inner"}[missing]
-    j = facts.join(checked_broadcast(d, max_broadcast_rows),
+    if broadcast == "check":
+        d = checked_broadcast(d, max_broadcast_rows)
+    j = facts.join(d,
                    k.cast("string") == F.col("__dim_key"), how).drop("__dim_key")
     for dst, t in tmp.items():
         if dst in overwrite and dst in facts.columns:

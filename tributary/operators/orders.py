@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.timefmt import age_in_years
-from tributary.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, lookup
+from tributary.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, dim_broadcast_mode, lookup
 from tributary.schemas import (MONEY, ORDER_JOIN_LOWER_S, ORDER_JOIN_UPPER_S, ORDER_WIDE_COLUMNS,
                                PAYMENT_JOIN_LOWER_S, PAYMENT_JOIN_UPPER_S, PAYMENT_WIDE_COLUMNS)
 
@@ -118,7 +118,8 @@ def enrich_order_wide(wide: DataFrame, dims: dict[str, DataFrame], as_of: Column
 
     ``as_of`` is the instant ages are computed at (default: now, as the original did).
     """
-    kw = {"missing": missing, "max_broadcast_rows": max_broadcast_rows}
+    kw = {"missing": missing, "max_broadcast_rows": max_broadcast_rows,
+          "broadcast": dim_broadcast_mode(dims)}
     keep = [c for c in wide.columns if c not in ("user_gender", "user_age", "province_name",
                                                  "province_area_code", "province_iso_code",
                                                  "province_3166_2_code", "category3_id", "spu_id",

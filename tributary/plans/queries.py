@@ -105,7 +105,7 @@ def dim_user(spark, sf_dir):
     from tributary.functions.timefmt import age_in_years
     from tributary.operators.lookup import lookup
     j = lookup(w.order_wide_base, w.dims["dim_user_info"], "user_id",
-               {"gender": "user_gender", "birthday": "birthday"})
+               {"gender": "user_gender", "birthday": "birthday"}, broadcast="as_is")
     return j.select("detail_id", "user_id", "user_gender",
                     age_in_years("birthday", w.as_of_col).alias("user_age"))
 
@@ -115,7 +115,8 @@ def dim_province(spark, sf_dir):
     from tributary.operators.lookup import lookup
     j = lookup(w.order_wide_base, w.dims["dim_base_province"], "province_id",
                {"name": "province_name", "area_code": "province_area_code",
-                "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code"})
+                "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code"},
+               broadcast="as_is")
     return j.select("detail_id", "province_id", "province_name", "province_area_code",
                     "province_iso_code", "province_3166_2_code")
 
@@ -125,7 +126,7 @@ def dim_sku(spark, sf_dir):
     from tributary.operators.lookup import lookup
     j = lookup(w.order_wide_base, w.dims["dim_sku_info"], "sku_id",
                {"sku_name": "sku_name", "category3_id": "category3_id", "spu_id": "spu_id",
-                "tm_id": "tm_id"}, overwrite=("sku_name",))
+                "tm_id": "tm_id"}, overwrite=("sku_name",), broadcast="as_is")
     return j.select("detail_id", "sku_id", "sku_name",
                     F.col("category3_id").try_cast("bigint").alias("category3_id"),
                     F.col("spu_id").try_cast("bigint").alias("spu_id"),
@@ -149,7 +150,7 @@ def dim_join(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
     from tributary.operators.lookup import lookup
     j = lookup(w.order_wide_base, w.dims["dim_user_info"], "user_id",
-               {"gender": "user_gender"}, missing="drop")
+               {"gender": "user_gender"}, missing="drop", broadcast="as_is")
     return j.select("detail_id", "user_id", "user_gender")
 
 

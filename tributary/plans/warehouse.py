@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.operators import cdc, logs, orders, stats, visits
+from tributary.operators.lookup import CheckedDims, lookup
+from tributary.plans.layers import materialize
 from tributary.session import configure
 from tributary.sources import changes as change_sources
 from tributary.sources import testdata
@@ -27,13 +29,20 @@ QUERY_AS_OF = "2024-06-01 00:00:00"
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, window: str = QUERY_WINDOW,
-                 within: str = QUERY_WITHIN, as_of: str | None = QUERY_AS_OF):
+                 within: str = QUERY_WITHIN, as_of: str | None = QUERY_AS_OF,
+                 layered: bool = True):
+        """``layered``: write fan-out layers (DWD logs, change envelopes, order wide)
+        once to the shared checkpoint folder instead of recomputing them per consumer."""
         self.spark = configure(spark)
+        self.layered = layered
         self.sf_dir = sf_dir
         self.window = window
         self.within = within
         self.as_of = as_of
 
+    def _layer(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if self.layered else df
+
     @property
     def as_of_col(self) -> Column | None:
         return F.to_timestamp(F.lit(self.as_of)) if self.as_of else None
@@ -49,11 +58,11 @@ class Warehouse:
 
     @cached_property
     def valid(self) -> DataFrame:
-        return logs.valid_logs(self.parsed)
+        return self._layer(logs.valid_logs(self.parsed), "dwd_valid_log")
 
     @cached_property
     def repaired(self) -> DataFrame:
-        return logs.repair_new_flag(self.valid)
+        return self._layer(logs.repair_new_flag(self.valid), "dwd_log")
 
     @cached_property
     def pages(self) -> DataFrame:
@@ -82,7 +91,7 @@ class Warehouse:
     # ---------------------------------------------------------------- order path
     @cached_property
     def dims(self) -> dict[str, DataFrame]:
-        return testdata.dims(self.spark, self.sf_dir)
+        return CheckedDims(testdata.dims(self.spark, self.sf_dir))
 
     @cached_property
     def order_info(self) -> DataFrame:
@@ -94,7 +103,8 @@ class Warehouse:
 
     @cached_property
     def order_wide_base(self) -> DataFrame:
-        return orders.order_wide_base(self.order_info, self.order_detail)
+        return self._layer(orders.order_wide_base(self.order_info, self.order_detail),
+                           "dwm_order_wide")
 
     def order_wide(self, missing: str = "keep") -> DataFrame:
         return orders.enrich_order_wide(self.order_wide_base, self.dims, as_of=self.as_of_col,
@@ -119,10 +129,10 @@ class Warehouse:
     @cached_property
     def province_stats(self) -> DataFrame:
         # Only the province attributes are needed: look up that one dimension.
-        from tributary.operators.lookup import lookup
         w = lookup(self.order_wide_base, self.dims["dim_base_province"], "province_id",
                    {"name": "province_name", "area_code": "province_area_code",
-                    "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code"})
+                    "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code"},
+                   broadcast="as_is")
         return stats.province_stats(w, size=self.window, with_ts=False)
 
     # -------------------------------------------------------------- search path
@@ -147,7 +157,7 @@ class Warehouse:
     def envelopes(self) -> DataFrame:
         """Normalised change events, serialised to the change topic and parsed back."""
         env = cdc.normalize_changes(self.raw_changes)
-        return cdc.parse_changes(cdc.envelope_json(env))
+        return self._layer(cdc.parse_changes(cdc.envelope_json(env)), "ods_base_db")
 
     @cached_property
     def routed(self) -> DataFrame:

@@ -35,6 +35,7 @@ def get_session(master: str | None = None, app_name: str = "tributary",
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", DEFAULT_TIME_ZONE)
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.sql.adaptive.skewJoin.enabled", "true"))

@@ -17,9 +17,22 @@ from tributary.operators.lookup import checked_broadcast
 from tributary.schemas import MONEY
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """A provided table.  Parquet timestamps load as TIMESTAMP_NTZ; the engine works in
+    session-zone TIMESTAMP, so they are cast.
+
+    ``spread``: a fact table stored as one unsplittable file (one row group) would be
+    scanned by a single task, leaving the other cores idle for every narrow step after
+    the scan.  Such a scan is round-robin repartitioned to the cluster's parallelism.
+    On real inputs (many files / row groups) the scan already has at least that many
+    partitions and nothing is added.  Dimension and configuration tables pass
+    ``spread=False``.
+    """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    # Parquet timestamps load as TIMESTAMP_NTZ; the engine works in session-zone TIMESTAMP.
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
     for f in df.schema.fields:
         if f.dataType.typeName() == "timestamp_ntz":
             df = df.withColumn(f.name, F.col(f.name).cast("timestamp"))
@@ -58,7 +71,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_log`` plus the page item (sku id / search phrase) and display count."""
     r = raw_log(spark, sf_dir)
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    part = table(spark, sf_dir, "part", spread=False).select("p_partkey", "p_name")
     j = r.join(checked_broadcast(part), r["k"] == part["p_partkey"], "left")
     et = F.col("event_type")
     return j.select(
@@ -98,7 +111,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------- order facts
 def order_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    c = table(spark, sf_dir, "customer", spread=False).select("c_custkey", "c_nationkey")
     j = o.join(c, o["o_custkey"] == c["c_custkey"])
     create_ms = _ms(F.col("o_orderdate")) + (F.col("o_orderkey") % 86400) * 1000 + 123
     return j.select(
@@ -178,7 +191,7 @@ def comment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------- dimensions
 def dim_user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 97 != 0)
+    c = table(spark, sf_dir, "customer", spread=False).filter(F.col("c_custkey") % 97 != 0)
     return c.select(
         F.col("c_custkey").cast("string").alias("id"),
         F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
@@ -187,8 +200,8 @@ def dim_user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_base_province(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
+    n = table(spark, sf_dir, "nation", spread=False)
+    r = table(spark, sf_dir, "region", spread=False)
     return n.join(r, n["n_regionkey"] == r["r_regionkey"]).select(
         F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"),
         F.col("r_name").alias("area_code"),
@@ -197,7 +210,7 @@ def dim_base_province(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_sku_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part", spread=False)
     return p.select(
         F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("sku_name"),
         F.col("p_retailprice").cast(MONEY).cast("string").alias("price"),
@@ -207,7 +220,7 @@ def dim_sku_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_spu_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part", spread=False)
     spu = F.floor(F.col("p_partkey") / 10)
     return p.select(spu.alias("spu")).distinct().select(
         F.col("spu").cast("string").alias("id"),
@@ -215,13 +228,13 @@ def dim_spu_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_base_trademark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part", spread=False)
     return p.select(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("")).alias("id"),
                     F.col("p_brand").alias("tm_name")).distinct()
 
 
 def dim_base_category3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part", spread=False)
     return p.select(F.col("p_size").cast("string").alias("id"),
                     F.concat(F.lit("category_"), F.col("p_size").cast("string")).alias("name")
                     ).distinct()
@@ -249,7 +262,7 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: seq, table_name, type, id, name, segment, birthday (epoch days, user rows
     only), b_name, b_segment (the row image before the change; NULL for inserts).
     """
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", spread=False)
     o = table(spark, sf_dir, "orders")
     k = F.col("c_custkey")
     upd_segment = F.concat(F.lit("S"), F.col("c_nationkey").cast("string"))
@@ -298,7 +311,7 @@ def raw_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Initial-snapshot records (op ``r``) of ``user_info``: the customers as they are."""
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", spread=False)
     return c.select(
         (F.col("c_custkey") - F.lit(10_000_000_000)).alias("offset"),
         F.lit(f"{SERVER}.{DATABASE}.user_info").alias("topic"), F.lit("r").alias("op"),
