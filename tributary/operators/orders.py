@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tributary.functions.timefmt import age_in_years
 from tributary.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, dim_broadcast_mode, lookup
 from tributary.schemas import (MONEY, ORDER_JOIN_LOWER_S, ORDER_JOIN_UPPER_S, ORDER_WIDE_COLUMNS,
-                               PAYMENT_JOIN_LOWER_S, PAYMENT_JOIN_UPPER_S, PAYMENT_WIDE_COLUMNS)
+                               PAYMENT_JOIN_LOWER_S, PAYMENT_JOIN_UPPER_S, PAYMENT_WIDE_COLUMNS,
+                               WATERMARK_DELAY)
 
 # Types of the wide-table fields (all amounts are DECIMAL, never DOUBLE).
 WIDE_TYPES = {
@@ -76,8 +77,14 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return lp.join(rp, cond, "inner")
 
 
+def _watermarked(df: DataFrame, time_col: str, delay: str | None) -> DataFrame:
+    """On a stream, bound the lateness of ``time_col`` (batch frames pass through)."""
+    return df.withWatermark(time_col, delay) if df.isStreaming and delay is not None else df
+
+
 def order_wide_base(info: DataFrame, detail: DataFrame, lower_s: int = ORDER_JOIN_LOWER_S,
-                    upper_s: int = ORDER_JOIN_UPPER_S) -> DataFrame:
+                    upper_s: int = ORDER_JOIN_UPPER_S,
+                    delay: str | None = WATERMARK_DELAY["order_wide"]) -> DataFrame:
     """J1 + J2: order x detail interval join and the merge projection.
 
     Times are compared at second precision (``create_ts``), as the original did.  Order
@@ -87,6 +94,7 @@ def order_wide_base(info: DataFrame, detail: DataFrame, lower_s: int = ORDER_JOI
     """
     info = order_times(info) if "rowtime" not in info.columns else info
     detail = detail_times(detail) if "rowtime" not in detail.columns else detail
+    info, detail = _watermarked(info, "rowtime", delay), _watermarked(detail, "rowtime", delay)
     j = interval_join(info, detail, "id", "order_id", "rowtime", "rowtime", lower_s, upper_s)
     from_info = {"order_id": "id", "order_status": "order_status", "create_time": "create_time",
                  "create_date": "create_date", "create_hour": "create_hour",
@@ -164,7 +172,8 @@ def merge_order_wide(this: DataFrame, other: DataFrame, key: str = "order_id") -
 
 
 def payment_wide(payment: DataFrame, wide: DataFrame, lower_s: int = PAYMENT_JOIN_LOWER_S,
-                 upper_s: int = PAYMENT_JOIN_UPPER_S) -> DataFrame:
+                 upper_s: int = PAYMENT_JOIN_UPPER_S,
+                 delay: str | None = WATERMARK_DELAY["payment_wide"]) -> DataFrame:
     """J3 + J4: payment x order-wide interval join and merge.
 
     The order-wide row's time (its ``create_time``, millisecond precision) must lie in
@@ -177,6 +186,7 @@ def payment_wide(payment: DataFrame, wide: DataFrame, lower_s: int = PAYMENT_JOI
     ow = wide.withColumn("owtime", F.timestamp_millis(_ms_col("create_time")))
     if "rowtime" in ow.columns:
         ow = ow.drop("rowtime")
+    pay, ow = _watermarked(pay, "paytime", delay), _watermarked(ow, "owtime", delay)
     j = interval_join(pay, ow, "order_id", "order_id", "paytime", "owtime", lower_s, upper_s)
     pay_fields = {"order_id", "user_id", "total_amount", "subject", "payment_type",
                   "callback_time"}

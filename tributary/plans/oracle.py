@@ -394,8 +394,7 @@ def _resolve(deps: tuple[str, ...]) -> list[str]:
     return order
 
 
-def build(name: str) -> str:
-    deps, body = BODIES[name]
+def build_body(deps: tuple[str, ...], body: str) -> str:
     ctes = _resolve(deps)
     if not ctes:
         return body.strip()
@@ -403,5 +402,34 @@ def build(name: str) -> str:
     return f"WITH {with_clause}\n{body.strip()}"
 
 
+def build(name: str) -> str:
+    return build_body(*BODIES[name])
+
+
+# Largest event time (ms) seen by each streaming job's watermark operator.
+STREAM_MAX: dict[str, tuple[tuple[str, ...], str]] = {
+    "keyword_stats": (("kw",), "SELECT max(ts_ms // 1000 * 1000) FROM kw"),
+    "unique_visit": (("page_log",), """
+SELECT max(ts_ms) FROM page_log WHERE last_page_id IS NULL OR last_page_id = ''"""),
+    "visitor_stats": (("vev",), "SELECT max(ts) FROM vev"),
+    "province_stats": (("ow_base",), "SELECT max(create_ms) FROM ow_base"),
+    "product_stats": (("pev",), "SELECT max(ts) FROM pev"),
+}
+
+
+def closed_windows(name: str, delay_ms: int, end_col: str = "edt") -> str:
+    """The batch oracle of ``name`` restricted to windows closed by the final watermark."""
+    return (f"SELECT * FROM ({build(name)}) AS q WHERE q.{end_col} <= "
+            f"(SELECT strftime(epoch_ms(m - {delay_ms}), {TS_FMT}) "
+            f"FROM ({build_body(*STREAM_MAX[name])}) AS mx(m))")
+
+
+def closed_unique_visits(delay_ms: int) -> str:
+    """Unique visits whose day the final watermark has passed."""
+    return (f"SELECT * FROM ({build('unique_visit')}) AS q "
+            f"WHERE epoch_us(CAST(q.visit_day AS TIMESTAMP)) // 1000 + 86400000 <= "
+            f"(SELECT m - {delay_ms} FROM ({build_body(*STREAM_MAX['unique_visit'])}) AS mx(m))")
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: build(name) for name in BODIES}

@@ -50,7 +50,7 @@ class Warehouse:
     # ------------------------------------------------------------------ log path
     @cached_property
     def log_lines(self) -> DataFrame:
-        return testdata.log_lines(self.spark, self.sf_dir)
+        return testdata.log_lines(self.spark, self.sf_dir).drop("ts_ms")
 
     @cached_property
     def parsed(self) -> DataFrame:

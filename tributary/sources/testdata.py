@@ -105,7 +105,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.col("ts_ms").alias("ts")))
     value = F.when(F.col("is_start"), start_json).otherwise(page_json)
     value = F.when(F.col("is_dirty"), F.substring(value, F.lit(1), (F.length(value) / 2).cast("int"))).otherwise(value)
-    return r.select(F.col("event_id").alias("offset"), value.alias("value"))
+    return r.select(F.col("event_id").alias("offset"), value.alias("value"),
+                    F.col("ts_ms").alias("ts_ms"))
 
 
 # ------------------------------------------------------------------- order facts

@@ -1,9 +1,188 @@
-"""Streaming forms of the registered queries (filled in below)."""
+"""Streaming forms of the jobs, registered as ``<name>_stream`` queries.
+
+Each job stages its input topics from the provided tables (time-ordered chunks, see
+``runner``), runs the same operator functions as the batch form on ``readStream``
+DataFrames with the original watermark delays, and returns what the sink received.
+Window aggregates run in append mode, so a window appears once the watermark has passed
+its end; the oracles therefore keep the windows with ``end <= max(event time) - delay``.
+"""
 
 from __future__ import annotations
 
-STREAM_QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tributary.functions.timefmt import duration_ms
+from tributary.operators import logs, orders, stats, visits
+from tributary.operators.lookup import CheckedDims, lookup
+from tributary.plans import oracle
+from tributary.plans.queries import ORDER_BASE_COLUMNS, PAYMENT_OUT
+from tributary.plans.warehouse import QUERY_WINDOW, Warehouse
+from tributary.schemas import COMMON, DISPLAY, PAGE, WATERMARK_DELAY
+from tributary.sources import testdata
+from tributary.streaming.runner import ChunkedTopics, run_chunks
+
+N_CHUNKS = 4
+
+LOG_TOPIC = T.StructType([T.StructField("offset", T.LongType()),
+                          T.StructField("value", T.StringType())])
+PAGE_RECORD = T.StructType([T.StructField("offset", T.LongType()),
+                            T.StructField("common", COMMON), T.StructField("page", PAGE),
+                            T.StructField("displays", T.ArrayType(DISPLAY)),
+                            T.StructField("ts", T.LongType())])
+
+
+def _ddl(df: DataFrame) -> T.StructType:
+    return df.schema
+
+
+def _log_topic(spark: SparkSession, sf_dir: str, name: str) -> ChunkedTopics:
+    lines = testdata.log_lines(spark, sf_dir)
+    return ChunkedTopics(spark, {"log": (lines, F.col("ts_ms"))}, N_CHUNKS, name)
+
+
+def keyword_stats_stream(spark, sf_dir):
+    """A5 on a stream: log topic -> parse -> search pages -> words -> 1 s watermark -> windows."""
+    Warehouse(spark, sf_dir, layered=False)            # applies the session settings
+    topics = _log_topic(spark, sf_dir, "keyword_stats")
+
+    def build():
+        pages = logs.page_logs(logs.valid_logs(logs.parse_logs(topics.read("log", LOG_TOPIC))))
+        words = stats.keyword_split(stats.search_terms(pages))
+        return stats.keyword_stats(words, size=QUERY_WINDOW, with_ts=False)
+    return run_chunks(spark, topics, build, "keyword_stats")
+
+
+def unique_visit_stream(spark, sf_dir):
+    """T2/T3 on a stream: first entry per visitor and day, state dropped by the watermark."""
+    Warehouse(spark, sf_dir, layered=False)
+    topics = _log_topic(spark, sf_dir, "unique_visit")
+
+    def build():
+        pages = logs.page_logs(logs.valid_logs(logs.parse_logs(topics.read("log", LOG_TOPIC))))
+        uv = visits.unique_visits(pages)
+        return uv.select("offset", F.col("common.mid").alias("mid"), "visit_day", "ts")
+    return run_chunks(spark, topics, build, "unique_visit")
+
+
+def _records(df: DataFrame) -> DataFrame:
+    return df.select("offset", "common", "page", "displays", "ts")
+
+
+def visitor_stats_stream(spark, sf_dir):
+    """A1 on a stream: unique-visit, bounce and page topics -> union -> 11 s watermark."""
+    w = Warehouse(spark, sf_dir)
+    topics = ChunkedTopics(spark, {
+        "uv": (_records(w.unique_visits), F.col("ts")),
+        "uj": (_records(w.bounces), F.col("ts")),
+        "pv": (_records(w.pages), F.col("ts")),
+    }, N_CHUNKS, "visitor_stats")
+
+    def build():
+        ev = stats.visitor_events(topics.read("uv", PAGE_RECORD), topics.read("uj", PAGE_RECORD),
+                                  topics.read("pv", PAGE_RECORD))
+        return stats.visitor_stats(ev, size=QUERY_WINDOW)
+    return run_chunks(spark, topics, build, "visitor_stats")
+
+
+def order_wide_stream(spark, sf_dir):
+    """J1 + J2 on streams: order and detail topics, 0 s watermarks, +-5 s interval join."""
+    Warehouse(spark, sf_dir, layered=False)
+    info = testdata.order_info(spark, sf_dir)
+    detail = testdata.order_detail(spark, sf_dir)
+    ms = lambda c: F.col(c).cast("bigint")
+    topics = ChunkedTopics(spark, {"info": (info, ms("create_time")),
+                                   "detail": (detail, ms("create_time"))}, N_CHUNKS, "order_wide")
+
+    def build():
+        j = orders.order_wide_base(topics.read("info", _ddl(info)),
+                                   topics.read("detail", _ddl(detail)))
+        return j.select(*ORDER_BASE_COLUMNS)
+    return run_chunks(spark, topics, build, "order_wide")
+
+
+def payment_wide_stream(spark, sf_dir):
+    """J3 + J4 on streams: payment and order-wide topics, -15 min .. +5 s interval join."""
+    w = Warehouse(spark, sf_dir)
+    pay = testdata.payment_info(spark, sf_dir)
+    ow = w.order_wide_base.drop("rowtime")
+    ms = lambda c: F.col(c).cast("bigint")
+    topics = ChunkedTopics(spark, {"payment": (pay, ms("create_time")),
+                                   "order_wide": (ow, ms("create_time"))}, N_CHUNKS, "payment_wide")
+
+    def build():
+        j = orders.payment_wide(topics.read("payment", _ddl(pay)),
+                                topics.read("order_wide", _ddl(ow)))
+        return j.select(*PAYMENT_OUT)
+    return run_chunks(spark, topics, build, "payment_wide")
+
+
+def province_stats_stream(spark, sf_dir):
+    """A4 on a stream: order-wide topic -> 0 s watermark -> distinct orders and amount."""
+    w = Warehouse(spark, sf_dir)
+    dims = CheckedDims(testdata.dims(spark, sf_dir))
+    ow = lookup(w.order_wide_base.drop("rowtime"), dims["dim_base_province"], "province_id",
+                {"name": "province_name", "area_code": "province_area_code",
+                 "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code"},
+                broadcast="as_is")
+    topics = ChunkedTopics(spark, {"order_wide": (ow, F.col("create_time").cast("bigint"))},
+                           N_CHUNKS, "province_stats")
+
+    def build():
+        return stats.province_stats(topics.read("order_wide", _ddl(ow)), size=QUERY_WINDOW,
+                                    with_ts=False)
+    return run_chunks(spark, topics, build, "province_stats")
+
+
+def product_stats_stream(spark, sf_dir):
+    """A2/A3 on a stream: seven topics -> union -> 2 s watermark -> sets -> lookups."""
+    w = Warehouse(spark, sf_dir)
+    s, d = spark, sf_dir
+    ms = lambda c: F.col(c).cast("string").cast("bigint")
+    pages = _records(w.pages)
+    ow = w.order_wide_base.select("sku_id", "sku_num", "order_price", "order_id", "create_time")
+    pw = w.payment_wide.select("sku_id", "order_price", "order_id", "payment_create_time")
+    inputs = {
+        "pages": (pages, F.col("ts")),
+        "favor": (testdata.favor_info(s, d), ms("create_time")),
+        "cart": (testdata.cart_info(s, d), ms("create_time")),
+        "order_wide": (ow, ms("create_time")),
+        "payment_wide": (pw, ms("payment_create_time")),
+        "refund": (testdata.order_refund_info(s, d), ms("create_time")),
+        "comment": (testdata.comment_info(s, d), ms("create_time")),
+    }
+    schemas = {k: _ddl(v[0]) for k, v in inputs.items()}
+    topics = ChunkedTopics(spark, inputs, N_CHUNKS, "product_stats")
+    dims = CheckedDims(testdata.dims(spark, sf_dir))
+
+    def build():
+        r = {k: topics.read(k, schemas[k]) for k in inputs}
+        ev = stats.product_events(r["pages"], r["favor"], r["cart"], r["order_wide"],
+                                  r["payment_wide"], r["refund"], r["comment"])
+        return stats.product_stats(ev, dims, size=QUERY_WINDOW)
+    return run_chunks(spark, topics, build, "product_stats")
+
+
+STREAM_QUERIES = {
+    "keyword_stats_stream": keyword_stats_stream,
+    "unique_visit_stream": unique_visit_stream,
+    "visitor_stats_stream": visitor_stats_stream,
+    "order_wide_stream": order_wide_stream,
+    "payment_wide_stream": payment_wide_stream,
+    "province_stats_stream": province_stats_stream,
+    "product_stats_stream": product_stats_stream,
+}
 
 
 def stream_oracle_sql() -> dict[str, str]:
-    return {}
+    delay = {k: duration_ms(v) for k, v in WATERMARK_DELAY.items()}
+    return {
+        "keyword_stats_stream": oracle.closed_windows("keyword_stats", delay["keyword_stats"]),
+        "unique_visit_stream": oracle.closed_unique_visits(delay["unique_visit"]),
+        "visitor_stats_stream": oracle.closed_windows("visitor_stats", delay["visitor_stats"]),
+        "order_wide_stream": oracle.build("order_wide_base"),
+        "payment_wide_stream": oracle.build("payment_wide"),
+        "province_stats_stream": oracle.closed_windows("province_stats", delay["province_stats"]),
+        "product_stats_stream": oracle.closed_windows("product_stats", delay["product_stats"]),
+    }
