@@ -431,5 +431,11 @@ def closed_unique_visits(delay_ms: int) -> str:
             f"(SELECT m - {delay_ms} FROM ({build_body(*STREAM_MAX['unique_visit'])}) AS mx(m))")
 
 
+def closed_bounces(delay_ms: int) -> str:
+    """Bounces whose pattern window the final watermark has passed (their timer fired)."""
+    return (f"SELECT * FROM ({build('bounce_detail')}) AS q WHERE q.ts + {W} <= "
+            f"(SELECT max(ts_ms) - {delay_ms} FROM ({build_body(('page_log',), 'SELECT ts_ms FROM page_log')}) AS p)")
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: build(name) for name in BODIES}

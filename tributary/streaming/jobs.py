@@ -18,9 +18,10 @@ from tributary.operators import logs, orders, stats, visits
 from tributary.operators.lookup import CheckedDims, lookup
 from tributary.plans import oracle
 from tributary.plans.queries import ORDER_BASE_COLUMNS, PAYMENT_OUT
-from tributary.plans.warehouse import QUERY_WINDOW, Warehouse
+from tributary.plans.warehouse import QUERY_WINDOW, QUERY_WITHIN, Warehouse
 from tributary.schemas import COMMON, DISPLAY, PAGE, WATERMARK_DELAY
 from tributary.sources import testdata
+from tributary.streaming import stateful
 from tributary.streaming.runner import ChunkedTopics, run_chunks
 
 N_CHUNKS = 4
@@ -164,7 +165,30 @@ def product_stats_stream(spark, sf_dir):
     return run_chunks(spark, topics, build, "product_stats")
 
 
+def visitor_new_flag_stream(spark, sf_dir):
+    """T1 on a stream: log topic -> parse -> per-visitor flag state (transformWithState)."""
+    Warehouse(spark, sf_dir, layered=False)
+    topics = _log_topic(spark, sf_dir, "new_flag")
+
+    def build():
+        return stateful.new_flag_stream(logs.valid_logs(logs.parse_logs(topics.read("log", LOG_TOPIC))))
+    return run_chunks(spark, topics, build, "new_flag")
+
+
+def bounce_detail_stream(spark, sf_dir):
+    """T4 on a stream: page records -> per-visitor buffer + event-time timers."""
+    Warehouse(spark, sf_dir, layered=False)
+    topics = _log_topic(spark, sf_dir, "bounce")
+
+    def build():
+        pages = logs.page_logs(logs.valid_logs(logs.parse_logs(topics.read("log", LOG_TOPIC))))
+        return stateful.bounce_stream(pages, within=QUERY_WITHIN)
+    return run_chunks(spark, topics, build, "bounce")
+
+
 STREAM_QUERIES = {
+    "visitor_new_flag_stream": visitor_new_flag_stream,
+    "bounce_detail_stream": bounce_detail_stream,
     "keyword_stats_stream": keyword_stats_stream,
     "unique_visit_stream": unique_visit_stream,
     "visitor_stats_stream": visitor_stats_stream,
@@ -178,6 +202,8 @@ STREAM_QUERIES = {
 def stream_oracle_sql() -> dict[str, str]:
     delay = {k: duration_ms(v) for k, v in WATERMARK_DELAY.items()}
     return {
+        "visitor_new_flag_stream": oracle.build("visitor_new_flag"),
+        "bounce_detail_stream": oracle.closed_bounces(delay["bounce"]),
         "keyword_stats_stream": oracle.closed_windows("keyword_stats", delay["keyword_stats"]),
         "unique_visit_stream": oracle.closed_unique_visits(delay["unique_visit"]),
         "visitor_stats_stream": oracle.closed_windows("visitor_stats", delay["visitor_stats"]),
