@@ -19,7 +19,9 @@ def read_dimension(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path) if fmt != "jdbc" else reader.load()
 
 
-def current_version(spark: SparkSession, root: str) -> DataFrame:
-    """Latest version directory written by :func:`tributary.sinks.dims.write_dimension_version`."""
-    from tributary.sinks.dims import latest_version_path
-    return spark.read.parquet(latest_version_path(spark, root))
+def current_dimension(spark: SparkSession, root: str, table: str, sink_columns: str,
+                      sink_pk: str | None = None) -> DataFrame:
+    """A dimension maintained by :mod:`tributary.sinks.dims` (snapshot + batch deltas),
+    read afresh on every call, so a job that calls it per micro-batch sees updates."""
+    from tributary.sinks.dims import dimension_table
+    return dimension_table(spark, root, table, sink_columns, sink_pk)

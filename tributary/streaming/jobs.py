@@ -186,7 +186,48 @@ def bounce_detail_stream(spark, sf_dir):
     return run_chunks(spark, topics, build, "bounce")
 
 
+def _run_routing(spark, sf_dir) -> str:
+    """Stage the change topic in chunks and run the routing job once per chunk."""
+    import uuid
+
+    from tributary.session import scratch_path
+    from tributary.sources.changes import RULE_ROW, STATIC_RULES
+    from tributary.streaming.routing import route_stream
+    w = Warehouse(spark, sf_dir)
+    env = w.envelopes
+    topics = ChunkedTopics(spark, {"changes": (env, F.col("offset"))}, N_CHUNKS, "routing")
+    rules_path = scratch_path(spark, "rules", uuid.uuid4().hex)
+    spark.createDataFrame(STATIC_RULES, RULE_ROW).write.json(rules_path)
+    out_root = scratch_path(spark, "routing", uuid.uuid4().hex)
+    ckpt = scratch_path(spark, "checkpoints", f"routing-{uuid.uuid4().hex}")
+    for i in range(topics.n):
+        topics.write_chunk(i)
+        route_stream(topics.read("changes", env.schema),
+                     lambda: spark.read.schema(RULE_ROW).json(rules_path), out_root, ckpt)
+    return out_root
+
+
+def route_facts_stream(spark, sf_dir):
+    """J6/P8/D2/K2 on a stream: facts per topic, rules re-read every micro-batch."""
+    root = _run_routing(spark, sf_dir)
+    facts = spark.read.schema("offset long, value string").json(f"{root}/facts")
+    m = F.from_json("value", "map<string,string>")
+    return facts.select("offset", "topic", m["id"].alias("id"), m["name"].alias("name"),
+                        F.array_join(F.array_sort(F.map_keys(m)), ",").alias("kept_keys"))
+
+
+def dim_upsert_stream(spark, sf_dir):
+    """D1/D5/K3 on a stream: per-batch dimension deltas merged into the current table."""
+    from tributary.sinks.dims import current_dimensions
+    root = _run_routing(spark, sf_dir)
+    d = current_dimensions(spark, f"{root}/dims")
+    return d.select("sink_table", "pk", F.col("row")["name"].alias("name"),
+                    F.col("row")["segment"].alias("segment"))
+
+
 STREAM_QUERIES = {
+    "route_facts_stream": route_facts_stream,
+    "dim_upsert_stream": dim_upsert_stream,
     "visitor_new_flag_stream": visitor_new_flag_stream,
     "bounce_detail_stream": bounce_detail_stream,
     "keyword_stats_stream": keyword_stats_stream,
@@ -202,6 +243,8 @@ STREAM_QUERIES = {
 def stream_oracle_sql() -> dict[str, str]:
     delay = {k: duration_ms(v) for k, v in WATERMARK_DELAY.items()}
     return {
+        "route_facts_stream": oracle.build("route_facts"),
+        "dim_upsert_stream": oracle.build("dim_upsert"),
         "visitor_new_flag_stream": oracle.build("visitor_new_flag"),
         "bounce_detail_stream": oracle.closed_bounces(delay["bounce"]),
         "keyword_stats_stream": oracle.closed_windows("keyword_stats", delay["keyword_stats"]),
