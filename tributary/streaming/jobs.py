@@ -22,7 +22,7 @@ from tributary.plans.warehouse import QUERY_WINDOW, QUERY_WITHIN, Warehouse
 from tributary.schemas import COMMON, DISPLAY, PAGE, WATERMARK_DELAY
 from tributary.sources import testdata
 from tributary.streaming import stateful
-from tributary.streaming.runner import ChunkedTopics, run_chunks
+from tributary.streaming.runner import ChunkedTopics, run_chunks, run_chunks_foreach
 
 N_CHUNKS = 4
 
@@ -225,7 +225,57 @@ def dim_upsert_stream(spark, sf_dir):
                     F.col("row")["segment"].alias("segment"))
 
 
+def stats_sink_columns(spark, sf_dir):
+    """K5: visitor statistics written through the OLAP sink (declared column order, one
+    folder per micro-batch id, replay-safe), read back from the sink table."""
+    import uuid
+
+    from tributary.session import scratch_path
+    from tributary.sinks.olap import olap_batch_writer
+    from tributary.schemas import VISITOR_STATS_COLUMNS
+    w = Warehouse(spark, sf_dir)
+    topics = ChunkedTopics(spark, {
+        "uv": (_records(w.unique_visits), F.col("ts")),
+        "uj": (_records(w.bounces), F.col("ts")),
+        "pv": (_records(w.pages), F.col("ts")),
+    }, N_CHUNKS, "visitor_sink")
+    out = scratch_path(spark, "olap", f"visitor_stats-{uuid.uuid4().hex}")
+
+    def build():
+        ev = stats.visitor_events(topics.read("uv", PAGE_RECORD), topics.read("uj", PAGE_RECORD),
+                                  topics.read("pv", PAGE_RECORD))
+        return stats.visitor_stats(ev, size=QUERY_WINDOW)
+    run_chunks_foreach(spark, topics, build, olap_batch_writer("visitor_stats", path=out),
+                       "visitor_sink")
+    return spark.read.parquet(out).select(*VISITOR_STATS_COLUMNS)
+
+
+def late_drop_stream(spark, sf_dir):
+    """After the last chunk, the first chunk arrives again; the watermark has passed
+    it, so every replayed row is dropped and the result equals the in-order run."""
+    import uuid
+
+    from tributary.session import scratch_path
+    Warehouse(spark, sf_dir, layered=False)
+    topics = _log_topic(spark, sf_dir, "late_drop")
+    out = scratch_path(spark, "sinks", f"late_drop-{uuid.uuid4().hex}")
+
+    def build():
+        pages = logs.page_logs(logs.valid_logs(logs.parse_logs(topics.read("log", LOG_TOPIC))))
+        words = stats.keyword_split(stats.search_terms(pages))
+        return stats.keyword_stats(words, size=QUERY_WINDOW, with_ts=False)
+
+    def handler(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id:012d}")
+    run_chunks_foreach(spark, topics, build, handler, "late_drop",
+                       extra=lambda: topics.write_replay(0))
+    cols = [c for c in build().columns]
+    return spark.read.parquet(out).select(*cols)
+
+
 STREAM_QUERIES = {
+    "stats_sink_columns": stats_sink_columns,
+    "late_drop_stream": late_drop_stream,
     "route_facts_stream": route_facts_stream,
     "dim_upsert_stream": dim_upsert_stream,
     "visitor_new_flag_stream": visitor_new_flag_stream,
@@ -243,6 +293,8 @@ STREAM_QUERIES = {
 def stream_oracle_sql() -> dict[str, str]:
     delay = {k: duration_ms(v) for k, v in WATERMARK_DELAY.items()}
     return {
+        "stats_sink_columns": oracle.closed_windows("visitor_stats", delay["visitor_stats"]),
+        "late_drop_stream": oracle.closed_windows("keyword_stats", delay["keyword_stats"]),
         "route_facts_stream": oracle.build("route_facts"),
         "dim_upsert_stream": oracle.build("dim_upsert"),
         "visitor_new_flag_stream": oracle.build("visitor_new_flag"),

@@ -44,6 +44,12 @@ class ChunkedTopics:
             (df.filter(F.col("__chunk") == i).drop("__chunk")
                .write.mode("append").json(f"{self.path(topic)}/chunk-{i:04d}"))
 
+    def write_replay(self, i: int, tag: str = "replay") -> None:
+        """Append chunk ``i`` again as a new, later arrival (late data for the watermark)."""
+        for topic, df in self.frames.items():
+            (df.filter(F.col("__chunk") == i).drop("__chunk")
+               .write.mode("append").json(f"{self.path(topic)}/chunk-{tag}-{i:04d}"))
+
     def read(self, topic: str, schema) -> DataFrame:
         """The topic as a stream (every chunk folder, in arrival order)."""
         return self.spark.readStream.schema(schema).json(f"{self.path(topic)}/*")
@@ -66,6 +72,23 @@ def run_chunks(spark: SparkSession, topics: ChunkedTopics, build: Callable[[], D
     return spark.read.schema(schema).parquet(out)
 
 
+def run_chunks_foreach(spark: SparkSession, topics: ChunkedTopics, build: Callable[[], DataFrame],
+                       handler: Callable[[DataFrame, int], None], name: str,
+                       extra: Callable[[], None] | None = None) -> None:
+    """Like :func:`run_chunks` but every micro-batch goes to ``handler(batch, batch_id)``.
+    ``extra`` runs after the last chunk (for example a replay of old data) followed by one
+    more ``availableNow`` run."""
+    ckpt = scratch_path(spark, "checkpoints", f"{name}-{uuid.uuid4().hex}")
+    steps = [lambda i=i: topics.write_chunk(i) for i in range(topics.n)]
+    if extra is not None:
+        steps.append(extra)
+    for step in steps:
+        step()
+        q = (build().writeStream.foreachBatch(handler).option("checkpointLocation", ckpt)
+               .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+
+
 def run_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
                       checkpoint: str) -> None:
     """Run ``df`` to completion with ``availableNow``, calling ``handler(batch, batch_id)``."""
