@@ -273,7 +273,53 @@ def late_drop_stream(spark, sf_dir):
     return spark.read.parquet(out).select(*cols)
 
 
+def dim_freshness_stream(spark, sf_dir):
+    """Order micro-batches enriched with the user dimension as it is *now*.
+
+    The routing stream and the order stream advance together, chunk by chunk; each
+    order micro-batch re-reads the dimension store inside ``foreachBatch``, so it sees
+    every dimension change routed before it (the original evicted its cache on update).
+    Rows-only check: the expected value depends on the interleaving of two streams.
+    """
+    import uuid
+
+    from tributary.session import scratch_path
+    from tributary.sinks.dims import dimension_table
+    from tributary.sources.changes import RULE_ROW, STATIC_RULES
+    from tributary.streaming.routing import route_stream
+    w = Warehouse(spark, sf_dir)
+    env = w.envelopes
+    ow = w.order_wide_base.select("detail_id", "order_id", "user_id", "create_time")
+    changes = ChunkedTopics(spark, {"changes": (env, F.col("offset"))}, N_CHUNKS, "fresh_changes")
+    facts = ChunkedTopics(spark, {"orders": (ow, F.col("create_time").cast("bigint"))},
+                          N_CHUNKS, "fresh_orders")
+    rules_path = scratch_path(spark, "rules", uuid.uuid4().hex)
+    spark.createDataFrame(STATIC_RULES, RULE_ROW).write.json(rules_path)
+    store = scratch_path(spark, "routing", uuid.uuid4().hex)
+    out = scratch_path(spark, "sinks", f"fresh-{uuid.uuid4().hex}")
+    ck_route = scratch_path(spark, "checkpoints", f"fresh-route-{uuid.uuid4().hex}")
+    ck_orders = scratch_path(spark, "checkpoints", f"fresh-orders-{uuid.uuid4().hex}")
+
+    def enrich(batch, batch_id):
+        users = dimension_table(spark, f"{store}/dims", "dim_user_info", "id,name,segment")
+        (lookup(batch, users, "user_id", {"segment": "user_segment"}, broadcast="check")
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite").parquet(f"{out}/batch={batch_id:012d}"))
+
+    for i in range(N_CHUNKS):
+        changes.write_chunk(i)
+        route_stream(changes.read("changes", env.schema),
+                     lambda: spark.read.schema(RULE_ROW).json(rules_path), store, ck_route)
+        facts.write_chunk(i)
+        q = (facts.read("orders", ow.schema).writeStream.foreachBatch(enrich)
+                  .option("checkpointLocation", ck_orders).trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(out).select("detail_id", "order_id", "user_id", "user_segment",
+                                          "batch_id")
+
+
 STREAM_QUERIES = {
+    "dim_freshness_stream": dim_freshness_stream,
     "stats_sink_columns": stats_sink_columns,
     "late_drop_stream": late_drop_stream,
     "route_facts_stream": route_facts_stream,
