@@ -18,6 +18,15 @@ from tributary.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Which layers each plan reads more than once (and therefore writes once).
+LOG_ONCE = frozenset({"dwd_valid_log"})              # repair reads the parsed log twice
+LOG_FANOUT = frozenset({"dwd_valid_log", "dwd_log"})  # the repaired log feeds several branches
+NONE = frozenset()
+
+
+def _w(spark, sf_dir, layers=NONE):
+    return Warehouse(spark, sf_dir, layers=layers)
+
 
 def _kept_keys(m: str = "data"):
     return F.array_join(F.array_sort(F.map_keys(F.col(m))), ",").alias("kept_keys")
@@ -25,18 +34,18 @@ def _kept_keys(m: str = "data"):
 
 # ------------------------------------------------------------------ log split
 def log_valid(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, NONE)
     return w.valid.select("offset", F.col("common.mid").alias("mid"),
                           F.col("common.is_new").alias("is_new"), "ts")
 
 
 def log_dirty(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, NONE)
     return logs.dirty_logs(w.parsed).select("offset", "dirty_reason")
 
 
 def log_start(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, LOG_ONCE)
     return w.starts.select("offset", F.col("common.mid").alias("mid"),
                            F.col("common.is_new").alias("is_new"), "ts",
                            F.get_json_object("start", "$.entry").alias("start_entry"),
@@ -45,44 +54,44 @@ def log_start(spark, sf_dir):
 
 
 def log_page(spark, sf_dir):
-    return logs.flat_log(Warehouse(spark, sf_dir).pages)
+    return logs.flat_log(_w(spark, sf_dir, LOG_ONCE).pages)
 
 
 def log_display(spark, sf_dir):
-    return logs.display_logs(Warehouse(spark, sf_dir).pages, carry=("offset",))
+    return logs.display_logs(_w(spark, sf_dir, LOG_ONCE).pages, carry=("offset",))
 
 
 def visitor_new_flag(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, LOG_ONCE)
     return w.repaired.select("offset", F.col("common.mid").alias("mid"),
                              F.col("common.is_new").alias("is_new"))
 
 
 # ---------------------------------------------------------------- visit detail
 def unique_visit(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, LOG_ONCE)
     return w.unique_visits.select("offset", F.col("common.mid").alias("mid"), "visit_day", "ts")
 
 
 def bounce_detail(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, LOG_FANOUT)
     return w.bounces.select("offset", F.col("common.mid").alias("mid"), "ts")
 
 
 def visitor_events(spark, sf_dir):
-    return Warehouse(spark, sf_dir).visitor_events
+    return _w(spark, sf_dir, LOG_FANOUT).visitor_events
 
 
 def visitor_stats(spark, sf_dir):
-    return Warehouse(spark, sf_dir).visitor_stats
+    return _w(spark, sf_dir, LOG_FANOUT).visitor_stats
 
 
 def daily_active(spark, sf_dir):
-    return stats.daily_active(Warehouse(spark, sf_dir).visitor_stats)
+    return stats.daily_active(_w(spark, sf_dir, LOG_FANOUT).visitor_stats)
 
 
 def bounce_rate(spark, sf_dir):
-    return stats.bounce_rate(Warehouse(spark, sf_dir).visitor_stats)
+    return stats.bounce_rate(_w(spark, sf_dir, LOG_FANOUT).visitor_stats)
 
 
 # ------------------------------------------------------------------ order path
@@ -97,11 +106,11 @@ ORDER_BASE_COLUMNS = ["detail_id", "order_id", "sku_id", "order_price", "sku_num
 
 
 def order_wide_base(spark, sf_dir):
-    return Warehouse(spark, sf_dir).order_wide_base.select(*ORDER_BASE_COLUMNS)
+    return _w(spark, sf_dir, NONE).order_wide_base.select(*ORDER_BASE_COLUMNS)
 
 
 def dim_user(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, NONE)
     from tributary.functions.timefmt import age_in_years
     from tributary.operators.lookup import lookup
     j = lookup(w.order_wide_base, w.dims["dim_user_info"], "user_id",
@@ -111,7 +120,7 @@ def dim_user(spark, sf_dir):
 
 
 def dim_province(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, NONE)
     from tributary.operators.lookup import lookup
     j = lookup(w.order_wide_base, w.dims["dim_base_province"], "province_id",
                {"name": "province_name", "area_code": "province_area_code",
@@ -122,7 +131,7 @@ def dim_province(spark, sf_dir):
 
 
 def dim_sku(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, NONE)
     from tributary.operators.lookup import lookup
     j = lookup(w.order_wide_base, w.dims["dim_sku_info"], "sku_id",
                {"sku_name": "sku_name", "category3_id": "category3_id", "spu_id": "spu_id",
@@ -142,12 +151,12 @@ ORDER_WIDE_OUT = ["detail_id", "order_id", "sku_id", "sku_name", "order_price",
 
 
 def order_wide(spark, sf_dir):
-    return Warehouse(spark, sf_dir).order_wide().select(*ORDER_WIDE_OUT)
+    return _w(spark, sf_dir, NONE).order_wide().select(*ORDER_WIDE_OUT)
 
 
 def dim_join(spark, sf_dir):
     """Generic enrichment with the observed missing-row rule: facts without a user row drop."""
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, NONE)
     from tributary.operators.lookup import lookup
     j = lookup(w.order_wide_base, w.dims["dim_user_info"], "user_id",
                {"gender": "user_gender"}, missing="drop", broadcast="as_is")
@@ -156,7 +165,7 @@ def dim_join(spark, sf_dir):
 
 def order_wide_merge(spark, sf_dir):
     """First-non-null merge: each joined row's detail half completed by its order's fields."""
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, NONE)
     base = w.order_wide_base.select(*ORDER_BASE_COLUMNS)
     info_cols = ["province_id", "order_status", "user_id", "total_amount", "create_time",
                  "create_date", "create_hour"]
@@ -174,48 +183,48 @@ PAYMENT_OUT = ["payment_id", "payment_type", "payment_create_time", "order_creat
 
 
 def payment_wide(spark, sf_dir):
-    return Warehouse(spark, sf_dir).payment_wide.select(*PAYMENT_OUT)
+    return _w(spark, sf_dir, NONE).payment_wide.select(*PAYMENT_OUT)
 
 
 def province_stats(spark, sf_dir):
-    return Warehouse(spark, sf_dir).province_stats
+    return _w(spark, sf_dir, NONE).province_stats
 
 
 # ----------------------------------------------------------------- product path
 def product_clicks(spark, sf_dir):
-    return stats.product_clicks(Warehouse(spark, sf_dir).pages)
+    return stats.product_clicks(_w(spark, sf_dir, LOG_ONCE).pages)
 
 
 def product_displays(spark, sf_dir):
-    return stats.product_displays(Warehouse(spark, sf_dir).pages)
+    return stats.product_displays(_w(spark, sf_dir, LOG_ONCE).pages)
 
 
 def product_events(spark, sf_dir):
-    return Warehouse(spark, sf_dir).product_events
+    return _w(spark, sf_dir, LOG_FANOUT | {"dwm_order_wide"}).product_events
 
 
 def product_stats(spark, sf_dir):
-    return Warehouse(spark, sf_dir).product_stats
+    return _w(spark, sf_dir, LOG_FANOUT | {"dwm_order_wide"}).product_stats
 
 
 # ------------------------------------------------------------------ search path
 def search_terms(spark, sf_dir):
-    return Warehouse(spark, sf_dir).search_terms.select("offset", "full_word", "ts")
+    return _w(spark, sf_dir, LOG_ONCE).search_terms.select("offset", "full_word", "ts")
 
 
 def keyword_split(spark, sf_dir):
-    return Warehouse(spark, sf_dir).keyword_words.select("offset", "word")
+    return _w(spark, sf_dir, LOG_ONCE).keyword_words.select("offset", "word")
 
 
 def keyword_tokens_query(spark, sf_dir):
-    t = Warehouse(spark, sf_dir).search_terms
+    t = _w(spark, sf_dir, LOG_ONCE).search_terms
     toks = keyword_tokens("full_word")
     return t.select("offset", "full_word", F.size(toks).cast("bigint").alias("n_words"),
                     F.array_join(toks, " ").alias("words"))
 
 
 def keyword_stats(spark, sf_dir):
-    return Warehouse(spark, sf_dir).keyword_stats
+    return _w(spark, sf_dir, LOG_ONCE).keyword_stats
 
 
 # ------------------------------------------------------------------- CDC path
@@ -231,12 +240,12 @@ def cdc_normalize(spark, sf_dir):
 
 
 def cdc_table_filter(spark, sf_dir):
-    env = cdc.filter_tables(Warehouse(spark, sf_dir).envelopes, tables=["gmall.user_info"])
+    env = cdc.filter_tables(_w(spark, sf_dir, NONE).envelopes, tables=["gmall.user_info"])
     return env.select("offset", F.col("tableName").alias("table_name"), "type")
 
 
 def cdc_initial(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
+    w = _w(spark, sf_dir, NONE)
     snap = cdc.normalize_changes(testdata.snapshot_records(spark, sf_dir))
     env = cdc.with_startup(snap, w.envelopes, mode="initial")
     return env.select("offset", F.col("tableName").alias("table_name"), "type",
@@ -244,25 +253,25 @@ def cdc_initial(spark, sf_dir):
 
 
 def cdc_no_delete(spark, sf_dir):
-    env = cdc.drop_deletes(Warehouse(spark, sf_dir).envelopes)
+    env = cdc.drop_deletes(_w(spark, sf_dir, NONE).envelopes)
     return env.select("offset", F.col("tableName").alias("table_name"), "type")
 
 
 def route_columns(spark, sf_dir):
-    r = Warehouse(spark, sf_dir).routed.filter("matched")
+    r = _w(spark, sf_dir, NONE).routed.filter("matched")
     return r.select("offset", F.col("sinkType").alias("sink_type"),
                     F.col("sinkTable").alias("sink_table"), _kept_keys())
 
 
 def route_facts(spark, sf_dir):
-    r = cdc.facts(Warehouse(spark, sf_dir).routed)
+    r = cdc.facts(_w(spark, sf_dir, NONE).routed)
     return r.select("offset", F.col("sinkTable").alias("topic"),
                     F.col("data")["id"].alias("id"), F.col("data")["name"].alias("name"),
                     _kept_keys())
 
 
 def route_dims(spark, sf_dir):
-    r = cdc.dimensions(Warehouse(spark, sf_dir).routed)
+    r = cdc.dimensions(_w(spark, sf_dir, NONE).routed)
     return r.select("offset", F.col("sinkTable").alias("sink_table"),
                     F.col("data")["id"].alias("id"), F.col("data")["name"].alias("name"),
                     F.col("data")["segment"].alias("segment"), _kept_keys())
@@ -270,12 +279,12 @@ def route_dims(spark, sf_dir):
 
 def route_unmatched(spark, sf_dir):
     """Changes no rule version covered when they arrived (the update rule comes late)."""
-    r = cdc.unmatched(Warehouse(spark, sf_dir).routed_versions)
+    r = cdc.unmatched(_w(spark, sf_dir, NONE).routed_versions)
     return r.select("offset", F.col("tableName").alias("table_name"), "type")
 
 
 def route_rules(spark, sf_dir):
-    r = Warehouse(spark, sf_dir).routed_versions.filter("matched")
+    r = _w(spark, sf_dir, NONE).routed_versions.filter("matched")
     return r.select("offset", F.col("tableName").alias("table_name"), "type",
                     F.col("valid_from").alias("rule_version"),
                     F.col("sinkType").alias("sink_type"), F.col("sinkTable").alias("sink_table"),
@@ -283,19 +292,19 @@ def route_rules(spark, sf_dir):
 
 
 def dim_upsert(spark, sf_dir):
-    d = cdc.upsert_dimensions(cdc.dimensions(Warehouse(spark, sf_dir).routed))
+    d = cdc.upsert_dimensions(cdc.dimensions(_w(spark, sf_dir, NONE).routed))
     return d.select("sink_table", "pk", F.col("row")["name"].alias("name"),
                     F.col("row")["segment"].alias("segment"))
 
 
 def cdc_snapshot(spark, sf_dir):
-    s = cdc.snapshot(Warehouse(spark, sf_dir).envelopes)
+    s = cdc.snapshot(_w(spark, sf_dir, frozenset({"ods_base_db"})).envelopes)
     return s.select(F.col("tableName").alias("table_name"), "pk",
                     F.col("row")["name"].alias("name"), F.col("row")["segment"].alias("segment"))
 
 
 def cdc_retract(spark, sf_dir):
-    r = cdc.retract_stream(Warehouse(spark, sf_dir).envelopes, ["id", "name", "segment"])
+    r = cdc.retract_stream(_w(spark, sf_dir, NONE).envelopes, ["id", "name", "segment"])
     return r.select("seq", F.col("tableName").alias("table_name"), F.col("pos").cast("bigint")
                     .alias("pos"), "flag", "id", "name", "segment")
 

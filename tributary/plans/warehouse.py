@@ -26,22 +26,27 @@ QUERY_WINDOW = "1 day"
 QUERY_WITHIN = "6 hours"
 QUERY_AS_OF = "2024-06-01 00:00:00"
 
+# Layers a plan may fan out from (the topics between the original jobs).
+LAYERS = frozenset({"dwd_valid_log", "dwd_log", "dwm_order_wide", "ods_base_db"})
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, window: str = QUERY_WINDOW,
                  within: str = QUERY_WITHIN, as_of: str | None = QUERY_AS_OF,
-                 layered: bool = True):
-        """``layered``: write fan-out layers (DWD logs, change envelopes, order wide)
-        once to the shared checkpoint folder instead of recomputing them per consumer."""
+                 layered: bool = True, layers: frozenset[str] | None = None):
+        """``layered``: write fan-out layers once to the shared checkpoint folder instead of
+        recomputing them per consumer.  ``layers`` limits that to the named layers
+        (``LAYERS``); a plan that reads a layer only once gains nothing from writing it."""
         self.spark = configure(spark)
         self.layered = layered
+        self.layers = LAYERS if layers is None else frozenset(layers)
         self.sf_dir = sf_dir
         self.window = window
         self.within = within
         self.as_of = as_of
 
     def _layer(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if self.layered else df
+        return materialize(df, name) if self.layered and name in self.layers else df
 
     @property
     def as_of_col(self) -> Column | None:
