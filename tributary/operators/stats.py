@@ -169,34 +169,27 @@ def product_stats_raw(events: DataFrame, size: str = WINDOW_SIZE,
                       delay: str | None = WATERMARK_DELAY["product_stats"]) -> DataFrame:
     """A2 + A3 before the lookups: sums and exact distinct order counts per (window, sku).
 
-    Batch: two aggregation phases, no Expand.  Phase 1 groups by (window, sku, order id
-    of the event's kind) so each distinct order collapses to one row map-side; phase 2
-    sums and counts those rows.  Stream: one stateful aggregate whose distinct counts are
-    ``size(collect_set(...))`` (Spark rejects COUNT DISTINCT on streams); the sets are per
-    sku and window, so they stay small for short windows.
+    Two aggregation phases, no Expand and no sets: phase 1 groups by (window, sku, kind,
+    order id of that kind) so each distinct order collapses to one row (map-side partial
+    aggregation first, so a hot sku is pre-aggregated before any shuffle); phase 2 sums
+    those rows and counts the ids per kind.  On a stream the two phases are chained
+    stateful aggregations in append mode (Spark rejects COUNT DISTINCT on streams): state
+    is one row per (window, sku, order), never a growing set per (window, sku).
     """
     df, win = _windowed(events, event_time("ts"), size, delay)
-    if df.isStreaming:
-        agg = df.groupBy(win.alias("window"), "sku_id").agg(
-            *[F.sum(c).cast("bigint").alias(c) for c in PRODUCT_SUMS],
-            *[F.sum(c).cast(t).alias(c) for c, t in PRODUCT_AMOUNTS.items()],
-            *[F.size(F.collect_set(src)).cast("bigint").alias(out)
-              for out, src in PRODUCT_SETS.items()],
-            F.min("ts").alias("ts"))
-    else:
-        kind_id = F.coalesce(*[F.col(src) for src in PRODUCT_SETS.values()])
-        kind = F.when(F.col("order_id").isNotNull(), 1).when(F.col("paid_order_id").isNotNull(), 2) \
-                .when(F.col("refund_order_id").isNotNull(), 3).otherwise(0)
-        df = df.withColumn("window", win).withColumn("__kid", kind_id).withColumn("__kind", kind)
-        p1 = df.groupBy("window", "sku_id", "__kind", "__kid").agg(
-            *[F.sum(c).alias(c) for c in PRODUCT_SUMS],
-            *[F.sum(c).alias(c) for c in PRODUCT_AMOUNTS], F.min("ts").alias("ts"))
-        agg = p1.groupBy("window", "sku_id").agg(
-            *[F.sum(c).cast("bigint").alias(c) for c in PRODUCT_SUMS],
-            *[F.sum(c).cast(t).alias(c) for c, t in PRODUCT_AMOUNTS.items()],
-            *[F.count(F.when(F.col("__kind") == i + 1, F.col("__kid"))).cast("bigint").alias(out)
-              for i, out in enumerate(PRODUCT_SETS)],
-            F.min("ts").alias("ts"))
+    kind_id = F.coalesce(*[F.col(src) for src in PRODUCT_SETS.values()])
+    kind = F.when(F.col("order_id").isNotNull(), 1).when(F.col("paid_order_id").isNotNull(), 2) \
+            .when(F.col("refund_order_id").isNotNull(), 3).otherwise(0)
+    df = df.withColumn("__kid", kind_id).withColumn("__kind", kind)
+    p1 = df.groupBy(win.alias("window"), "sku_id", "__kind", "__kid").agg(
+        *[F.sum(c).alias(c) for c in PRODUCT_SUMS],
+        *[F.sum(c).alias(c) for c in PRODUCT_AMOUNTS], F.min("ts").alias("ts"))
+    agg = p1.groupBy("window", "sku_id").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in PRODUCT_SUMS],
+        *[F.sum(c).cast(t).alias(c) for c, t in PRODUCT_AMOUNTS.items()],
+        *[F.count(F.when(F.col("__kind") == i + 1, F.col("__kid"))).cast("bigint").alias(out)
+          for i, out in enumerate(PRODUCT_SETS)],
+        F.min("ts").alias("ts"))
     return agg.select(*window_text_columns(), "sku_id", *PRODUCT_SUMS, *PRODUCT_AMOUNTS,
                       *PRODUCT_SETS, "ts")
 
@@ -238,16 +231,13 @@ def province_stats(order_wide: DataFrame, size: str = WINDOW_SIZE,
     """
     df, win = _windowed(order_wide, flexible_event_time("create_time"), size, delay)
     amount = F.col(amount_col).cast(MONEY_SUM)
-    if df.isStreaming:
-        agg = df.groupBy(win.alias("window"), *PROVINCE_KEYS).agg(
-            F.sum(amount).cast(MONEY_SUM).alias("order_amount"),
-            F.size(F.collect_set("order_id")).cast("bigint").alias("order_count"))
-    else:
-        p1 = (df.groupBy(win.alias("window"), *PROVINCE_KEYS, "order_id")
-                .agg(F.sum(amount).alias("__amt")))
-        agg = p1.groupBy("window", *PROVINCE_KEYS).agg(
-            F.sum("__amt").cast(MONEY_SUM).alias("order_amount"),
-            F.count("order_id").cast("bigint").alias("order_count"))
+    # Distinct orders in two phases (also on streams, as chained stateful aggregations):
+    # one row per (window, province, order), then count and sum per (window, province).
+    p1 = (df.groupBy(win.alias("window"), *PROVINCE_KEYS, "order_id")
+            .agg(F.sum(amount).alias("__amt")))
+    agg = p1.groupBy("window", *PROVINCE_KEYS).agg(
+        F.sum("__amt").cast(MONEY_SUM).alias("order_amount"),
+        F.count("order_id").cast("bigint").alias("order_count"))
     out = agg.select(*window_text_columns(), *PROVINCE_KEYS, "order_amount", "order_count",
                      (F.unix_timestamp() * 1000).alias("ts"))
     cols = PROVINCE_STATS_COLUMNS if with_ts else PROVINCE_STATS_COLUMNS[:-1]
