@@ -22,3 +22,17 @@ def test_split_words_sql_surface(spark):
     spark.createDataFrame([("Red Widget 2",)], "t string").createOrReplaceTempView("kw_t")
     rows = spark.sql("SELECT word FROM kw_t, LATERAL split_words(t)").collect()
     assert sorted(r.word for r in rows) == ["2", "red", "widget"]
+
+
+def test_sql_and_dataframe_tokenizers_agree(spark):
+    from tributary.functions.keywords import register_split_words
+    register_split_words(spark)
+    texts = ["red widget", "", None, "实时数仓", "Mixed 大数据 abc1 x", "单"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    df.createOrReplaceTempView("kw_agree")
+    sql_words = sorted((r.id, r.word) for r in
+                       spark.sql("SELECT id, word FROM kw_agree, LATERAL split_words(t)").collect())
+    df_words = sorted((r.id, r.word) for r in
+                      df.select("id", F.explode(keyword_tokens("t")).alias("word")).collect())
+    assert sql_words == df_words
+    assert (5, "单") in df_words and (3, "大数") in df_words

@@ -36,27 +36,20 @@ def keyword_tokens(text: Column | str) -> Column:
     return F.concat(words, han)
 
 
+# The same segmentation as SQL text (for the SQL table function); ``{t}`` is the input.
+TOKENS_SQL = (
+    "concat(regexp_extract_all(lower(coalesce({t}, '')), '[a-z0-9]+', 0), "
+    "flatten(transform(regexp_extract_all(coalesce({t}, ''), '\\\\p{{IsHan}}+', 0), "
+    "r -> CASE WHEN length(r) <= 1 THEN array(r) "
+    "ELSE transform(sequence(1, length(r) - 1), i -> substring(r, i, 2)) END)))"
+)
+
+
 def register_split_words(spark: SparkSession, name: str = "split_words") -> None:
     """SQL surface: ``SELECT word FROM t, LATERAL split_words(full_word)``.
 
-    This is a Python UDTF (one phrase per call) for SQL users who want the lateral-table
-    form; the DataFrame jobs use :func:`keyword_tokens`, which stays in the JVM.
+    A temporary SQL table function over native expressions (no Python worker), so SQL
+    jobs get the same codegen'd tokenizer as :func:`keyword_tokens`.
     """
-    from pyspark.sql.functions import udtf
-
-    @udtf(returnType="word: string")
-    class SplitWords:  # pragma: no cover - exercised in tests through SQL
-        def eval(self, text: str):
-            import re
-            if not text:
-                return
-            for w in re.findall(WORD_PATTERN, text.lower()):
-                yield (w,)
-            for run in re.findall(r"[一-鿿㐀-䶿]+", text):
-                if len(run) == 1:
-                    yield (run,)
-                else:
-                    for i in range(len(run) - 1):
-                        yield (run[i:i + 2],)
-
-    spark.udtf.register(name, SplitWords)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE (word STRING) "
+              f"RETURN SELECT explode({TOKENS_SQL.format(t='text')}) AS word")

@@ -438,4 +438,8 @@ def closed_bounces(delay_ms: int) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: build(name) for name in BODIES}
+    out = {name: build(name) for name in BODIES}
+    # the SQL-path jobs compute the same tables as their DataFrame twins
+    out["keyword_stats_sql"] = out["keyword_stats"]
+    out["province_stats_sql"] = out["province_stats"]
+    return out

@@ -353,3 +353,12 @@ QUERIES: dict[str, Query] = {
     "cdc_snapshot": cdc_snapshot,
     "cdc_retract": cdc_retract,
 }
+
+
+def _sql_queries() -> dict[str, Query]:
+    from tributary.plans import sql
+    return {"keyword_stats_sql": sql.keyword_stats_sql_query,
+            "province_stats_sql": sql.province_stats_sql_query}
+
+
+QUERIES.update(_sql_queries())
