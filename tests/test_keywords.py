@@ -35,4 +35,4 @@ def test_sql_and_dataframe_tokenizers_agree(spark):
     df_words = sorted((r.id, r.word) for r in
                       df.select("id", F.explode(keyword_tokens("t")).alias("word")).collect())
     assert sql_words == df_words
-    assert (5, "单") in df_words and (3, "大数") in df_words
+    assert (5, "单") in df_words and (4, "大数") in df_words and (4, "数据") in df_words
