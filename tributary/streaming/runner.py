@@ -33,22 +33,35 @@ class ChunkedTopics:
         hi = max(b["hi"] for b in bounds if b["hi"] is not None)
         width = (hi - lo) // n_chunks + 1
         self.cuts = [lo + width * i for i in range(1, n_chunks)]
-        self.frames = {name: df.withColumn("__chunk", F.floor((t - F.lit(lo)) / F.lit(width)))
-                       for name, (df, t) in frames.items()}
+        # Each input is computed once: staged as JSON partitioned by chunk, then released
+        # chunk by chunk into the topic folder the stream reads.
+        self.schemas = {}
+        for name, (df, t) in frames.items():
+            self.schemas[name] = df.schema
+            (df.withColumn("__chunk", F.floor((t - F.lit(lo)) / F.lit(width)))
+               .write.partitionBy("__chunk").json(self._staged(name)))
 
     def path(self, topic: str) -> str:
         return f"{self.root}/{topic}"
 
+    def _staged(self, topic: str) -> str:
+        return f"{self.root}/_staged/{topic}"
+
+    def _release(self, i: int, folder: str) -> None:
+        from pyspark.errors import AnalysisException
+        for topic, schema in self.schemas.items():
+            try:
+                part = self.spark.read.schema(schema).json(f"{self._staged(topic)}/__chunk={i}")
+            except AnalysisException:          # no row of this topic falls in chunk i
+                continue
+            part.write.mode("append").json(f"{self.path(topic)}/{folder}")
+
     def write_chunk(self, i: int) -> None:
-        for topic, df in self.frames.items():
-            (df.filter(F.col("__chunk") == i).drop("__chunk")
-               .write.mode("append").json(f"{self.path(topic)}/chunk-{i:04d}"))
+        self._release(i, f"chunk-{i:04d}")
 
     def write_replay(self, i: int, tag: str = "replay") -> None:
         """Append chunk ``i`` again as a new, later arrival (late data for the watermark)."""
-        for topic, df in self.frames.items():
-            (df.filter(F.col("__chunk") == i).drop("__chunk")
-               .write.mode("append").json(f"{self.path(topic)}/chunk-{tag}-{i:04d}"))
+        self._release(i, f"chunk-{tag}-{i:04d}")
 
     def read(self, topic: str, schema) -> DataFrame:
         """The topic as a stream (every chunk folder, in arrival order)."""
