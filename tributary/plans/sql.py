@@ -9,6 +9,8 @@ DataFrame (with its watermark) as the view and the same SQL runs incrementally.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.functions.keywords import register_split_words
@@ -18,7 +20,7 @@ from tributary.plans.warehouse import QUERY_WINDOW, Warehouse
 KEYWORD_SQL = """
 WITH full_words AS (
   SELECT page.item AS full_word, timestamp_seconds(ts div 1000) AS rt
-  FROM page_view
+  FROM {view}
   WHERE page.last_page_id = 'search' AND page.item IS NOT NULL),
 words AS (
   SELECT word, rt FROM full_words, LATERAL split_words(full_word))
@@ -33,7 +35,7 @@ PROVINCE_SQL = """
 WITH order_wide AS (
   SELECT *, coalesce(try_to_timestamp(create_time, 'yyyy-MM-dd HH:mm:ss'),
                      timestamp_millis(try_cast(create_time AS BIGINT))) AS rowtime
-  FROM order_wide_view)
+  FROM {view})
 SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
        date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
        province_id, province_name, province_area_code, province_iso_code, province_3166_2_code,
@@ -45,17 +47,22 @@ GROUP BY window(rowtime, '{size}'), province_id, province_name, province_area_co
 """
 
 
+def _view(df: DataFrame, prefix: str) -> str:
+    """Register ``df`` under a name unique to this call (views are session-wide)."""
+    name = f"{prefix}_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
 def keyword_stats_sql(pages: DataFrame, size: str = QUERY_WINDOW) -> DataFrame:
     spark = pages.sparkSession
     register_split_words(spark)
-    pages.createOrReplaceTempView("page_view")
-    return spark.sql(KEYWORD_SQL.format(size=size))
+    return spark.sql(KEYWORD_SQL.format(view=_view(pages, "page_view"), size=size))
 
 
 def province_stats_sql(order_wide: DataFrame, size: str = QUERY_WINDOW) -> DataFrame:
     spark = order_wide.sparkSession
-    order_wide.createOrReplaceTempView("order_wide_view")
-    return spark.sql(PROVINCE_SQL.format(size=size))
+    return spark.sql(PROVINCE_SQL.format(view=_view(order_wide, "order_wide"), size=size))
 
 
 def keyword_stats_sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
