@@ -43,9 +43,24 @@ class CheckedDims(dict):
 
     def __getitem__(self, name: str) -> DataFrame:
         if not dict.__contains__(self, name):
-            dict.__setitem__(self, name, checked_broadcast(self._raw[name], self._max_rows))
+            self.prefetch([name])
         return dict.__getitem__(self, name)
 
+    def prefetch(self, names) -> None:
+        """Decide several dimensions with one job: a union of their bounded counts."""
+        todo = [n for n in names if not dict.__contains__(self, n)]
+        if not todo:
+            return
+        from functools import reduce
+        parts = [self._raw[n].limit(self._max_rows + 1).select(F.lit(n).alias("dim"))
+                 for n in todo]
+        counted = reduce(lambda a, b: a.unionByName(b), parts).groupBy("dim").count()
+        sizes = {r["dim"]: r["count"] for r in counted.collect()}     # one row per dimension
+        for n in todo:
+            df = self._raw[n]
+            small = sizes.get(n, 0) <= self._max_rows and not df.isStreaming
+            dict.__setitem__(self, n, F.broadcast(df) if small else df)
+
     def __contains__(self, name: object) -> bool:
         return name in self._raw
 
@@ -79,12 +94,12 @@ def lookup(facts: DataFrame, dim: DataFrame, key: Column | str, columns: dict[st
     how = {"keep": "left", "drop": "inner"}[missing]
     if broadcast == "check":
         d = checked_broadcast(d, max_broadcast_rows)
-    j = facts.join(d,
-                   k.cast("string") == F.col("__dim_key"), how).drop("__dim_key")
+    j = facts.join(d, k.cast("string") == F.col("__dim_key"), how)
+    added = []
     for dst, t in tmp.items():
         if dst in overwrite and dst in facts.columns:
-            j = j.withColumn(dst, F.coalesce(F.col(t), F.col(dst)))
+            added.append(F.coalesce(F.col(t), F.col(dst)).alias(dst))
         else:
-            j = j.withColumn(dst, F.col(t))
-        j = j.drop(t)
-    return j
+            added.append(F.col(t).alias(dst))
+    keep = [F.col(c) for c in facts.columns if c not in tmp]
+    return j.select(*keep, *added)

@@ -132,6 +132,9 @@ def enrich_order_wide(wide: DataFrame, dims: dict[str, DataFrame], as_of: Column
                                                  "province_area_code", "province_iso_code",
                                                  "province_3166_2_code", "category3_id", "spu_id",
                                                  "tm_id", "spu_name", "tm_name", "category3_name")]
+    if hasattr(dims, "prefetch"):
+        dims.prefetch(["dim_user_info", "dim_base_province", "dim_sku_info", "dim_spu_info",
+                       "dim_base_trademark", "dim_base_category3"])
     w = wide.select(*keep)
     w = lookup(w, dims["dim_user_info"], "user_id",
                {"gender": "user_gender", "birthday": "__birthday"}, **kw)

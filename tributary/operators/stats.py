@@ -199,6 +199,8 @@ def product_stats(events: DataFrame, dims: dict[str, DataFrame], size: str = WIN
                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """A2: product statistics with sku, spu, category3 and trademark attributes."""
     s = product_stats_raw(events, size, delay)
+    if hasattr(dims, "prefetch"):
+        dims.prefetch(["dim_sku_info", "dim_spu_info", "dim_base_category3", "dim_base_trademark"])
     kw = {"missing": missing, "max_broadcast_rows": max_broadcast_rows,
           "broadcast": dim_broadcast_mode(dims)}
     s = lookup(s, dims["dim_sku_info"], "sku_id",

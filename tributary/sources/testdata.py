@@ -28,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     partitions and nothing is added.  Dimension and configuration tables pass
     ``spread=False``.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = _read(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread:
         target = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < target:
@@ -39,6 +39,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     return df
 
 
+# The provided tables are read-only, so one DataFrame (a plan, not data) per session and
+# path is reused instead of listing files and reading footers again for every adapter.
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
+
+
 def _ms(ts: Column) -> Column:
     return F.unix_millis(ts)
 
