@@ -29,3 +29,17 @@ def test_dimension_deltas_replay_safe(spark):
     dims.write_deltas(dims.dimension_deltas(b1), root, 1)
     cur = {r.id: (r.a, r.b) for r in dims.dimension_table(spark, root, "dim_user", "id,a,b").collect()}
     assert cur == {"1": ("z", "y"), "2": ("q", None)}
+
+
+def test_dimension_table_created_once_per_rule(spark):
+    from tributary.sources.changes import RULE_ROW
+    root = scratch_path(spark, "test-dims", uuid.uuid4().hex)
+    rules = spark.createDataFrame([
+        (0, "user_info", "insert", "hbase", "dim_user_info", "id,name", None, None),
+        (0, "user_info", "update", "hbase", "dim_user_info", "id,name", None, None),
+        (0, "base_trademark", "insert", "hbase", "dim_tm", "tm_id,tm_name", "tm_id", None),
+        (0, "order_info", "insert", "kafka", "dwd_order_info", "id", None, None)], RULE_ROW)
+    assert sorted(dims.ensure_dimension_tables(spark, root, rules)) == ["dim_tm", "dim_user_info"]
+    assert dims.ensure_dimension_tables(spark, root, rules) == []          # already there
+    tm = spark.read.parquet(os.path.join(root, "tables", "dim_tm"))
+    assert tm.columns == ["tm_id", "tm_name"] and tm.count() == 0

@@ -69,6 +69,25 @@ def dimension_table(spark: SparkSession, root: str, table: str, sink_columns: st
     return cur.select(*[F.col("row")[f.name].alias(f.name) for f in schema.fields])
 
 
+def ensure_dimension_tables(spark: SparkSession, root: str, rules: DataFrame) -> list[str]:
+    """K4: on a dimension rule (sink type ``hbase``), create its table if it is absent.
+
+    The table is an empty all-text parquet table with the rule's declared columns (key
+    = ``sinkPk`` or ``id``), so readers see the declared schema before any change
+    arrives.  ``sinkExtend`` is storage DDL of the original store and has no meaning
+    here.  Rules are configuration, a handful of rows: they are read on the driver.
+    """
+    created = []
+    for r in rules.filter(F.col("sinkType") == "hbase").select(
+            "sinkTable", "sinkColumns", "sinkPk").distinct().collect():
+        path = os.path.join(root, "tables", r["sinkTable"])
+        if not _exists(spark, path):
+            schema = create_dimension_table_schema(r["sinkColumns"], r["sinkPk"])
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+            created.append(r["sinkTable"])
+    return created
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     from pyspark.errors import AnalysisException
     try:

@@ -330,6 +330,7 @@ STREAM_QUERIES = {
     "unique_visit_stream": unique_visit_stream,
     "visitor_stats_stream": visitor_stats_stream,
     "order_wide_stream": order_wide_stream,
+    "order_wide_base_stream": order_wide_stream,        # the inventory's name for J1 on streams
     "payment_wide_stream": payment_wide_stream,
     "province_stats_stream": province_stats_stream,
     "product_stats_stream": product_stats_stream,
@@ -349,6 +350,7 @@ def stream_oracle_sql() -> dict[str, str]:
         "unique_visit_stream": oracle.closed_unique_visits(delay["unique_visit"]),
         "visitor_stats_stream": oracle.closed_windows("visitor_stats", delay["visitor_stats"]),
         "order_wide_stream": oracle.build("order_wide_base"),
+        "order_wide_base_stream": oracle.build("order_wide_base"),
         "payment_wide_stream": oracle.build("payment_wide"),
         "province_stats_stream": oracle.closed_windows("province_stats", delay["province_stats"]),
         "product_stats_stream": oracle.closed_windows("product_stats", delay["product_stats"]),

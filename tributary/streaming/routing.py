@@ -7,7 +7,8 @@ and two sinks:
   rule written between two batches applies from the next one (the latest version per
   key wins; deleted rules are ignored);
 * K2: routed facts are written per topic, in a folder per batch id (replay-safe);
-* K3/D5: dimension changes are written as per-batch deltas, merged on read.
+* K3/D5: dimension changes are written as per-batch deltas, merged on read;
+* K4: a dimension rule creates its (empty, all-text) table if it does not exist yet.
 
 Unmatched changes go to their own folder per batch (the original only printed them).
 """
@@ -22,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.operators import cdc
-from tributary.sinks.dims import dimension_deltas, write_deltas
+from tributary.sinks.dims import dimension_deltas, ensure_dimension_tables, write_deltas
 
 
 def routing_batch_handler(rules_loader: Callable[[], DataFrame], out_root: str):
     def handle(batch: DataFrame, batch_id: int) -> None:
         rules = cdc.latest_rules(rules_loader())
+        ensure_dimension_tables(batch.sparkSession, os.path.join(out_root, "dims"), rules)
         routed = cdc.route(cdc.drop_deletes(batch), rules).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             tag = f"batch={batch_id:012d}"
