@@ -325,7 +325,7 @@ SELECT word AS keyword, CAST(count(*) AS BIGINT) AS ct, 'search' AS source, {_wi
 FROM (SELECT *, (ts_ms // 1000 * 1000) - (ts_ms // 1000 * 1000) % {S} AS ws FROM kw)
 GROUP BY ws, word"""),
     "cdc_normalize": (("changes",), """
-SELECT seq AS "offset", 'gmall' AS database, table_name, type,
+SELECT seq AS "offset", 'shop' AS database, table_name, type,
        CASE WHEN type <> 'delete' THEN CAST(id AS VARCHAR) END AS after_id,
        name AS after_name, segment AS after_segment, birthday AS after_birthday,
        CASE WHEN type <> 'insert' THEN CAST(id AS VARCHAR) END AS before_id,

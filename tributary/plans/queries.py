@@ -240,7 +240,7 @@ def cdc_normalize(spark, sf_dir):
 
 
 def cdc_table_filter(spark, sf_dir):
-    env = cdc.filter_tables(_w(spark, sf_dir, NONE).envelopes, tables=["gmall.user_info"])
+    env = cdc.filter_tables(_w(spark, sf_dir, NONE).envelopes, tables=["shop.user_info"])
     return env.select("offset", F.col("tableName").alias("table_name"), "type")
 
 

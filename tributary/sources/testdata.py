@@ -266,7 +266,7 @@ def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 # ------------------------------------------------------------- change capture
-DATABASE = "gmall"
+DATABASE = "shop"
 SERVER = "mysql_binlog"
 
 
