@@ -63,9 +63,11 @@ class ChunkedTopics:
         """Append chunk ``i`` again as a new, later arrival (late data for the watermark)."""
         self._release(i, f"chunk-{tag}-{i:04d}")
 
-    def read(self, topic: str, schema) -> DataFrame:
-        """The topic as a stream (every chunk folder, in arrival order)."""
-        return self.spark.readStream.schema(schema).json(f"{self.path(topic)}/*")
+    def read(self, topic: str, schema=None) -> DataFrame:
+        """The topic as a stream (every chunk folder, in arrival order); the schema defaults
+        to the schema the topic was staged with."""
+        return (self.spark.readStream.schema(schema or self.schemas[topic])
+                .json(f"{self.path(topic)}/*"))
 
 
 def run_chunks(spark: SparkSession, topics: ChunkedTopics, build: Callable[[], DataFrame],
