@@ -40,3 +40,15 @@ def test_unique_visit_fixture(spark):
     out = visits.unique_visits(_pages(spark, ev))
     got = sorted((r.mid, r.visit_day, r.ts) for r in out.select("common.mid", "visit_day", "ts").collect())
     assert got == [("a", "1970-01-01", 1000), ("a", "1970-01-02", DAY + 5)]
+
+
+def test_shuffled_arrival_does_not_change_visits(spark):
+    ev = [("a", 0, True), ("a", 4000, True), ("a", 6000, False), ("c", 0, True),
+          ("c", 10000, False), ("d", 0, True), ("a", DAY + 5, True)]
+    # arrival order reversed, offsets follow arrival: the rules use (ts, offset)
+    fwd, rev = _pages(spark, ev), _pages(spark, list(reversed(ev)))
+
+    def key(df):
+        return sorted((r.mid, r.ts) for r in df.select("common.mid", "ts").collect())
+    assert key(visits.bounces(fwd)) == key(visits.bounces(rev))
+    assert key(visits.unique_visits(fwd)) == key(visits.unique_visits(rev))
