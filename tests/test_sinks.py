@@ -43,3 +43,14 @@ def test_dimension_table_created_once_per_rule(spark):
     assert dims.ensure_dimension_tables(spark, root, rules) == []          # already there
     tm = spark.read.parquet(os.path.join(root, "tables", "dim_tm"))
     assert tm.columns == ["tm_id", "tm_name"] and tm.count() == 0
+
+
+def test_topic_round_trip_keeps_offsets(spark):
+    from tributary.sources.logs import read_log_topic
+    path = scratch_path(spark, "test-topics", uuid.uuid4().hex)
+    spark.createDataFrame([(7, '{"a":1}'), (9, '{"a":2}')], "offset long, value string") \
+         .write.json(path)
+    got = sorted((r.offset, r.value) for r in read_log_topic(spark, path, records=True).collect())
+    assert got == [(7, '{"a":1}'), (9, '{"a":2}')]
+    streamed = read_log_topic(spark, path, records=True, stream=True)
+    assert streamed.isStreaming and streamed.columns == ["offset", "value"]

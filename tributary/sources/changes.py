@@ -51,13 +51,11 @@ def read_rule_changes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_change_topic(spark: SparkSession, path: str | None = None, kafka: dict | None = None,
-                      stream: bool = False) -> DataFrame:
-    """Change topic as ``(offset, value)``: a Kafka topic or a folder of JSON-line files."""
-    reader = spark.readStream if stream else spark.read
-    if kafka:
-        df = reader.format("kafka").options(**kafka).load()
-        return df.select(F.col("offset"), F.col("value").cast("string").alias("value"))
-    df = reader.format("text").load(path)
-    if stream:
-        return df.select(F.lit(None).cast("bigint").alias("offset"), "value")
-    return df.select(F.monotonically_increasing_id().alias("offset"), "value")
+                      stream: bool = False, records: bool = True) -> DataFrame:
+    """Change topic as ``(offset, value)``: a Kafka topic or a folder of files.
+
+    The offset is the change order that the partial-column upsert relies on, so file
+    topics default to JSON records that carry it (``records=True``).
+    """
+    from tributary.sources.logs import read_log_topic
+    return read_log_topic(spark, path=path, kafka=kafka, stream=stream, records=records)
