@@ -35,3 +35,9 @@ def test_payment_join_bounds(spark):
     assert {r.total_amount for r in out} == {Decimal("99.00")}
     assert {r.user_id for r in out} == {9}
     assert {r.payment_create_time for r in out} == {str(T0)}
+
+
+def test_unparsable_times_go_to_side_output(spark):
+    pay = spark.createDataFrame([(1, 1, str(T0)), (2, 1, "yesterday"), (3, 1, None)],
+                                "id long, order_id long, create_time string")
+    assert sorted(r.id for r in orders.time_parse_errors(pay).collect()) == [2, 3]

@@ -48,6 +48,16 @@ def _ms_col(text_ms: str) -> Column:
     return F.col(text_ms).cast("string").try_cast("bigint")
 
 
+def time_parse_errors(df: DataFrame, create_time: str = "create_time") -> DataFrame:
+    """Side output: records whose ``create_time`` is not epoch-ms text.
+
+    Such records cannot take part in an interval join (their time is NULL).  The original
+    silently reused the previous record's timestamp; here they are kept visible instead.
+    """
+    return df.filter(F.col(create_time).isNotNull() & _ms_col(create_time).isNull()
+                     | F.col(create_time).isNull())
+
+
 def order_times(info: DataFrame, create_time: str = "create_time") -> DataFrame:
     """``create_time`` (epoch-ms text) -> ``create_date``, ``create_hour`` (2 digits) and
     ``create_ts`` (epoch ms truncated to the second), plus the event-time column ``rowtime``."""
