@@ -54,8 +54,7 @@ def time_parse_errors(df: DataFrame, create_time: str = "create_time") -> DataFr
     Such records cannot take part in an interval join (their time is NULL).  The original
     silently reused the previous record's timestamp; here they are kept visible instead.
     """
-    return df.filter(F.col(create_time).isNotNull() & _ms_col(create_time).isNull()
-                     | F.col(create_time).isNull())
+    return df.filter(_ms_col(create_time).isNull())
 
 
 def order_times(info: DataFrame, create_time: str = "create_time") -> DataFrame:
