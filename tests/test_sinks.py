@@ -54,3 +54,12 @@ def test_topic_round_trip_keeps_offsets(spark):
     assert got == [(7, '{"a":1}'), (9, '{"a":2}')]
     streamed = read_log_topic(spark, path, records=True, stream=True)
     assert streamed.isStreaming and streamed.columns == ["offset", "value"]
+
+
+def test_fixed_topic_records_omit_nulls(spark):
+    path = scratch_path(spark, "test-topics", uuid.uuid4().hex)
+    df = spark.createDataFrame([(1, "a", None)], "id long, name string, note string")
+    recs = topics.as_topic_records(df)
+    assert [r.value for r in recs.collect()] == ['{"id":1,"name":"a"}']
+    topics.write_topic(recs, path=path)
+    assert [r.value for r in spark.read.text(path).collect()] == ['{"id":1,"name":"a"}']
