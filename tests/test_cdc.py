@@ -99,3 +99,12 @@ def test_snapshot_drops_deleted(spark):
                        (4, "t", "delete", {"id": "1"}, None)])
     out = {r.pk: r.row["v"] for r in cdc.snapshot(env).collect()}
     assert out == {"2": "c"}
+
+
+def test_snapshot_rows_match_read_rules_unless_read_as(spark):
+    rules = spark.createDataFrame([(0, "t", "insert", "kafka", "dwd_t", "id", None, None)], RULE_ROW)
+    env = _env(spark, [(1, "t", "read", None, {"id": "1"}), (2, "t", "insert", None, {"id": "2"})])
+    plain = cdc.route(env, cdc.latest_rules(rules))
+    assert sorted(r.offset for r in cdc.facts(plain).collect()) == [2]
+    as_insert = cdc.route(env, cdc.latest_rules(rules), read_as="insert")
+    assert sorted(r.offset for r in cdc.facts(as_insert).collect()) == [1, 2]

@@ -137,7 +137,8 @@ def _filter_columns(after: Column, sink_columns: Column) -> Column:
     return F.map_filter(after, lambda k, _v: F.array_contains(cols, k))
 
 
-def route(env: DataFrame, rules: DataFrame, seq: str | None = None) -> DataFrame:
+def route(env: DataFrame, rules: DataFrame, seq: str | None = None,
+          read_as: str | None = None) -> DataFrame:
     """J6 + P8: attach the matching rule and the column-filtered image ``data``.
 
     ``rules`` is either the active rule set (``latest_rules``) or, with ``seq`` given,
@@ -145,10 +146,15 @@ def route(env: DataFrame, rules: DataFrame, seq: str | None = None) -> DataFrame
     active when it arrived (``valid_from < seq <= valid_to``), so a change that arrives
     before its rule finds none.  Unmatched changes keep NULL rule columns
     (``matched = false``).  Rules are configuration: broadcast after a size check.
+    Snapshot changes (type ``read``) match only ``read`` rules, as in the original;
+    ``read_as="insert"`` routes them with the insert rules instead.
     """
     r = checked_broadcast(rules.select("rule_key", *RULE_FIELDS,
                                        *(["valid_from", "valid_to"] if seq else [])))
-    cond = rule_key(F.col("tableName"), F.col("type")) == F.col("rule_key")
+    op = F.col("type")
+    if read_as:
+        op = F.when(op == "read", F.lit(read_as)).otherwise(op)
+    cond = rule_key(F.col("tableName"), op) == F.col("rule_key")
     if seq:
         s = F.col(seq)
         cond = cond & (F.col("valid_from") < s) & (F.col("valid_to").isNull() | (s <= F.col("valid_to")))
