@@ -108,3 +108,10 @@ def test_snapshot_rows_match_read_rules_unless_read_as(spark):
     assert sorted(r.offset for r in cdc.facts(plain).collect()) == [2]
     as_insert = cdc.route(env, cdc.latest_rules(rules), read_as="insert")
     assert sorted(r.offset for r in cdc.facts(as_insert).collect()) == [1, 2]
+
+
+def test_plain_normalize_keeps_raw_dates(spark):
+    raw = spark.createDataFrame([(1, "srv.shop.user_info", "c", None, {"birthday": "0"})],
+                                "offset long, topic string, op string, before map<string,string>, "
+                                "after map<string,string>")
+    assert cdc.normalize_changes(raw, date_fields=()).first().after["birthday"] == "0"

@@ -59,3 +59,18 @@ def test_new_flag_stream_fixture(spark):
         return stateful.new_flag_stream(logs.valid_logs(logs.parse_logs(src)))
     out = {r.offset: r.is_new for r in _run(spark, [first, second], build)}
     assert [out[i] for i in range(8)] == ["1", "0", "0", "0", "0", "1", "0", "0"]
+
+
+def test_continuous_runner_processes_and_stops(spark):
+    from tributary.streaming.runner import start_continuous
+    src = scratch_path(spark, "test-streams", uuid.uuid4().hex)
+    spark.createDataFrame([_page(0, "m", 0, True)], TOPIC).write.json(src)
+    stream = logs.page_logs(logs.valid_logs(logs.parse_logs(spark.readStream.schema(TOPIC).json(src))))
+    out = scratch_path(spark, "test-streams", uuid.uuid4().hex + "-out")
+    q = start_continuous(stream.select("offset", "ts"), scratch_path(spark, "test-streams", uuid.uuid4().hex),
+                         path=out, interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert [r.offset for r in spark.read.parquet(out).collect()] == [0]

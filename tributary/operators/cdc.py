@@ -24,18 +24,22 @@ def _empty_map() -> Column:
     return F.create_map().cast(STRING_MAP)
 
 
-def _repair_dates(m: Column) -> Column:
-    """Fields named ``birthday`` carry days since epoch; render them ``yyyy-MM-dd``."""
+def _repair_dates(m: Column, date_fields: tuple[str, ...] = DATE_FIELDS) -> Column:
+    """Date fields carry days since epoch; render them ``yyyy-MM-dd``."""
+    if not date_fields:
+        return m
     return F.transform_values(
-        m, lambda k, v: F.when(k.isin(*DATE_FIELDS) & v.isNotNull(),
+        m, lambda k, v: F.when(k.isin(*date_fields) & v.isNotNull(),
                                epoch_days_to_text(v.try_cast("int"))).otherwise(v))
 
 
-def normalize_changes(raw: DataFrame, offset: str = "offset") -> DataFrame:
+def normalize_changes(raw: DataFrame, offset: str = "offset",
+                      date_fields: tuple[str, ...] = DATE_FIELDS) -> DataFrame:
     """P5 + P6: Debezium-like records -> envelopes.
 
     ``topic`` is ``server.database.table``; a missing before/after image becomes ``{}``;
     the operation letter becomes ``insert`` (create), ``update``, ``delete``, ``read``...
+    ``date_fields=()`` skips the date repair (the plain variant of the deserializer).
     """
     parts = F.split(F.col("topic"), r"\.")
     op = F.lower(F.col("op"))
@@ -43,8 +47,8 @@ def normalize_changes(raw: DataFrame, offset: str = "offset") -> DataFrame:
     return raw.select(
         F.col(offset).alias("offset"),
         F.get(parts, 1).alias("database"), F.get(parts, 2).alias("tableName"),
-        _repair_dates(F.coalesce(F.col("before"), _empty_map())).alias("before"),
-        _repair_dates(F.coalesce(F.col("after"), _empty_map())).alias("after"),
+        _repair_dates(F.coalesce(F.col("before"), _empty_map()), date_fields).alias("before"),
+        _repair_dates(F.coalesce(F.col("after"), _empty_map()), date_fields).alias("after"),
         type_.alias("type"))
 
 

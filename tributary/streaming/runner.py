@@ -110,3 +110,19 @@ def run_foreach_batch(df: DataFrame, handler: Callable[[DataFrame, int], None],
     q = (df.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
            .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def start_continuous(df: DataFrame, checkpoint: str, path: str | None = None,
+                     handler: Callable[[DataFrame, int], None] | None = None,
+                     interval: str = "5 seconds", output_mode: str = "append",
+                     fmt: str = "parquet", name: str | None = None):
+    """Start a long-running query: a micro-batch every ``interval``, state and progress
+    checkpointed to ``checkpoint`` each batch (restarts resume exactly once).  Either a
+    file sink at ``path`` or a ``foreachBatch`` ``handler``."""
+    w = df.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode) \
+          .trigger(processingTime=interval)
+    if name:
+        w = w.queryName(name)
+    if handler is not None:
+        return w.foreachBatch(handler).start()
+    return w.format(fmt).option("path", path).start()
