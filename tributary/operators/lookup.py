@@ -16,16 +16,18 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows (counts at most ``max_rows + 1``)."""
+    return not df.isStreaming and df.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
 
     The check counts at most ``max_rows + 1`` rows (a LIMIT stops the scan early), so it
     costs a bounded amount even on a huge table.  Streaming DataFrames are never broadcast.
     """
-    if df.isStreaming:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 class CheckedDims(dict):

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.operators.lookup import checked_broadcast
+from tributary.operators.lookup import checked_broadcast, fits_broadcast
 from tributary.schemas import MONEY
 
 
@@ -85,14 +85,17 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``raw_log`` plus the page item (sku id / search phrase) and display count."""
     r = raw_log(spark, sf_dir)
     part = table(spark, sf_dir, "part", spread=False).select("p_partkey", "p_name")
-    # Semi-join reduction: only search pages (views) need the phrase, and only the parts
-    # they reference are kept (a distinct over one column, partially aggregated).  The
-    # reduced side is size-checked and normally broadcast, so the event log itself is
-    # never shuffled for this lookup, however few distinct keys it has.
-    used = (r.filter(F.col("event_type") == "view").select(F.col("k").alias("p_partkey"))
-             .distinct())
-    part = part.join(used, "p_partkey", "left_semi")
-    j = r.join(checked_broadcast(part), r["k"] == part["p_partkey"], "left")
+    if fits_broadcast(part):
+        part = F.broadcast(part)
+    else:
+        # Semi-join reduction: only search pages (views) need the phrase, and only the
+        # parts they reference are kept (a distinct over one column, partially
+        # aggregated).  The reduced side is size-checked and normally broadcast, so the
+        # event log itself is never shuffled for this lookup, however few keys it has.
+        used = (r.filter(F.col("event_type") == "view").select(F.col("k").alias("p_partkey"))
+                 .distinct())
+        part = checked_broadcast(part.join(used, "p_partkey", "left_semi"))
+    j = r.join(part, r["k"] == part["p_partkey"], "left")
     et = F.col("event_type")
     return j.select(
         *[r[c] for c in r.columns],
