@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, chat, fingerprints, near, packing, quality, sharding, substring
+from tributary.llm import bpe, chat, fingerprints, lines, near, packing, quality, sharding, substring
 from tributary.llm.common import read_table
 
 
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document and whether it stays."""
+    return lines.line_components(read_table(spark, sf_dir, "documents")).select("doc_id", "line_no", "kept")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) -> DataFrame:
     """Encodes and decodes every document; ``ranks`` names the vocabulary file."""
     path = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -53,7 +58,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_bpe": op2_bpe, "op3_sharding": op3_sharding, "op4_substring": op4_substring,
+    "op1_lines": op1_lines, "op2_bpe": op2_bpe, "op3_sharding": op3_sharding, "op4_substring": op4_substring,
     "op5_fingerprints": op5_fingerprints, "op7_near": op7_near, "op8_quality": op8_quality, "op9_packing": op9_packing,
     "op10_chat": op10_chat,
 }
