@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, chat, fingerprints, lines, near, packing, quality, sharding, substring
+from tributary.llm import bpe, chat, fingerprints, licences, lines, near, packing, quality, sharding, substring
 from tributary.llm.common import read_table
 
 
@@ -35,6 +35,12 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of every document that is a license notice."""
+    docs = read_table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train_on(docs))
+
+
 def op7_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three words a shingle and a similarity of 85 in 100, as the query's contract says."""
     return near.near_components(read_table(spark, sf_dir, "documents"), shingle_words=3, threshold=(85, 100))
@@ -59,7 +65,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lines": op1_lines, "op2_bpe": op2_bpe, "op3_sharding": op3_sharding, "op4_substring": op4_substring,
-    "op5_fingerprints": op5_fingerprints, "op7_near": op7_near, "op8_quality": op8_quality, "op9_packing": op9_packing,
+    "op5_fingerprints": op5_fingerprints, "op6_licences": op6_licences, "op7_near": op7_near, "op8_quality": op8_quality, "op9_packing": op9_packing,
     "op10_chat": op10_chat,
 }
 ORACLE_SQL: dict[str, str] = {}
