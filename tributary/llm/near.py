@@ -176,7 +176,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle_words
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(sets, pa.binary())],
                                                  names=["node", "group", "n", "shingles"])
 
-    rows = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).join(wanted, "node")
+    rows = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).join(wanted.hint("merge"), "node")
     return rows.select("node", "group", "n", "text").mapInArrow(task, "node long, group long, n long, shingles binary")
 
 
