@@ -187,7 +187,7 @@ def near_links(docs: DataFrame, key: str = "doc_id", text: str = "text", thresho
             made = [np.unique(own.shingles(t.as_py() or "")).tobytes() for t in batch.column(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.binary())], names=["node", "group", "n", "shingles"])
 
-    rows = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).join(group.join(sizes, "group"), "node")
+    rows = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).join(group.join(sizes, "group").hint("merge"), "node")
     made = rows.select("node", "group", "n", "text").mapInArrow(sets, "node long, group long, n long, shingles binary")
     over, under = threshold
 

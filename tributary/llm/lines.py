@@ -70,17 +70,17 @@ def _links(lines: DataFrame) -> DataFrame:
     classes = cut(_bands(lines), "bands")
     posted = classes.select("node", F.posexplode("bands").alias("band_no", "band"))
     shared = posted.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = cut(posted.join(shared, "band"), "buckets")
+    members = cut(posted.join(shared.hint("merge"), "band"), "buckets")
     small = members.where(F.col("n") <= SMALL).select("band", "node")
     pairs = small.alias("x").join(small.alias("y"), "band").where("x.node < y.node").select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     pairs = cut(pairs, "pairs")
     large = members.where(F.col("n") > SMALL)
     wanted = functools.reduce(DataFrame.unionAll, [pairs.select("a"), pairs.select("b"), large.select("node")]).toDF("node").distinct()
-    once = lines.select(F.col("d1").alias("node"), "line").join(wanted, "node").dropDuplicates(["node"])
+    once = lines.select(F.col("d1").alias("node"), "line").join(wanted.hint("merge"), "node").dropDuplicates(["node"])
     sets = cut(once.select("node", F.transform(F.array_distinct(shingles(F.col("line"))), lambda s: F.hash(s)).alias("own")), "sets")
     left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
-    links = cut(pairs.join(left, "a").join(right, "b").where(_similar(F.col("left"), F.col("right"))).select("a", "b"), "links")
+    links = cut(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(_similar(F.col("left"), F.col("right"))).select("a", "b"), "links")
     if large.isEmpty():
         return links
     blocked = _blocked(large, sets, classes)
@@ -134,7 +134,7 @@ def line_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # the class of a line that has no link is (d1, d2)
     place = (F.coalesce(F.col("doc_id"), F.lit(-2**63)).cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)")
              + F.col("line_no")).cast("decimal(38,0)")
-    marked = places.join(label, "d1", "left").select(
+    marked = places.join(label.hint("merge"), "d1", "left").select(
         "doc_id", "line_no", "d1", "d2", F.coalesce("component", "d1").alias("c1"),
         F.when(F.col("component").isNull(), F.col("d2")).otherwise(0).alias("c2"), place.alias("place"))
     first = marked.groupBy("c1", "c2").agg(F.min("place").alias("first"))

@@ -291,9 +291,9 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
     copies = cut(names.join(first, ["d1", "d2"]).where("k > first").select("k", "d1").distinct(), "copies")
     flagged = _exchange(keyed.select("k", "d1", "text"), windows=False)
     wanted = cut(flagged.join(copies, ["k", "d1"], "left_anti"), "anchors")
-    held = cut(keyed.select("k", "d1", "text").join(wanted, ["k", "d1"]).select("k", "d1", "text", "ats"), "candidates")
+    held = cut(keyed.select("k", "d1", "text").join(wanted.hint("merge"), ["k", "d1"]).select("k", "d1", "text", "ats"), "candidates")
     starts = cut(_exchange(held, windows=True), "windows")
-    found = held.select("k", "d1", "text").join(starts, ["k", "d1"]).mapInArrow(
+    found = held.select("k", "d1", "text").join(starts.hint("merge"), ["k", "d1"]).mapInArrow(
         _strip, "k long, d1 long, kept_text string, n_removed long")
     return found.dropDuplicates(["k", "d1"]).unionByName(copies.select(
         "k", "d1", F.lit(None).cast("string").alias("kept_text"), F.lit(None).cast("long").alias("n_removed")))
@@ -321,7 +321,7 @@ def removal_digests(docs: DataFrame) -> DataFrame:
     gone = F.when(whole_copy & (F.col("n_words") >= WINDOW), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)))
     sha = (F.when(whole_copy & (F.col("n_words") >= WINDOW), F.lit(EMPTY_SHA256))
            .otherwise(F.coalesce("sha", "whole_sha256")))
-    return rows.join(found, ["k", "d1"], "left").select("doc_id", "n_words", gone.alias("n_removed"), sha.alias("kept_sha256"))
+    return rows.join(found.hint("merge"), ["k", "d1"], "left").select("doc_id", "n_words", gone.alias("n_removed"), sha.alias("kept_sha256"))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
