@@ -8,8 +8,8 @@ leaves one line of every component: the first by (doc_id, line number).
 Shingles are ``SHINGLE_CHARS`` characters long; one starts at every word and after every
 ``STEP_CHARS`` characters within a word, so all characters are covered at about a fifth of the
 positions.  Small buckets are compared pair by pair; in large ones blocks of lines are compared
-inside a row, and every line reports one neighbour outside its component a round, until none is
-left, so no bucket makes rows by its square and none is capped.
+inside a row (those that share a line form one group), and every line reports one neighbour outside its
+component a round, until none is left, so no bucket makes rows by its square and none is capped.
 """
 
 from __future__ import annotations
@@ -29,15 +29,14 @@ HASHES = 12  # each gives two values: its high and its low half
 BANDS = [tuple(range(4 * b, 4 * b + 4)) for b in range(6)] + [(0, 4, 8, 12), (16, 20, 1, 5)]
 THRESHOLD = 0.8
 SMALL = 16  # lines of a bucket that are compared pair by pair
-BLOCK = 64  # lines of a larger bucket that are compared at once
-BLANK = " \t\r\f\v"
+BLOCK = 256  # lines of a larger group that are compared at once
 
 
 def line_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, line_no, line, d1, d2) of every line that has a character other than white space."""
     rows = docs.where(F.col(text).isNotNull()).select(
         F.col(key).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
-    return rows.where(F.translate("line", BLANK, "") != "").select("*", *digest(F.col("line")))
+    return rows.where(F.col("line").rlike(r"\S")).select("*", *digest(F.col("line")))
 
 
 def shingles(line: Column) -> Column:
@@ -83,7 +82,13 @@ def _links(lines: DataFrame) -> DataFrame:
     links = cut(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(_similar(F.col("left"), F.col("right"))).select("a", "b"), "links")
     if large.isEmpty():
         return links
-    blocked = _blocked(large, sets, classes)
+    # large buckets that share lines are one group; a group's lines meet once, not once a band
+    hubs = large.groupBy("band").agg(F.min("node").alias("b"))
+    stars = cut(large.select("band", "node").join(hubs.hint("merge"), "band").select(F.col("node").alias("a"), "b").distinct(), "stars")
+    to_hub = cut(stars.where("a <> b").join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+                 .where(_similar(F.col("left"), F.col("right"))).select("a", "b"), "links")
+    links = links.unionAll(to_hub)
+    blocked = _blocked(cut(components(stars), "groups"), sets, classes)
     while True:
         more = cut(_outward(blocked, cut(components(links), "labels")), "links")
         if more.isEmpty():
@@ -91,28 +96,30 @@ def _links(lines: DataFrame) -> DataFrame:
         links = cut(links.unionAll(more), "links")
 
 
-def _blocked(large: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """(band, left, right, member): members of large buckets under every pair of blocks that has their own."""
-    n = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    rows = large.withColumn("own", F.pmod(F.xxhash64(F.lit(5), "node"), n).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), n - 1)))
-    return rows.select("band", "band_no", "node", "own", F.least("own", "other").alias("left"),
-                       F.greatest("own", "other").alias("right")).join(sets.toDF("node", "set"), "node").join(classes, "node")
+def _blocked(groups: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(component, left, right, member): members of groups under every pair of blocks that has their own."""
+    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    rows = groups.join(sizes, "component").join(sets.toDF("node", "set"), "node").join(classes, "node")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64(F.lit(5), "node"), "blocks").cast("int")).withColumnRenamed("component", "group")
+    return cut(rows, "members")
 
 
-def _outward(blocked: DataFrame, labels: DataFrame) -> DataFrame:
-    """For every member and pair of blocks its first similar line of another component."""
-    labelled = blocked.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
+def _outward(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """For every member and pair of blocks its first similar line of another component.  Only pairs that share a band count."""
+    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
     member = F.struct("node", "label", F.col("set").alias("own"), "bands")
-    rows = labelled.groupBy("band", "band_no", "left", "right").agg(
-        F.collect_list(F.when(F.col("own") == F.col("left"), member)).alias("x"),
-        F.collect_list(F.when(F.col("own") == F.col("right"), member)).alias("y"))
+    # a group whose lines hang together already is done
+    parts = labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("group")
+    rows = labelled.join(parts, "group").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.groupBy("group", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right")).agg(
+        F.collect_list(F.when(F.col("own") == F.least("own", "other"), member)).alias("x"),
+        F.collect_list(F.when(F.col("own") == F.greatest("own", "other"), member)).alias("y"))
 
     def found(a: Column) -> Column:
         def fits(b: Column) -> Column:
-            # a pair is compared in the first band that it shares only
-            before = F.exists(F.sequence(F.lit(1), F.col("band_no")), lambda i: F.element_at(a["bands"], i) == F.element_at(b["bands"], i))
-            return (a["label"] != b["label"]) & ~F.when(F.col("band_no") > 0, before).otherwise(False) & _similar(a["own"], b["own"])
+            near = F.size(a["own"]) >= F.lit(THRESHOLD) * F.size(b["own"])
+            return ((a["label"] != b["label"]) & near & (F.size(b["own"]) >= F.lit(THRESHOLD) * F.size(a["own"]))
+                    & F.arrays_overlap(a["bands"], b["bands"]) & _similar(a["own"], b["own"]))
 
         return F.struct(a["node"].alias("a"), F.get(F.filter("y", fits), F.lit(0))["node"].alias("b"))
 
@@ -153,5 +160,5 @@ def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "te
     lines = F.split(F.col(text), "\n", -1)
     kept = F.filter(F.transform(lines, lambda x, i: F.when(~F.array_contains("__gone", i), x)), lambda x: x.isNotNull())
     new = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    left = rows.withColumn(text, new).where(F.col("__gone").isNull() | (F.translate(F.col(text), BLANK + "\n", "") != ""))
+    left = rows.withColumn(text, new).where(F.col("__gone").isNull() | F.col(text).rlike(r"\S"))
     return left.select(*docs.columns)
