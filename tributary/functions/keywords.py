@@ -4,7 +4,7 @@ The original used a dictionary word segmenter in finest-grain mode, one phrase p
 Here segmentation is a native column expression so it runs inside whole-stage codegen
 on every executor:
 
-* runs of ASCII letters/digits become one lower-case word each;
+* runs of letters and digits of any script but Han become one lower-case word each;
 * runs of Han characters become overlapping bigrams (a single character stays a word),
   the finest-grain fallback for text without a dictionary.
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed patterns of the segmenter.
-WORD_PATTERN = r"[a-z0-9]+"
+WORD_PATTERN = r"[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]+"
 HAN_RUN_PATTERN = r"\p{IsHan}+"
 
 
@@ -38,7 +38,7 @@ def keyword_tokens(text: Column | str) -> Column:
 
 # The same segmentation as SQL text (for the SQL table function); ``{t}`` is the input.
 TOKENS_SQL = (
-    "concat(regexp_extract_all(lower(coalesce({t}, '')), '[a-z0-9]+', 0), "
+    "concat(regexp_extract_all(lower(coalesce({t}, '')), '[\\\\p{{L}}\\\\p{{M}}\\\\p{{N}}&&[^\\\\p{{IsHan}}]]+', 0), "
     "flatten(transform(regexp_extract_all(coalesce({t}, ''), '\\\\p{{IsHan}}+', 0), "
     "r -> CASE WHEN length(r) <= 1 THEN array(r) "
     "ELSE transform(sequence(1, length(r) - 1), i -> substring(r, i, 2)) END)))"

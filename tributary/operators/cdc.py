@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.timefmt import epoch_days_to_text
-from tributary.operators.lookup import checked_broadcast
 from tributary.schemas import (CDC_OPERATIONS, CHANGE_EVENT, DEFAULT_PK, SINK_TYPE_HBASE,
                                SINK_TYPE_KAFKA, STRING_MAP)
 
@@ -61,11 +60,13 @@ def envelope_json(env: DataFrame) -> DataFrame:
 def parse_changes(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
     """Parse change-topic JSON.  The original parsed strictly (a bad record failed the job):
     ``on_bad="fail"``; ``on_bad="drop"`` drops unparsable records instead."""
-    opts = {"mode": "FAILFAST"} if on_bad == "fail" else {"mode": "DROPMALFORMED"}
-    p = lines.select("offset", F.from_json("value", CHANGE_EVENT, opts).alias("__e"))
-    if on_bad != "fail":
-        p = p.filter(F.col("__e").isNotNull())
-    return p.select("offset", "__e.*")
+    if on_bad == "fail":
+        parsed = lines.select("offset", F.from_json("value", CHANGE_EVENT, {"mode": "FAILFAST"}).alias("__e"))
+    else:
+        parsed = (lines.filter(F.try_parse_json("value").isNotNull())
+                  .select("offset", F.from_json("value", CHANGE_EVENT).alias("__e"))
+                  .filter(F.col("__e.tableName").isNotNull()))
+    return parsed.select("offset", "__e.*")
 
 
 def filter_tables(env: DataFrame, databases: list[str] | None = None,
@@ -112,7 +113,8 @@ def rules_from_changes(rule_changes: DataFrame) -> DataFrame:
 
 
 def rule_key(table: Column, op: Column) -> Column:
-    return F.concat_ws("-", table, op)
+    """``table-operation``; a missing part reads ``null``, as in the original's key."""
+    return F.concat(F.coalesce(table, F.lit("null")), F.lit("-"), F.coalesce(op, F.lit("null")))
 
 
 def latest_rules(rules: DataFrame) -> DataFrame:
@@ -149,12 +151,11 @@ def route(env: DataFrame, rules: DataFrame, seq: str | None = None,
     rule versions (``rule_versions``): then each change uses the version that was
     active when it arrived (``valid_from < seq <= valid_to``), so a change that arrives
     before its rule finds none.  Unmatched changes keep NULL rule columns
-    (``matched = false``).  Rules are configuration: broadcast after a size check.
+    (``matched = false``).  Rules are configuration, so Spark broadcasts them by its byte threshold.
     Snapshot changes (type ``read``) match only ``read`` rules, as in the original;
     ``read_as="insert"`` routes them with the insert rules instead.
     """
-    r = checked_broadcast(rules.select("rule_key", *RULE_FIELDS,
-                                       *(["valid_from", "valid_to"] if seq else [])))
+    r = rules.select("rule_key", *RULE_FIELDS, *(["valid_from", "valid_to"] if seq else []))
     op = F.col("type")
     if read_as:
         op = F.when(op == "read", F.lit(read_as)).otherwise(op)
@@ -244,22 +245,14 @@ def create_dimension_table_schema(sink_columns: str, sink_pk: str | None = None)
 def snapshot(env: DataFrame, key: str = "id", seq: str = "offset") -> DataFrame:
     """The current table of a change log: ``tableName, pk, row MAP``.
 
-    A key whose last change is a delete has no row.  Otherwise each column takes its
-    last non-NULL value among the changes after the key's last delete.
+    A row image replaces the row: the last change of a key decides, a delete leaves no row, and
+    a column that the last image does not carry is absent.
     """
     pk = F.coalesce(F.col("after")[key], F.col("before")[key])
-    keyed = env.withColumn("__pk", pk)
-    info = (keyed.groupBy("tableName", "__pk")
-                 .agg(F.max_by("type", seq).alias("__last"),
-                      F.max(F.when(F.col("type") == "delete", F.col(seq))).alias("__del")))
-    live = info.filter(~F.col("__last").eqNullSafe("delete"))
-    long = _long_form(keyed.filter(~F.col("type").eqNullSafe("delete")),
-                      [F.col("tableName"), F.col("__pk")], "after", seq)
-    j = long.join(live, ["tableName", "__pk"]).filter(
-        F.col("__del").isNull() | (F.col("__seq") > F.col("__del")))
-    last = j.groupBy("tableName", "__pk", "k").agg(F.max_by("v", "__seq").alias("v"))
-    return (last.groupBy("tableName", F.col("__pk").alias("pk"))
-                .agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("row")))
+    last = (env.groupBy("tableName", pk.alias("pk"))
+               .agg(F.max_by(F.struct("type", F.col("after").alias("row")), seq).alias("__l")))
+    return (last.filter(~F.col("__l.type").eqNullSafe("delete"))
+                .select("tableName", "pk", F.col("__l.row").alias("row")))
 
 
 def retract_stream(env: DataFrame, columns: list[str], seq: str = "offset") -> DataFrame:

@@ -27,9 +27,22 @@ def parse_logs(lines: DataFrame, value_col: str = "value", on_bad: str = "split"
         opts = {"mode": "FAILFAST"}
     parsed = lines.withColumn("__log", F.from_json(F.col(value_col), ACTION_LOG, opts))
     corrupt = F.col(f"__log.{CORRUPT_COLUMN}")
-    reason = (F.when(F.col("__log").isNull() | corrupt.isNotNull(), F.lit("malformed"))
+    # validity comes from the text alone: a field of another type is converted, or NULL
+    json = F.try_parse_json(F.col(value_col))
+    is_object = F.coalesce(F.schema_of_variant(json).startswith("OBJECT"), F.lit(False))
+    reason = (F.when(~is_object, F.lit("malformed"))
                .when(F.col("__log.common").isNull(), F.lit("no_common")))
-    return (parsed.select(*lines.columns, *[F.col(f"__log.{c}").alias(c) for c in LOG_FIELDS],
+
+    def converted(path: str, value: Column) -> Column:
+        return F.when(corrupt.isNull(), value).otherwise(
+            F.coalesce(value, F.get_json_object(value_col, path).try_cast("long")))
+
+    fields = {c: F.col(f"__log.{c}") for c in LOG_FIELDS}
+    fields["ts"] = converted("$.ts", fields["ts"])
+    fields["page"] = F.when(corrupt.isNull(), fields["page"]).otherwise(
+        F.when(fields["page"].isNotNull(), fields["page"].withField(
+            "during_time", converted("$.page.during_time", fields["page"]["during_time"]))))
+    return (parsed.select(*lines.columns, *[v.alias(c) for c, v in fields.items()],
                           reason.alias("dirty_reason")))
 
 

@@ -1,10 +1,8 @@
 """Dimension lookup joins (the async point-lookup of the original, as a join).
 
-The original looked each fact row up in a key-value store through a cache and a
-thread pool.  On Spark the dimension is the static side of a join: a broadcast hash
-join when the dimension is provably small, a shuffle join otherwise.  The size check
-is explicit (a bounded count), so a dimension that grows past the limit silently
-switches to the shuffle plan instead of overflowing executor memory.
+The original looked each fact row up in a key-value store through a cache and a thread pool.
+Here the dimension is one side of an equi-join.  Which join it becomes is Spark's choice: its
+byte-based broadcast threshold at planning, and adaptive execution by the sizes it measures.
 """
 
 from __future__ import annotations
@@ -12,73 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) we are willing to ship to every executor.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (counts at most ``max_rows + 1``)."""
-    return not df.isStreaming and df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check counts at most ``max_rows + 1`` rows (a LIMIT stops the scan early), so it
-    costs a bounded amount even on a huge table.  Streaming DataFrames are never broadcast.
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-class CheckedDims(dict):
-    """Dimension tables whose broadcast decision is taken once, on first use.
-
-    A plan that looks the same dimension up several times (or a job that builds several
-    plans) pays for one bounded size check per dimension instead of one per lookup.
-    """
-
-    def __init__(self, dims: dict[str, DataFrame],
-                 max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
-        super().__init__()
-        self._raw = dims
-        self._max_rows = max_rows
-
-    def __getitem__(self, name: str) -> DataFrame:
-        if not dict.__contains__(self, name):
-            self.prefetch([name])
-        return dict.__getitem__(self, name)
-
-    def prefetch(self, names) -> None:
-        """Decide several dimensions with one job: a union of their bounded counts."""
-        todo = [n for n in names if not dict.__contains__(self, n)]
-        if not todo:
-            return
-        from functools import reduce
-        parts = [self._raw[n].limit(self._max_rows + 1).select(F.lit(n).alias("dim"))
-                 for n in todo]
-        counted = reduce(lambda a, b: a.unionByName(b), parts).groupBy("dim").count()
-        sizes = {r["dim"]: r["count"] for r in counted.collect()}     # one row per dimension
-        for n in todo:
-            df = self._raw[n]
-            small = sizes.get(n, 0) <= self._max_rows and not df.isStreaming
-            dict.__setitem__(self, n, F.broadcast(df) if small else df)
-
-    def __contains__(self, name: object) -> bool:
-        return name in self._raw
-
-    def keys(self):
-        return self._raw.keys()
-
-
-def dim_broadcast_mode(dims: dict) -> str:
-    """``as_is`` for :class:`CheckedDims` (already decided), ``check`` otherwise."""
-    return "as_is" if isinstance(dims, CheckedDims) else "check"
-
 
 def lookup(facts: DataFrame, dim: DataFrame, key: Column | str, columns: dict[str, str],
-           dim_key: str = "id", missing: str = "keep", overwrite: tuple[str, ...] = (),
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-           broadcast: str = "check") -> DataFrame:
+           dim_key: str = "id", missing: str = "keep", overwrite: tuple[str, ...] = ()) -> DataFrame:
     """Enrich ``facts`` with ``columns`` (``{dim column: output column}``) of ``dim``.
 
     ``key`` is compared as text with ``dim_key`` (dimension tables are all-text).
@@ -86,16 +20,13 @@ def lookup(facts: DataFrame, dim: DataFrame, key: Column | str, columns: dict[st
     attributes; ``missing="drop"`` drops them, which is what the original observably did
     (its lookup threw and the record never completed).  Output columns listed in
     ``overwrite`` replace a same-named fact column, keeping the fact's value when the
-    dimension has none.  ``broadcast="check"`` size-checks the dimension here;
-    ``"as_is"`` keeps whatever decision the caller already attached (``CheckedDims``).
+    dimension has none.
     """
     k = F.col(key) if isinstance(key, str) else key
     tmp = {dst: f"__dim_{dst}" for dst in columns.values()}
     d = dim.select(F.col(dim_key).alias("__dim_key"),
                    *[F.col(src).alias(tmp[dst]) for src, dst in columns.items()])
     how = {"keep": "left", "drop": "inner"}[missing]
-    if broadcast == "check":
-        d = checked_broadcast(d, max_broadcast_rows)
     j = facts.join(d, k.cast("string") == F.col("__dim_key"), how)
     added = []
     for dst, t in tmp.items():

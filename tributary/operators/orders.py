@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.timefmt import age_in_years
-from tributary.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, dim_broadcast_mode, lookup
+from tributary.operators.lookup import lookup
 from tributary.schemas import (MONEY, ORDER_JOIN_LOWER_S, ORDER_JOIN_UPPER_S, ORDER_WIDE_COLUMNS,
                                PAYMENT_JOIN_LOWER_S, PAYMENT_JOIN_UPPER_S, PAYMENT_WIDE_COLUMNS,
                                WATERMARK_DELAY)
@@ -129,21 +129,16 @@ def order_wide_base(info: DataFrame, detail: DataFrame, lower_s: int = ORDER_JOI
 
 
 def enrich_order_wide(wide: DataFrame, dims: dict[str, DataFrame], as_of: Column | None = None,
-                      missing: str = "keep",
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                      missing: str = "keep") -> DataFrame:
     """J5a-J5d: user, province, sku, then spu / trademark / category3 by the sku's ids.
 
     ``as_of`` is the instant ages are computed at (default: now, as the original did).
     """
-    kw = {"missing": missing, "max_broadcast_rows": max_broadcast_rows,
-          "broadcast": dim_broadcast_mode(dims)}
+    kw = {"missing": missing}
     keep = [c for c in wide.columns if c not in ("user_gender", "user_age", "province_name",
                                                  "province_area_code", "province_iso_code",
                                                  "province_3166_2_code", "category3_id", "spu_id",
                                                  "tm_id", "spu_name", "tm_name", "category3_name")]
-    if hasattr(dims, "prefetch"):
-        dims.prefetch(["dim_user_info", "dim_base_province", "dim_sku_info", "dim_spu_info",
-                       "dim_base_trademark", "dim_base_category3"])
     w = wide.select(*keep)
     w = lookup(w, dims["dim_user_info"], "user_id",
                {"gender": "user_gender", "birthday": "__birthday"}, **kw)

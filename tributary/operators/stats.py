@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tributary.functions.keywords import keyword_tokens
 from tributary.functions.timefmt import (event_time, flexible_event_time, second_event_time,
                                          window_text_columns)
-from tributary.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, dim_broadcast_mode, lookup
+from tributary.operators.lookup import lookup
 from tributary.operators.visits import is_entry_page
 from tributary.schemas import (APPRAISE_GOOD, KEYWORD_SOURCE, MONEY, MONEY_SUM,
                                PRODUCT_STATS_COLUMNS, PROVINCE_STATS_COLUMNS,
@@ -195,14 +195,10 @@ def product_stats_raw(events: DataFrame, size: str = WINDOW_SIZE,
 
 
 def product_stats(events: DataFrame, dims: dict[str, DataFrame], size: str = WINDOW_SIZE,
-                  delay: str | None = WATERMARK_DELAY["product_stats"], missing: str = "keep",
-                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                  delay: str | None = WATERMARK_DELAY["product_stats"], missing: str = "keep") -> DataFrame:
     """A2: product statistics with sku, spu, category3 and trademark attributes."""
     s = product_stats_raw(events, size, delay)
-    if hasattr(dims, "prefetch"):
-        dims.prefetch(["dim_sku_info", "dim_spu_info", "dim_base_category3", "dim_base_trademark"])
-    kw = {"missing": missing, "max_broadcast_rows": max_broadcast_rows,
-          "broadcast": dim_broadcast_mode(dims)}
+    kw = {"missing": missing}
     s = lookup(s, dims["dim_sku_info"], "sku_id",
                {"sku_name": "sku_name", "price": "sku_price", "spu_id": "spu_id",
                 "tm_id": "tm_id", "category3_id": "category3_id"}, **kw)

@@ -367,9 +367,9 @@ SELECT sink_table, CAST(id AS VARCHAR) AS pk,
 FROM routed WHERE sink_type = 'hbase' GROUP BY sink_table, id"""),
     "cdc_snapshot": (("changes",), """
 SELECT table_name, CAST(id AS VARCHAR) AS pk,
-       arg_max(name, seq) FILTER (WHERE name IS NOT NULL AND type <> 'delete') AS name,
-       arg_max(segment, seq) FILTER (WHERE segment IS NOT NULL AND type <> 'delete') AS segment
-FROM changes GROUP BY table_name, id HAVING arg_max(type, seq) <> 'delete'"""),
+       last.name AS name, last.segment AS segment
+FROM (SELECT table_name, id, arg_max({'type': type, 'name': name, 'segment': segment}, seq) AS last
+      FROM changes GROUP BY table_name, id) AS k WHERE last.type <> 'delete'"""),
     "cdc_retract": (("changes",), """
 SELECT seq, table_name, CAST(0 AS BIGINT) AS pos, true AS flag, CAST(id AS VARCHAR) AS id, name, segment
 FROM changes WHERE type = 'insert'

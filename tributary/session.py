@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -53,19 +52,15 @@ def get_session(master: str | None = None, app_name: str = "tributary",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage cuts.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only invent one (a fresh local
-    folder) when the setting is absent on ``local[*]`` (tests).  On a cluster a missing
-    setting is an error: a machine-local folder would not survive losing that machine.
+    The session names it in ``spark.checkpoint.dir``; a missing setting is an error, since a
+    machine-local folder would not survive losing that machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
-                               "(layers, stream checkpoints and sinks are written there)")
-        root = tempfile.mkdtemp(prefix="tributary-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                           "(layers, stream checkpoints and sinks are written there)")
     spark.sparkContext.setCheckpointDir(root)
     return root
 

@@ -78,8 +78,10 @@ def ensure_dimension_tables(spark: SparkSession, root: str, rules: DataFrame) ->
     here.  Rules are configuration, a handful of rows: they are read on the driver.
     """
     created = []
-    for r in rules.filter(F.col("sinkType") == "hbase").select(
-            "sinkTable", "sinkColumns", "sinkPk").distinct().collect():
+    # of several rules for one table the first by rule_seq declares it (then by its text)
+    first = (rules.filter(F.col("sinkType") == "hbase").groupBy("sinkTable")
+             .agg(F.min(F.struct("rule_seq", "sinkColumns", "sinkPk")).alias("r")))
+    for r in first.select("sinkTable", "r.sinkColumns", "r.sinkPk").orderBy("sinkTable").collect():
         path = os.path.join(root, "tables", r["sinkTable"])
         if not _exists(spark, path):
             schema = create_dimension_table_schema(r["sinkColumns"], r["sinkPk"])

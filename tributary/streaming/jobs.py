@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tributary.functions.timefmt import duration_ms
 from tributary.operators import logs, orders, stats, visits
-from tributary.operators.lookup import CheckedDims, lookup
+from tributary.operators.lookup import lookup
 from tributary.plans import oracle
 from tributary.plans.queries import ORDER_BASE_COLUMNS, PAYMENT_OUT
 from tributary.plans.warehouse import QUERY_WINDOW, QUERY_WITHIN, Warehouse
@@ -121,11 +121,10 @@ def payment_wide_stream(spark, sf_dir):
 def province_stats_stream(spark, sf_dir):
     """A4 on a stream: order-wide topic -> 0 s watermark -> distinct orders and amount."""
     w = Warehouse(spark, sf_dir)
-    dims = CheckedDims(testdata.dims(spark, sf_dir))
+    dims = testdata.dims(spark, sf_dir)
     ow = lookup(w.order_wide_base.drop("rowtime"), dims["dim_base_province"], "province_id",
                 {"name": "province_name", "area_code": "province_area_code",
-                 "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code"},
-                broadcast="as_is")
+                 "iso_code": "province_iso_code", "iso_3166_2": "province_3166_2_code"})
     topics = ChunkedTopics(spark, {"order_wide": (ow, F.col("create_time").cast("bigint"))},
                            N_CHUNKS, "province_stats")
 
@@ -153,7 +152,7 @@ def product_stats_stream(spark, sf_dir):
         "comment": (testdata.comment_info(s, d), ms("create_time")),
     }
     topics = ChunkedTopics(spark, inputs, N_CHUNKS, "product_stats")
-    dims = CheckedDims(testdata.dims(spark, sf_dir))
+    dims = testdata.dims(spark, sf_dir)
 
     def build():
         r = {k: topics.read(k) for k in inputs}
@@ -287,7 +286,7 @@ def dim_freshness_stream(spark, sf_dir):
 
     def enrich(batch, batch_id):
         users = dimension_table(spark, f"{store}/dims", "dim_user_info", "id,name,segment")
-        (lookup(batch, users, "user_id", {"segment": "user_segment"}, broadcast="check")
+        (lookup(batch, users, "user_id", {"segment": "user_segment"})
             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite").parquet(f"{out}/batch={batch_id:012d}"))
 
