@@ -7,9 +7,9 @@ leaves one line of every component: the first by (doc_id, line number).
 
 Shingles are ``SHINGLE_CHARS`` characters long; one starts at every word and after every
 ``STEP_CHARS`` characters within a word, so all characters are covered at about a fifth of the
-positions.  Small buckets are compared pair by pair; in large ones blocks of lines are compared
-inside a row (those that share a line form one group), and every line reports one neighbour outside its
-component a round, until none is left, so no bucket makes rows by its square and none is capped.
+positions.  Small buckets are compared pair by pair; in large ones the lines hang on the bucket's first
+line, or on a line that does, and only what is left is compared pair by pair, so a crowd of copies makes no
+rows by its square and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -23,13 +23,13 @@ from tributary.llm.common import cut, digest
 from tributary.llm.components import components
 
 SHINGLE_CHARS, STEP_CHARS = 8, 6
-HASHES = 12  # each gives two values: its high and its low half
+HASHES = 12  # each gives two values: its least and its greatest
 #: The bands: places of the values that they hold.  Two agreeing bands in a hundred lines are chance,
 #: one of eight is missed by about 2 in 100 pairs at the threshold and by 2 in 1,000 at 0.9.
 BANDS = [tuple(range(4 * b, 4 * b + 4)) for b in range(6)] + [(0, 4, 8, 12), (16, 20, 1, 5)]
 THRESHOLD = 0.8
 SMALL = 16  # lines of a bucket that are compared pair by pair
-BLOCK = 256  # lines of a larger group that are compared at once
+BLOCK = 4096  # lines of a larger bucket that meet in one task
 
 
 def line_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -46,22 +46,22 @@ def shingles(line: Column) -> Column:
 
 def _bands(lines: DataFrame) -> DataFrame:
     """(node, bands) of every distinct line; node is d1.  Equal lines are added up before the shuffle."""
-    low = F.lit(0xFFFFFFFF)
     parts = lines.select("d1", "d2", F.explode(shingles(F.col("line"))).alias("shingle")).select(
         "d1", "d2", F.xxhash64("shingle").alias("x"))
     values = parts.select("d1", "d2", *(F.xxhash64("x", F.lit(j)).alias(f"h{j}") for j in range(HASHES)))
     least = values.groupBy("d1").agg(
         F.min("d2").alias("d2"), F.max("d2").alias("other"),
-        *(m for j in range(HASHES) for m in (F.min(F.shiftright(f"h{j}", 32)).alias(f"m{2 * j}"),
-                                             F.min(F.col(f"h{j}").bitwiseAND(low)).alias(f"m{2 * j + 1}"))))
+        *(m for j in range(HASHES) for m in (F.min(f"h{j}").alias(f"m{2 * j}"), F.max(f"h{j}").alias(f"m{2 * j + 1}"))))
     # two lines of one d1 (a collision of hashes) are left to the exact comparison of (d1, d2)
     return least.where("d2 = other").select(F.col("d1").alias("node"), F.array(
         *(F.xxhash64(F.lit(b), *(F.col(f"m{i}") for i in of)) for b, of in enumerate(BANDS))).alias("bands"))
 
 
 def _similar(a: Column, b: Column) -> Column:
-    both = F.size(F.array_intersect(a, b))
-    return both >= F.lit(THRESHOLD) * (F.size(a) + F.size(b) - both)
+    """Intersection >= ``THRESHOLD`` of the union, in whole numbers; sizes that rule it out come first."""
+    percent = round(100 * THRESHOLD)
+    near = (100 * F.size(a) >= percent * F.size(b)) & (100 * F.size(b) >= percent * F.size(a))
+    return near & ((100 + percent) * F.size(F.array_intersect(a, b)) >= percent * (F.size(a) + F.size(b)))
 
 
 def _links(lines: DataFrame) -> DataFrame:
@@ -76,55 +76,53 @@ def _links(lines: DataFrame) -> DataFrame:
     pairs = cut(pairs, "pairs")
     large = members.where(F.col("n") > SMALL)
     wanted = functools.reduce(DataFrame.unionAll, [pairs.select("a"), pairs.select("b"), large.select("node")]).toDF("node").distinct()
-    once = lines.select(F.col("d1").alias("node"), "line").join(wanted.hint("merge"), "node").dropDuplicates(["node"])
+    once = lines.select(F.col("d1").alias("node"), "line").join(wanted.hint("shuffle_hash"), "node").dropDuplicates(["node"])
     sets = cut(once.select("node", F.transform(F.array_distinct(shingles(F.col("line"))), lambda s: F.hash(s)).alias("own")), "sets")
     left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
     links = cut(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(_similar(F.col("left"), F.col("right"))).select("a", "b"), "links")
     if large.isEmpty():
         return links
-    # large buckets that share lines are one group; a group's lines meet once, not once a band
-    hubs = large.groupBy("band").agg(F.min("node").alias("b"))
-    stars = cut(large.select("band", "node").join(hubs.hint("merge"), "band").select(F.col("node").alias("a"), "b").distinct(), "stars")
-    to_hub = cut(stars.where("a <> b").join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-                 .where(_similar(F.col("left"), F.col("right"))).select("a", "b"), "links")
-    links = links.unionAll(to_hub)
-    blocked = _blocked(cut(components(stars), "groups"), sets, classes)
-    while True:
-        more = cut(_outward(blocked, cut(components(links), "labels")), "links")
-        if more.isEmpty():
-            return links
-        links = cut(links.unionAll(more), "links")
-
-
-def _blocked(groups: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """(component, left, right, member): members of groups under every pair of blocks that has their own."""
-    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    rows = groups.join(sizes, "component").join(sets.toDF("node", "set"), "node").join(classes, "node")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64(F.lit(5), "node"), "blocks").cast("int")).withColumnRenamed("component", "group")
-    return cut(rows, "members")
-
-
-def _outward(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """For every member and pair of blocks its first similar line of another component.  Only pairs that share a band count."""
-    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    member = F.struct("node", "label", F.col("set").alias("own"), "bands")
-    # a group whose lines hang together already is done
-    parts = labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("group")
-    rows = labelled.join(parts, "group").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.groupBy("group", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right")).agg(
-        F.collect_list(F.when(F.col("own") == F.least("own", "other"), member)).alias("x"),
-        F.collect_list(F.when(F.col("own") == F.greatest("own", "other"), member)).alias("y"))
-
-    def found(a: Column) -> Column:
-        def fits(b: Column) -> Column:
-            near = F.size(a["own"]) >= F.lit(THRESHOLD) * F.size(b["own"])
-            return ((a["label"] != b["label"]) & near & (F.size(b["own"]) >= F.lit(THRESHOLD) * F.size(a["own"]))
-                    & F.arrays_overlap(a["bands"], b["bands"]) & _similar(a["own"], b["own"]))
-
-        return F.struct(a["node"].alias("a"), F.get(F.filter("y", fits), F.lit(0))["node"].alias("b"))
-
-    links = rows.select(F.explode(F.filter(F.transform("x", found), lambda p: p["b"].isNotNull())).alias("p"))
-    return links.select("p.a", "p.b").distinct()
+    return _large_links(large, sets, classes, links)
+
+
+def _large_links(large: DataFrame, sets: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``links`` with those of the large buckets, as stars of components.
+
+    The core of a bucket are the lines similar to its first one, the hub.  A line outside the core hangs
+    on the hub if any line of the core is similar to it (a semi-join, so it makes one row and stops at
+    the first); lines outside are compared with one another where their components still differ.
+    So every pair that shares a bucket is compared, or is linked already, and a crowd of copies makes
+    no rows by its square.
+    """
+    rows = large.join(sets.hint("merge"), "node").join(classes.hint("merge"), "node")
+    hubs = large.groupBy("band").agg(F.min("node").alias("node")).join(sets.hint("merge"), "node").select(
+        "band", F.col("node").alias("hub"), F.col("own").alias("hub_own"))
+    rows = rows.join(hubs.hint("merge"), "band").withColumn("core", _similar(F.col("own"), F.col("hub_own"))).drop("hub_own")
+    rows = cut(rows.withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
+               .withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), "blocks").cast("int")), "members")
+    core, rest = rows.where("core"), rows.where("not core")
+    hung = _met(rest, core, "left_semi").select(F.col("x.node").alias("a"), F.col("x.hub").alias("b"))
+    near_hub = core.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    labels = cut(components(functools.reduce(DataFrame.unionAll, [links, near_hub, hung])), "labels")
+    labelled = rest.join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    labelled = cut(labelled, "rest")
+    across = _met(labelled, labelled, "inner", F.col("x.label") < F.col("y.label")).select(
+        F.col("x.label").alias("a"), F.col("y.label").alias("b")).distinct()
+    return cut(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(across), "links")
+
+
+def _met(x: DataFrame, y: DataFrame, how: str, also: Column | None = None) -> DataFrame:
+    """Similar rows x and y of a bucket, each pair in the first bucket that it shares.  Blocks of both
+    sides meet, so a bucket of any size is spread over tasks."""
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    x = x.withColumn("bx", F.col("block")).withColumn("by", every).alias("x")
+    y = y.withColumn("by", F.col("block")).withColumn("bx", every).alias("y")
+    on = functools.reduce(Column.__and__, (F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("band", "bx", "by")))
+    if also is not None:
+        on &= also
+    for b in range(len(BANDS)):
+        on &= (F.col("x.band_no") <= b) | (F.get("x.bands", F.lit(b)) != F.get("y.bands", F.lit(b)))
+    return x.join(y.hint("merge"), on & _similar(F.col("x.own"), F.col("y.own")), how)
 
 
 def line_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -136,8 +134,8 @@ def line_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     its twin keeps.  Null and empty texts and blank lines give no rows; extra columns are left out.
     """
     lines = line_rows(docs, key, text)
+    places = cut(lines.select("doc_id", "line_no", "d1", "d2"), "places")
     label = components(_links(lines)).select(F.col("node").alias("d1"), "component")
-    places = lines.select("doc_id", "line_no", "d1", "d2")
     # the class of a line that has no link is (d1, d2)
     place = (F.coalesce(F.col("doc_id"), F.lit(-2**63)).cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)")
              + F.col("line_no")).cast("decimal(38,0)")
