@@ -56,3 +56,25 @@ def test_new_flag_fixture(spark):
         got.setdefault(r.mid, []).append((r.ts, r.is_new))
     assert [f for _, f in sorted(got["a"])] == ["1", "0", "0", "0"]
     assert [f for _, f in sorted(got["b"])] == ["0", "1", "0"]
+
+
+def test_fields_that_no_schema_names_are_forwarded(spark):
+    rec = {"common": {"mid": "a", "is_new": "1", "uid": "u1"}, "page": {"page_id": "home", "x": [1, {"y": None}]},
+           "displays": [{"item": "7", "order": 1}, {"item": "8", "pos": {"z": 2}}], "actions": [{"id": 1}], "ts": 5}
+    later = {"common": {"mid": "a", "is_new": "1"}, "start": {"entry": "icon"}, "ts": 6}
+    out = logs.split_logs(_lines(spark, [rec, later]))
+    assert [json.loads(r.value) for r in out["page"].collect()] == [rec]
+    later["common"]["is_new"] = "0"
+    assert [json.loads(r.value) for r in out["start"].collect()] == [later]
+    shown = [json.loads(r.value) for r in out["display_records"].collect()]
+    assert shown == [{"item": "7", "order": 1, "page_id": "home"}, {"item": "8", "pos": {"z": 2}, "page_id": "home"}]
+
+
+def test_validity_comes_from_the_text_alone(spark):
+    common = '"common": {"mid": "a"}'
+    texts = ['{%s, "ts": "1620000000000"}' % common, '{%s, "ts": 1, "page": {"during_time": "12"}}' % common,
+             '{%s, "ts": 1, "displays": {}}' % common, '{%s, "ts": 1} trailing' % common,
+             '{%s}] {}' % common, '{%s}} {}' % common, '{%s},{}' % common, '{%s}, "a": 1' % common, ' {%s} ' % common]
+    got = {r.offset: r for r in logs.parse_logs(_lines(spark, texts)).collect()}
+    assert [got[i].dirty_reason for i in range(9)] == [None] * 3 + ["malformed"] * 5 + [None]
+    assert got[0].ts == 1620000000000 and got[1].page.during_time == 12

@@ -63,3 +63,46 @@ def test_fixed_topic_records_omit_nulls(spark):
     assert [r.value for r in recs.collect()] == ['{"id":1,"name":"a"}']
     topics.write_topic(recs, path=path)
     assert [r.value for r in spark.read.text(path).collect()] == ['{"id":1,"name":"a"}']
+
+
+def test_reads_after_compaction_equal_reads_before(spark):
+    root = scratch_path(spark, "test-dims", uuid.uuid4().hex)
+
+    def write(batch, rows):
+        df = spark.createDataFrame(rows, "offset long, sinkTable string, sinkPk string, data map<string,string>")
+        dims.write_deltas(dims.dimension_deltas(df), root, batch)
+
+    def read():
+        return {r.id: (r.a, r.b) for r in dims.dimension_table(spark, root, "d", "id,a,b").collect()}
+    assert dims.compact(spark, root) is None
+    write(0, [(1, "d", None, {"id": "1", "a": "x", "b": "y"})])
+    write(1, [(2, "d", None, {"id": "1", "a": "z"})])
+    before = read()
+    assert dims.compact(spark, root) == 1 and dims.compact(spark, root) == 1
+    assert read() == before == {"1": ("z", "y")}
+    write(2, [(3, "d", None, {"id": "1", "b": "w"}), (4, "d", None, {"id": "2", "a": "q"})])
+    assert read() == {"1": ("z", "w"), "2": ("q", None)}
+    assert dims.compact(spark, root) == 2
+    assert read() == {"1": ("z", "w"), "2": ("q", None)}
+
+
+def test_first_rule_declares_the_table(spark):
+    from tributary.sources.changes import RULE_ROW
+    root = scratch_path(spark, "test-dims", uuid.uuid4().hex)
+    rules = spark.createDataFrame([(2, "user_info", "update", "hbase", "dim_user", "id", None, None),
+                                   (1, "user_info", "insert", "hbase", "dim_user", "id,name", None, None)], RULE_ROW)
+    assert dims.ensure_dimension_tables(spark, root, rules) == ["dim_user"]
+    assert spark.read.parquet(os.path.join(root, "tables", "dim_user")).columns == ["id", "name"]
+
+
+def test_rule_topic_keeps_rule_order_and_drops_bad_records(spark):
+    from tributary.operators import cdc
+    from tributary.sources import changes
+    path = scratch_path(spark, "test-rules", uuid.uuid4().hex)
+    for seq, cols in ((2, "id,name"), (1, "id")):
+        changes.rule_events(spark, [(seq, "t", "insert", "kafka", "dwd_t", cols, None, None)]).write.mode("append").json(path)
+    changes.rule_events(spark, [(3, None, None, None, None, None, None, None)]).write.mode("append").json(path)
+    spark.createDataFrame([(4, '{"tableName": ')], "offset long, value string").write.mode("append").json(path)
+    rules = changes.read_rule_changes(spark, path)
+    assert sorted(r.rule_seq for r in rules.collect()) == [1, 2]
+    assert [r.sinkColumns for r in cdc.latest_rules(rules).collect()] == ["id,name"]

@@ -61,6 +61,24 @@ def test_new_flag_stream_fixture(spark):
     assert [out[i] for i in range(8)] == ["1", "0", "0", "0", "0", "1", "0", "0"]
 
 
+def test_unique_visit_stream_emits_at_once_and_keeps_late_entries(spark):
+    from tributary.streaming.runner import without_empty_batches
+    hour, day = 3_600_000, 86_400_000
+    start = T0 - T0 % day
+    rec = lambda off, mid, at: _page(off, mid, start + at - T0, True)
+    batches = [[rec(0, "a", hour), rec(1, "a", hour - 5), rec(2, "c", day + 6 * hour)],
+               [rec(3, "b", day + 2 * hour), rec(4, "a", 0), rec(5, "d", 3 * hour)],     # all late
+               [rec(6, "z", 2 * day + 12 * hour), rec(7, "c", day)]]
+
+    def build(src):
+        uv = stateful.unique_visit_stream(logs.page_logs(logs.valid_logs(logs.parse_logs(src))))
+        return uv.select("offset", "common.mid", "visit_day", "ts")
+    with without_empty_batches(spark):
+        out = _run(spark, batches, build)
+    assert sorted((r.mid, r.offset) for r in out) == [("a", 1), ("b", 3), ("c", 2), ("d", 5), ("z", 6)]
+    assert len({r.visit_day for r in out}) == 3
+
+
 def test_continuous_runner_processes_and_stops(spark):
     from tributary.streaming.runner import start_continuous
     src = scratch_path(spark, "test-streams", uuid.uuid4().hex)

@@ -28,8 +28,11 @@ def parse_logs(lines: DataFrame, value_col: str = "value", on_bad: str = "split"
     parsed = lines.withColumn("__log", F.from_json(F.col(value_col), ACTION_LOG, opts))
     corrupt = F.col(f"__log.{CORRUPT_COLUMN}")
     # validity comes from the text alone: a field of another type is converted, or NULL
-    json = F.try_parse_json(F.col(value_col))
-    is_object = F.coalesce(F.schema_of_variant(json).startswith("OBJECT"), F.lit(False))
+    # The parser stops after the first value; text behind it would have to close both an array and
+    # an object at the same place to pass.
+    in_array = F.try_parse_json(F.concat(F.lit("["), value_col, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"r":'), value_col, F.lit("}")))
+    is_object = F.coalesce(F.schema_of_variant(in_array).startswith("ARRAY<OBJECT") & in_object.isNotNull(), F.lit(False))
     reason = (F.when(~is_object, F.lit("malformed"))
                .when(F.col("__log.common").isNull(), F.lit("no_common")))
 
@@ -46,8 +49,11 @@ def parse_logs(lines: DataFrame, value_col: str = "value", on_bad: str = "split"
                           reason.alias("dirty_reason")))
 
 
-def valid_logs(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("dirty_reason").isNull()).drop("dirty_reason")
+def valid_logs(parsed: DataFrame, raw: str | None = None) -> DataFrame:
+    """The good records, typed.  Their text goes, unless ``raw`` names its column to be kept (the
+    log split forwards it; the statistics need only the typed fields)."""
+    good = parsed.filter(F.col("dirty_reason").isNull()).drop("dirty_reason")
+    return good if raw else good.drop("value")
 
 
 def dirty_logs(parsed: DataFrame, value_col: str = "value") -> DataFrame:
@@ -56,8 +62,46 @@ def dirty_logs(parsed: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.filter(F.col("dirty_reason").isNotNull()).select(*keep)
 
 
+VARIANT_MAP = "map<string,variant>"
+
+
+def _object(value: Column) -> Column:
+    return value.cast(VARIANT_MAP)
+
+
+def _with_field(obj: Column, name: str, value: Column) -> Column:
+    """``obj`` (map) with the text field ``name`` set, whether it was there or not."""
+    others = F.map_filter(obj, lambda k, _v: k != name)
+    return F.map_concat(others, F.create_map(F.lit(name), value.cast("variant")))
+
+
+def record_json(value: Column | str, is_new: Column | str) -> Column:
+    """The whole log record as JSON with the repaired ``is_new``; every other field, known or
+    not, is forwarded as it came.  (A record that repeats a field is dirty and never gets here.)"""
+    record = F.from_json(value, VARIANT_MAP)
+    flag = F.col(is_new) if isinstance(is_new, str) else is_new
+    common = _object(record["common"])
+    fixed = F.when(flag.isNull(), common).otherwise(_with_field(common, "is_new", flag))
+    others = F.map_filter(record, lambda k, _v: k != "common")
+    return F.to_json(F.map_concat(others, F.create_map(F.lit("common"), F.to_variant_object(fixed))))
+
+
+def display_records(pages: DataFrame, value_col: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``value`` = the whole display object, known fields or not, with the page's ``page_id``."""
+    shown = F.get_json_object(value_col, "$.displays")
+    d = pages.select(*carry, F.get_json_object(value_col, "$.page.page_id").alias("__page_id"),
+                     F.explode(F.from_json(shown, f"array<{VARIANT_MAP}>")).alias("__d"))
+    whole = F.when(F.col("__page_id").isNull(), F.col("__d")).otherwise(
+        _with_field(F.col("__d"), "page_id", F.col("__page_id")))
+    return d.select(*carry, F.to_json(whole).alias("value"))
+
+
 def _order_key(ts: str = "ts", offset: str = "offset") -> Column:
-    return F.struct(F.col(ts).alias("ts"), F.col(offset).alias("offset"))
+    """(ts, offset) as one DECIMAL, which a hash aggregate can take the MIN of (a struct needs a
+    sort).  A NULL time comes first, and a NULL offset (a text stream) counts as 0."""
+    wide = "decimal(38,0)"
+    at = F.coalesce(F.col(ts), F.lit(-2 ** 40)).cast("decimal(19,0)") * F.lit(2 ** 60).cast("decimal(19,0)")
+    return (at + F.coalesce(F.col(offset), F.lit(0))).cast(wide)
 
 
 def repair_new_flag(logs: DataFrame, offset: str = "offset") -> DataFrame:
@@ -74,7 +118,7 @@ def repair_new_flag(logs: DataFrame, offset: str = "offset") -> DataFrame:
                   .groupBy(mid.alias("__mid"))
                   .agg(F.min(_order_key(offset=offset)).alias("__first")))
     j = logs.join(firsts, mid.eqNullSafe(F.col("__mid")), "left")
-    repaired = F.when((is_new == "1") & (_order_key(offset=offset) != F.col("__first")), F.lit("0")) \
+    repaired = F.when((is_new == "1") & ~_order_key(offset=offset).eqNullSafe(F.col("__first")), F.lit("0")) \
                 .otherwise(is_new)
     return (j.withColumn("common", F.col("common").withField("is_new", repaired))
              .drop("__mid", "__first"))
@@ -98,8 +142,8 @@ def page_logs(logs: DataFrame) -> DataFrame:
 def display_logs(pages: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per ``displays[i]`` with the page's ``page_id`` added.
 
-    The original emitted only the display object plus ``page_id``; ``carry`` lets a
-    caller keep extra page columns (for instance ``ts`` for product statistics).
+    The two fields that the statistics read; ``display_records`` forwards the whole
+    object.  ``carry`` lets a caller keep extra page columns (for instance ``ts``).
     """
     d = pages.select(*carry, F.col("page.page_id").alias("page_id"),
                      F.explode("displays").alias("__d"))
@@ -118,7 +162,18 @@ def flat_log(logs: DataFrame, offset: str = "offset") -> DataFrame:
 def split_logs(lines: DataFrame) -> dict[str, DataFrame]:
     """The whole log-split job: parse -> dirty side output -> repair -> start/page/display."""
     parsed = parse_logs(lines)
-    repaired = repair_new_flag(valid_logs(parsed))
+    repaired = repair_new_flag(valid_logs(parsed, raw="value"))
+    repaired = repaired.withColumn("value", record_json("value", F.col("common.is_new")))
     pages = page_logs(repaired)
     return {"dirty": dirty_logs(parsed), "start": start_logs(repaired), "page": pages,
-            "display": display_logs(pages)}
+            "display": display_logs(pages), "display_records": display_records(pages)}
+
+
+def split_topics(records: DataFrame) -> dict[str, DataFrame]:
+    """P3/P4 on records with a repaired flag (``offset, is_new, value``): ``offset, value`` rows of
+    the start, page and display topics.  Narrow, so it serves a stream's micro-batches."""
+    start = F.get_json_object("value", "$.start")
+    fixed = records.select("offset", record_json("value", "is_new").alias("value"), start.alias("start"))
+    pages = page_logs(fixed).drop("start")
+    return {"start": start_logs(fixed).drop("start"), "page": pages,
+            "display": display_records(pages, carry=("offset",))}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.timefmt import day_text, duration_ms, event_time
-from tributary.schemas import BOUNCE_WITHIN, WATERMARK_DELAY
+from tributary.schemas import BOUNCE_WITHIN
 
 
 def is_entry_page(last_page_id: Column | None = None) -> Column:
@@ -21,31 +21,18 @@ def is_entry_page(last_page_id: Column | None = None) -> Column:
     return c.isNull() | (F.length(c) == 0)
 
 
-def unique_visits(pages: DataFrame, offset: str = "offset",
-                  delay: str = WATERMARK_DELAY["unique_visit"]) -> DataFrame:
-    """The first entry page of each visitor on each day (session time zone).
+def unique_visits(pages: DataFrame, offset: str = "offset") -> DataFrame:
+    """T2 (batch): the first entry page of each visitor on each day (session time zone).
 
     MIN over a struct that starts with (ts, offset) picks the whole first record in one
     aggregate, with map-side partial aggregation.  Output: the page record plus
-    ``visit_day``.
-
-    Stream form: the same MIN per visitor and 1-day event-time window, with a watermark
-    of ``delay``.  A (visitor, day) row is emitted once the watermark passes the end of
-    the day, and its state is dropped then (the original's 24 h state expiry).  It is
-    exact even when several entries of one visitor and day arrive in one micro-batch,
-    which ``dropDuplicates`` (keeps an arbitrary one) is not.  Days are UTC days.
+    ``visit_day``.  The stream form, which emits at once, is
+    ``streaming.stateful.unique_visit_stream``.
     """
-    entries = pages.filter(is_entry_page())
-    rest = [c for c in entries.columns if c not in ("ts", offset)]
-    first_row = F.min(F.struct("ts", offset, *rest)).alias("__r")
-    if entries.isStreaming:
-        e = entries.withColumn("__et", event_time("ts")).withWatermark("__et", delay)
-        first = (e.groupBy(F.col("common.mid").alias("__mid"), F.window("__et", "1 day").alias("__day"))
-                  .agg(first_row)
-                  .withColumn("visit_day", day_text(F.col("__day.start"))))
-    else:
-        e = entries.withColumn("visit_day", day_text(event_time("ts")))
-        first = e.groupBy(F.col("common.mid").alias("__mid"), "visit_day").agg(first_row)
+    entries = pages.filter(is_entry_page()).withColumn("visit_day", day_text(event_time("ts")))
+    rest = [c for c in pages.columns if c not in ("ts", offset)]
+    first = (entries.groupBy(F.col("common.mid").alias("__mid"), "visit_day")
+                    .agg(F.min(F.struct("ts", offset, *rest)).alias("__r")))
     return first.select(F.col("__r.ts").alias("ts"), F.col(f"__r.{offset}").alias(offset),
                         *[F.col(f"__r.{c}").alias(c) for c in rest], "visit_day")
 

@@ -256,6 +256,9 @@ FROM (SELECT substr(stt, 1, 10) AS day, CAST(sum(sv_ct) AS BIGINT) AS sv_ct,
 SELECT id, strftime(epoch_ms(create_ms // 1000 * 1000), '%Y-%m-%d') AS create_date,
        strftime(epoch_ms(create_ms // 1000 * 1000), '%H') AS create_hour,
        create_ms // 1000 * 1000 AS create_ts FROM order_info"""),
+    "time_errors": (("order_info",), """
+SELECT id, user_id, CASE WHEN id % 100 <> 0 THEN 'at ' || CAST(create_ms AS VARCHAR) END AS create_time
+FROM order_info WHERE id % 50 = 0"""),
     "order_wide_base": (("ow_base",), """
 SELECT detail_id, order_id, sku_id, order_price, sku_num, province_id, order_status, user_id,
        total_amount, split_total_amount, create_time, create_date, create_hour FROM ow_base"""),
@@ -409,8 +412,6 @@ def build(name: str) -> str:
 # Largest event time (ms) seen by each streaming job's watermark operator.
 STREAM_MAX: dict[str, tuple[tuple[str, ...], str]] = {
     "keyword_stats": (("kw",), "SELECT max(ts_ms // 1000 * 1000) FROM kw"),
-    "unique_visit": (("page_log",), """
-SELECT max(ts_ms) FROM page_log WHERE last_page_id IS NULL OR last_page_id = ''"""),
     "visitor_stats": (("vev",), "SELECT max(ts) FROM vev"),
     "province_stats": (("ow_base",), "SELECT max(create_ms) FROM ow_base"),
     "product_stats": (("pev",), "SELECT max(ts) FROM pev"),
@@ -424,11 +425,45 @@ def closed_windows(name: str, delay_ms: int, end_col: str = "edt") -> str:
             f"FROM ({build_body(*STREAM_MAX[name])}) AS mx(m))")
 
 
-def closed_unique_visits(delay_ms: int) -> str:
-    """Unique visits whose day the final watermark has passed."""
-    return (f"SELECT * FROM ({build('unique_visit')}) AS q "
-            f"WHERE epoch_us(CAST(q.visit_day AS TIMESTAMP)) // 1000 + 86400000 <= "
-            f"(SELECT m - {delay_ms} FROM ({build_body(*STREAM_MAX['unique_visit'])}) AS mx(m))")
+def dim_freshness(chunks: int) -> str:
+    """Orders with their user's segment as it was after the changes of the same chunk: both topics
+    are cut into ``chunks`` equal ranges of their order key."""
+    cut = "(max({0}) - min({0})) // {1} + 1 AS width, min({0}) AS lo"
+    return build_body(("changes", "ow_base"), f"""
+SELECT o.detail_id, o.order_id, o.user_id, o.chunk AS batch_id,
+       (SELECT arg_max(g.segment, g.seq) FROM
+          (SELECT id, segment, seq, (seq - lo) // width AS chunk
+           FROM changes, (SELECT {cut.format('seq', chunks)} FROM changes)
+           WHERE table_name = 'user_info' AND type IN ('insert', 'update') AND segment IS NOT NULL) AS g
+        WHERE g.id = o.user_id AND g.chunk <= o.chunk) AS user_segment
+FROM (SELECT ow_base.*, CAST((create_ms - lo) // width AS BIGINT) AS chunk
+      FROM ow_base, (SELECT {cut.format('create_ms', chunks)} FROM ow_base)) AS o""")
+
+
+def route_live(chunks: int) -> str:
+    """Facts under the rules in force in each chunk: orders lose nothing when their rule is deleted,
+    users become facts from the third chunk on."""
+    return build_body(("changes",), f"""
+SELECT seq AS "offset", CASE table_name WHEN 'user_info' THEN 'dwd_user_info' ELSE 'dwd_order_info' END AS topic,
+       CAST(id AS VARCHAR) AS id,
+       CASE WHEN table_name = 'order_info' AND chunk >= 2 THEN name END AS name,
+       concat_ws(',', 'id', CASE WHEN table_name = 'order_info' AND chunk >= 2 AND name IS NOT NULL THEN 'name' END,
+                 CASE WHEN table_name = 'user_info' AND segment IS NOT NULL THEN 'segment' END) AS kept_keys
+FROM (SELECT changes.*, (seq - lo) // width AS chunk FROM changes,
+        (SELECT (max(seq) - min(seq)) // {chunks} + 1 AS width, min(seq) AS lo FROM changes))
+WHERE type = 'insert' AND (table_name = 'order_info' OR (table_name = 'user_info' AND chunk >= 2))""")
+
+
+def log_split() -> str:
+    """The four topics of the log split, with a field each that no schema names."""
+    return build_body(("raw_log", "log_fixed", "page_log", "display_log"), """
+SELECT 'start' AS topic, event_id AS "offset", mid, substr(mid, 5) AS uid, is_new, NULL AS page_id, NULL AS item,
+       'icon' AS extra FROM log_fixed WHERE is_start
+UNION ALL SELECT 'page', event_id, mid, substr(mid, 5), is_new, page_id, item,
+       CASE WHEN n_displays > 0 THEN '1' END FROM page_log
+UNION ALL SELECT 'display', event_id, NULL, NULL, NULL, page_id, item, CAST(sku - k + 1 AS VARCHAR)
+FROM (SELECT d.*, p.k FROM display_log d JOIN page_log p USING (event_id))
+UNION ALL SELECT 'dirty', event_id, NULL, NULL, NULL, NULL, NULL, NULL FROM raw_log WHERE is_dirty""")
 
 
 def closed_bounces(delay_ms: int) -> str:

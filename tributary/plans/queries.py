@@ -100,6 +100,15 @@ def order_times(spark, sf_dir):
     return info.select("id", "create_date", "create_hour", "create_ts")
 
 
+def time_errors(spark, sf_dir):
+    """Side output of the order path: records whose time is not epoch-ms text (every 50th order
+    here carries a date text or nothing instead)."""
+    info = testdata.order_info(spark, sf_dir)
+    spoilt = F.when(F.col("id") % 100 == 0, F.lit(None)).otherwise(F.concat(F.lit("at "), F.col("create_time")))
+    info = info.withColumn("create_time", F.when(F.col("id") % 50 == 0, spoilt).otherwise(F.col("create_time")))
+    return orders.time_parse_errors(info).select("id", "user_id", "create_time")
+
+
 ORDER_BASE_COLUMNS = ["detail_id", "order_id", "sku_id", "order_price", "sku_num", "province_id",
                       "order_status", "user_id", "total_amount", "split_total_amount",
                       "create_time", "create_date", "create_hour"]
@@ -322,6 +331,7 @@ QUERIES: dict[str, Query] = {
     "daily_active": daily_active,
     "bounce_rate": bounce_rate,
     "order_times": order_times,
+    "time_errors": time_errors,
     "order_wide_base": order_wide_base,
     "dim_user": dim_user,
     "dim_province": dim_province,

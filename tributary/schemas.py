@@ -27,7 +27,6 @@ WATERMARK_DELAY = {                   # bounded out-of-orderness per job
     "keyword_stats": "1 second",
     "product_stats": "2 seconds",
     "visitor_stats": "11 seconds",
-    "unique_visit": "0 seconds",
 }
 APPRAISE_GOOD = "1201"                # appraise code counted as a good comment
 SINK_TYPE_HBASE = "hbase"             # rule sink types

@@ -3,8 +3,8 @@
 Storage is append-only: each micro-batch writes the per-key column values it changed
 (``sink_table, pk, k, v, seq``) to its own folder, overwriting that folder if the batch
 is replayed (idempotent).  The current table is the D5 merge (last non-NULL value per
-column by ``seq``) over all deltas, an aggregation that Spark partitions by key; a
-periodic compaction folds the deltas into one snapshot so reads stay cheap.
+column by ``seq``) over the last snapshot and the deltas since, an aggregation that Spark
+partitions by key; ``compact`` folds the deltas into a snapshot so reads stay cheap.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ DELTA_SCHEMA = T.StructType([T.StructField("sink_table", T.StringType()),
                              T.StructField("k", T.StringType()),
                              T.StructField("v", T.StringType()),
                              T.StructField("seq", T.LongType())])
+DELTA_DDL = "sink_table string, pk string, k string, v string, seq long"
 
 
 def dimension_deltas(dim_changes: DataFrame, seq: str = "offset") -> DataFrame:
@@ -41,21 +42,51 @@ def write_deltas(deltas: DataFrame, root: str, batch_id: int) -> None:
     deltas.write.mode("overwrite").parquet(os.path.join(root, "deltas", f"batch={batch_id:012d}"))
 
 
-def current_dimensions(spark: SparkSession, root: str) -> DataFrame:
-    """The current tables: ``sink_table, pk, row MAP<STRING,STRING>``."""
-    parts = []
-    snap = os.path.join(root, "snapshot")
-    deltas = os.path.join(root, "deltas")
+def _current_values(spark: SparkSession, root: str) -> DataFrame | None:
+    """``DELTA_SCHEMA`` rows: the last snapshot and the deltas of later batches; None if neither is there."""
+    snap, deltas = os.path.join(root, "snapshot"), os.path.join(root, "deltas")
+    upto, parts = None, []
     if _exists(spark, snap):
-        parts.append(spark.read.parquet(snap).select(
-            "sink_table", "pk", F.explode("row").alias("k", "v"),
-            F.lit(-(2 ** 62)).cast("bigint").alias("seq")))
+        kept = spark.read.schema(f"{DELTA_DDL}, upto long").parquet(snap)
+        upto = kept.agg(F.max("upto")).first()[0]
+        parts.append(kept.filter(F.col("upto") == upto).select(*DELTA_SCHEMA.names))
     if _exists(spark, deltas):
-        parts.append(spark.read.schema(DELTA_SCHEMA).parquet(deltas)
-                     .select("sink_table", "pk", "k", "v", "seq"))
+        later = spark.read.schema(f"{DELTA_DDL}, batch long").parquet(deltas)
+        if upto is not None:
+            later = later.filter(F.col("batch") > upto)
+        parts.append(later.select(*DELTA_SCHEMA.names))
     if not parts:
+        return None
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def compact(spark: SparkSession, root: str) -> int | None:
+    """Fold the last snapshot and the deltas written since into a new snapshot, so that reads touch
+    one row per (table, key, column) and the batches after it.
+
+    A snapshot is a folder of its own, named by the last batch it holds: repeating a compaction
+    rewrites the same folder, and readers use the greatest.  Run it between two batches; deltas it
+    holds are no longer read and may be removed.  Returns that batch id (None: nothing to fold).
+    """
+    deltas = os.path.join(root, "deltas")
+    if not _exists(spark, deltas):
+        return None
+    upto = spark.read.schema(f"{DELTA_DDL}, batch long").parquet(deltas).agg(F.max("batch")).first()[0]
+    if upto is None:
+        return None
+    last = _current_values(spark, root).groupBy("sink_table", "pk", "k").agg(
+        F.max_by("v", "seq").alias("v"), F.max("seq").alias("seq"))
+    done = os.path.join(root, "snapshot", f"upto={upto:012d}")
+    if not _exists(spark, done):
+        last.write.mode("overwrite").parquet(done)
+    return upto
+
+
+def current_dimensions(spark: SparkSession, root: str) -> DataFrame:
+    """The current tables: ``sink_table, pk, row MAP<STRING,STRING>``."""
+    long = _current_values(spark, root)
+    if long is None:
         return spark.createDataFrame([], "sink_table string, pk string, row map<string,string>")
-    long = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     last = long.groupBy("sink_table", "pk", "k").agg(F.max_by("v", "seq").alias("v"))
     return (last.groupBy("sink_table", "pk")
                 .agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("row")))

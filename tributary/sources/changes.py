@@ -44,10 +44,21 @@ def rule_change_log(spark: SparkSession, rows: list[tuple] | None = None) -> Dat
     return df.filter(F.col("sourceTable").isNotNull() & F.col("operateType").isNotNull())
 
 
+def rule_events(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Rule rows as the change events of the rule table that a change topic carries."""
+    r = spark.createDataFrame(rows, RULE_ROW)
+    after = F.create_map(*[c for f in cdc.RULE_FIELDS for c in (F.lit(f), F.col(f))])
+    none = F.create_map().cast("map<string,string>")
+    return cdc.envelope_json(r.select(
+        F.col("rule_seq").alias("offset"), F.lit("config").alias("database"),
+        F.lit("table_process").alias("tableName"), none.alias("before"), after.alias("after"),
+        F.lit("insert").alias("type")))
+
+
 def read_rule_changes(spark: SparkSession, path: str) -> DataFrame:
-    """Rule rows from a folder of change-event JSON lines of the rule table."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("offset"), "value")
-    return cdc.rules_from_changes(cdc.parse_changes(lines, on_bad="drop"))
+    """Rule rows from the change topic of the rule table (records that carry their offset, which
+    orders the rules).  Records that are no change events are dropped."""
+    return cdc.rules_from_changes(cdc.parse_changes(read_change_topic(spark, path), on_bad="drop"))
 
 
 def read_change_topic(spark: SparkSession, path: str | None = None, kafka: dict | None = None,

@@ -91,12 +91,14 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     truncated JSON (dirty).
     """
     r = log_records(spark, sf_dir)
-    common = F.struct("mid", "is_new", "vc", "ch", "ar")
+    # ``uid`` and ``order`` are fields that no typed schema names: they must pass the split
+    common = F.struct("mid", "is_new", "vc", "ch", "ar", F.substring("mid", 5, 20).alias("uid"))
     n = F.col("n_displays")
     displays = F.when(n > 0, F.transform(
         F.sequence(F.lit(0), n - 1),
         lambda i: F.struct((F.col("k") + i).cast("string").alias("item"),
-                           F.when(i % 2 == 0, "sku_id").otherwise("activity_id").alias("item_type"))))
+                           F.when(i % 2 == 0, "sku_id").otherwise("activity_id").alias("item_type"),
+                           (i + 1).alias("order"))))
     page = F.struct("page_id", "last_page_id", "item", "item_type", "during_time")
     page_json = F.to_json(F.struct(common.alias("common"), page.alias("page"),
                                    displays.alias("displays"), F.col("ts_ms").alias("ts")))

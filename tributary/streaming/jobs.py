@@ -16,19 +16,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions.timefmt import duration_ms
-from tributary.operators import logs, orders, stats, visits
+from tributary.operators import logs, orders, stats
 from tributary.operators.lookup import lookup
 from tributary.plans import oracle
-from tributary.plans.queries import ORDER_BASE_COLUMNS, PAYMENT_OUT
+from tributary.plans.queries import ORDER_BASE_COLUMNS, ORDER_WIDE_OUT, PAYMENT_OUT
 from tributary.plans.warehouse import QUERY_WINDOW, QUERY_WITHIN, Warehouse
 from tributary.schemas import COMMON, DISPLAY, PAGE, WATERMARK_DELAY
 from tributary.sources import testdata
 from tributary.session import scratch_path
 from tributary.streaming import stateful
-from tributary.streaming.runner import ChunkedTopics, run_chunks, run_chunks_foreach
+from tributary.streaming.runner import (ChunkedTopics, run_available, run_chunks, run_chunks_foreach,
+                                        without_empty_batches)
 
 N_CHUNKS = 4
 
+# Rule changes of the live routing job: chunk -> rows in the shape of ``changes.RULE_ROW``; an
+# all-NULL rule is what a delete of the rule table carries.
+LIVE_RULES = {
+    0: [(0, "user_info", "insert", "hbase", "dim_user_info", "id,name,segment", None, None),
+        (1, "order_info", "insert", "kafka", "dwd_order_info", "id, name", None, None)],
+    2: [(2, "order_info", "insert", "kafka", "dwd_order_info", "id,name", None, None),
+        (3, "user_info", "insert", "kafka", "dwd_user_info", "id,segment", None, None)],
+    3: [(4, None, None, None, None, None, None, None)],
+}
+
 LOG_TOPIC = T.StructType([T.StructField("offset", T.LongType()),
                           T.StructField("value", T.StringType())])
 PAGE_RECORD = T.StructType([T.StructField("offset", T.LongType()),
@@ -55,15 +66,52 @@ def keyword_stats_stream(spark, sf_dir):
 
 
 def unique_visit_stream(spark, sf_dir):
-    """T2/T3 on a stream: first entry per visitor and day, state dropped by the watermark."""
+    """T2/T3 on a stream: first entry per visitor and day, emitted with its micro-batch."""
     Warehouse(spark, sf_dir, layered=False)
     topics = _log_topic(spark, sf_dir, "unique_visit")
 
     def build():
         pages = logs.page_logs(logs.valid_logs(logs.parse_logs(topics.read("log", LOG_TOPIC))))
-        uv = visits.unique_visits(pages)
+        uv = stateful.unique_visit_stream(pages)
         return uv.select("offset", F.col("common.mid").alias("mid"), "visit_day", "ts")
-    return run_chunks(spark, topics, build, "unique_visit")
+    with without_empty_batches(spark):
+        return run_chunks(spark, topics, build, "unique_visit")
+
+
+def log_split_stream(spark, sf_dir):
+    """P1 + T1 + P3 + P4 + K1 on a stream: the log topic split into the start, page, display and
+    dirty topics.  Whole records are forwarded, with the repaired flag; fields that no schema
+    names pass too.  Each micro-batch writes its own folder of a topic (replay-safe)."""
+    Warehouse(spark, sf_dir, layered=False)
+    topics = _log_topic(spark, sf_dir, "log_split")
+    out = scratch_path(spark, "topics", f"split-{uuid.uuid4().hex}")
+
+    def parsed():
+        return logs.parse_logs(topics.read("log", LOG_TOPIC))
+
+    def write(batch, batch_id, parts):
+        for topic, rows in parts(batch).items():
+            rows.write.mode("overwrite").json(f"{out}/{topic}/batch={batch_id:012d}")
+
+    def good():
+        return stateful.new_flag_stream(logs.valid_logs(parsed(), raw="value"), carry=("value",))
+    # the dirty side output keeps no state, so it is a query of its own on the same topic
+    run_chunks_foreach(spark, topics, good, lambda b, i: write(b, i, logs.split_topics), "log_split")
+    run_available(logs.dirty_logs(parsed()), lambda b, i: write(b, i, lambda d: {"dirty": d.select("offset", "value")}),
+                  scratch_path(spark, "checkpoints", f"split-dirty-{uuid.uuid4().hex}"))
+
+    def topic(name, *paths):
+        rows = spark.read.schema(LOG_TOPIC).json(f"{out}/{name}")
+        return rows.select(F.lit(name).alias("topic"), "offset", *(
+            F.get_json_object("value", paths[i]) if paths[i] else F.lit(None).cast("string")
+            for i in range(len(paths))))
+    names = ["topic", "offset", "mid", "uid", "is_new", "page_id", "item", "extra"]
+    split = (topic("start", "$.common.mid", "$.common.uid", "$.common.is_new", None, None, "$.start.entry"),
+             topic("page", "$.common.mid", "$.common.uid", "$.common.is_new", "$.page.page_id", "$.page.item",
+                   "$.displays[0].order"),
+             topic("display", None, None, None, "$.page_id", "$.item", "$.order"),
+             topic("dirty", None, None, None, None, None, None))
+    return stats.union_all([t.toDF(*names) for t in split])
 
 
 def _records(df: DataFrame) -> DataFrame:
@@ -102,6 +150,21 @@ def order_wide_stream(spark, sf_dir):
     return run_chunks(spark, topics, build, "order_wide")
 
 
+def order_wide_full_stream(spark, sf_dir):
+    """J1 + J2 + J5 on streams: the interval join enriched by the six dimension lookups
+    (stream-static joins; the dimensions are read anew for every micro-batch)."""
+    w = Warehouse(spark, sf_dir, layered=False)
+    ms = lambda c: F.col(c).cast("bigint")
+    topics = ChunkedTopics(spark, {"info": (testdata.order_info(spark, sf_dir), ms("create_time")),
+                                   "detail": (testdata.order_detail(spark, sf_dir), ms("create_time"))},
+                           N_CHUNKS, "order_wide_full")
+
+    def build():
+        base = orders.order_wide_base(topics.read("info"), topics.read("detail"))
+        return orders.enrich_order_wide(base, w.dims, as_of=w.as_of_col).select(*ORDER_WIDE_OUT)
+    return run_chunks(spark, topics, build, "order_wide_full")
+
+
 def payment_wide_stream(spark, sf_dir):
     """J3 + J4 on streams: payment and order-wide topics, -15 min .. +5 s interval join."""
     w = Warehouse(spark, sf_dir)
@@ -183,33 +246,48 @@ def bounce_detail_stream(spark, sf_dir):
     return run_chunks(spark, topics, build, "bounce")
 
 
-def _run_routing(spark, sf_dir) -> str:
-    """Stage the change topic in chunks and run the routing job once per chunk."""
-    from tributary.sources.changes import RULE_ROW, STATIC_RULES
+def _run_routing(spark, sf_dir, changes_of_rules: dict[int, list[tuple]] | None = None) -> str:
+    """Stage the change topic in chunks and run the routing job once per chunk.
+
+    ``changes_of_rules``: chunk -> rule rows; the rule topic gets them, as change events, before
+    that chunk runs.  Default: the fixed rules, before the first."""
+    from tributary.sources.changes import STATIC_RULES, read_rule_changes, rule_events
     from tributary.streaming.routing import route_stream
     w = Warehouse(spark, sf_dir)
     env = w.envelopes
     topics = ChunkedTopics(spark, {"changes": (env, F.col("offset"))}, N_CHUNKS, "routing")
     rules_path = scratch_path(spark, "rules", uuid.uuid4().hex)
-    spark.createDataFrame(STATIC_RULES, RULE_ROW).write.json(rules_path)
     out_root = scratch_path(spark, "routing", uuid.uuid4().hex)
     ckpt = scratch_path(spark, "checkpoints", f"routing-{uuid.uuid4().hex}")
     for i in range(topics.n):
+        for_chunk = (changes_of_rules or {0: STATIC_RULES}).get(i)
+        if for_chunk:
+            rule_events(spark, for_chunk).write.mode("append").json(rules_path)
         topics.write_chunk(i)
         route_stream(topics.read("changes", env.schema),
-                     lambda: spark.read.schema(RULE_ROW).json(rules_path), out_root, ckpt)
+                     lambda: read_rule_changes(spark, rules_path), out_root, ckpt)
     return out_root
 
 
-def route_facts_stream(spark, sf_dir):
-    """J6/P8/D2/K2 on a stream: facts per topic, rules re-read every micro-batch."""
-    root = _run_routing(spark, sf_dir)
+def _routed_facts(spark, root):
     facts = spark.read.schema("offset long, value string").json(f"{root}/facts")
     m = F.from_json("value", "map<string,string>")
     return facts.select("offset", "topic", m["id"].alias("id"), m["name"].alias("name"),
                         F.array_join(F.array_sort(F.map_keys(m)), ",").alias("kept_keys"))
 
 
+def route_live_stream(spark, sf_dir):
+    """T11 on a stream: the rule topic changes while changes flow.  Between the second and the third
+    chunk the order rule gets a column more and the insert rule of the users turns into a fact
+    rule; between the third and the last the order rule is deleted, which leaves it active."""
+    return _routed_facts(spark, _run_routing(spark, sf_dir, LIVE_RULES))
+
+
+def route_facts_stream(spark, sf_dir):
+    """J6/P8/D2/K2 on a stream: facts per topic, rules re-read every micro-batch."""
+    return _routed_facts(spark, _run_routing(spark, sf_dir))
+
+
 def dim_upsert_stream(spark, sf_dir):
     """D1/D5/K3 on a stream: per-batch dimension deltas merged into the current table."""
     from tributary.sinks.dims import current_dimensions
@@ -266,10 +344,11 @@ def dim_freshness_stream(spark, sf_dir):
     The routing stream and the order stream advance together, chunk by chunk; each
     order micro-batch re-reads the dimension store inside ``foreachBatch``, so it sees
     every dimension change routed before it (the original evicted its cache on update).
-    Rows-only check: the expected value depends on the interleaving of two streams.
+    Both topics are cut into chunks by equal ranges, which is what the oracle repeats.
+    After the second chunk the dimension store is compacted.
     """
-    from tributary.sinks.dims import dimension_table
-    from tributary.sources.changes import RULE_ROW, STATIC_RULES
+    from tributary.sinks.dims import compact, dimension_table
+    from tributary.sources.changes import STATIC_RULES, read_rule_changes, rule_events
     from tributary.streaming.routing import route_stream
     w = Warehouse(spark, sf_dir)
     env = w.envelopes
@@ -278,7 +357,7 @@ def dim_freshness_stream(spark, sf_dir):
     facts = ChunkedTopics(spark, {"orders": (ow, F.col("create_time").cast("bigint"))},
                           N_CHUNKS, "fresh_orders")
     rules_path = scratch_path(spark, "rules", uuid.uuid4().hex)
-    spark.createDataFrame(STATIC_RULES, RULE_ROW).write.json(rules_path)
+    rule_events(spark, STATIC_RULES).write.json(rules_path)
     store = scratch_path(spark, "routing", uuid.uuid4().hex)
     out = scratch_path(spark, "sinks", f"fresh-{uuid.uuid4().hex}")
     ck_route = scratch_path(spark, "checkpoints", f"fresh-route-{uuid.uuid4().hex}")
@@ -293,17 +372,22 @@ def dim_freshness_stream(spark, sf_dir):
     for i in range(N_CHUNKS):
         changes.write_chunk(i)
         route_stream(changes.read("changes", env.schema),
-                     lambda: spark.read.schema(RULE_ROW).json(rules_path), store, ck_route)
+                     lambda: read_rule_changes(spark, rules_path), store, ck_route)
         facts.write_chunk(i)
         q = (facts.read("orders", ow.schema).writeStream.foreachBatch(enrich)
                   .option("checkpointLocation", ck_orders).trigger(availableNow=True).start())
         q.awaitTermination()
+        if i == 1:
+            compact(spark, f"{store}/dims")
     return spark.read.parquet(out).select("detail_id", "order_id", "user_id", "user_segment",
                                           "batch_id")
 
 
 STREAM_QUERIES = {
     "dim_freshness_stream": dim_freshness_stream,
+    "log_split_stream": log_split_stream,
+    "order_wide_full_stream": order_wide_full_stream,
+    "route_live_stream": route_live_stream,
     "stats_sink_columns": stats_sink_columns,
     "late_drop_stream": late_drop_stream,
     "route_facts_stream": route_facts_stream,
@@ -331,7 +415,11 @@ def stream_oracle_sql() -> dict[str, str]:
         "visitor_new_flag_stream": oracle.build("visitor_new_flag"),
         "bounce_detail_stream": oracle.closed_bounces(delay["bounce"]),
         "keyword_stats_stream": oracle.closed_windows("keyword_stats", delay["keyword_stats"]),
-        "unique_visit_stream": oracle.closed_unique_visits(delay["unique_visit"]),
+        "unique_visit_stream": oracle.build("unique_visit"),
+        "dim_freshness_stream": oracle.dim_freshness(N_CHUNKS),
+        "log_split_stream": oracle.log_split(),
+        "order_wide_full_stream": oracle.build("order_wide"),
+        "route_live_stream": oracle.route_live(N_CHUNKS),
         "visitor_stats_stream": oracle.closed_windows("visitor_stats", delay["visitor_stats"]),
         "order_wide_stream": oracle.build("order_wide_base"),
         "order_wide_base_stream": oracle.build("order_wide_base"),

@@ -23,18 +23,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.operators import cdc
+from tributary.schemas import DEFAULT_FACT_TOPIC
 from tributary.sinks.dims import dimension_deltas, ensure_dimension_tables, write_deltas
 
 
 def routing_batch_handler(rules_loader: Callable[[], DataFrame], out_root: str):
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rules = cdc.latest_rules(rules_loader())
-        ensure_dimension_tables(batch.sparkSession, os.path.join(out_root, "dims"), rules)
+        versions = rules_loader()
+        rules = cdc.latest_rules(versions)
+        ensure_dimension_tables(batch.sparkSession, os.path.join(out_root, "dims"), versions)
         routed = cdc.route(cdc.drop_deletes(batch), rules).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             tag = f"batch={batch_id:012d}"
-            (cdc.facts(routed)
-                .select("offset", F.col("sinkTable").alias("topic"), F.to_json("data").alias("value"))
+            (cdc.fact_records(cdc.facts(routed))
+                .withColumn("topic", F.coalesce("topic", F.lit(DEFAULT_FACT_TOPIC)))
                 .write.mode("overwrite").partitionBy("topic").json(os.path.join(out_root, "facts", tag)))
             write_deltas(dimension_deltas(cdc.dimensions(routed)), os.path.join(out_root, "dims"),
                          batch_id)

@@ -1,6 +1,6 @@
-"""Per-visitor state machines for streams (T1 new-visitor repair, T4 bounce detection).
+"""Per-visitor state machines for streams (T1 new-visitor repair, T2 unique visits, T4 bounces).
 
-Both rules depend on the order of one visitor's events, which no built-in streaming
+The rules depend on the order of one visitor's events, which no built-in streaming
 operator expresses, so they run as ``transformWithStateInPandas`` processors keyed by
 visitor: the rows of one visitor in one micro-batch arrive as pandas frames, the state
 lives in the (RocksDB) state store, and event-time timers drive the bounce timeout.
@@ -12,42 +12,84 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tributary.functions.timefmt import duration_ms, event_time
+from tributary.functions.timefmt import day_text, duration_ms, event_time
 from tributary.operators.visits import is_entry_page
-from tributary.schemas import BOUNCE_WITHIN, WATERMARK_DELAY
+from tributary.schemas import BOUNCE_WITHIN, VISIT_STATE_TTL, WATERMARK_DELAY
 
 NEW_FLAG_OUTPUT = "offset long, mid string, is_new string"
 BOUNCE_OUTPUT = "offset long, mid string, ts long"
 BUFFER_SCHEMA = "ts long, offset long, entry boolean"
 
 
+def _first(held: pd.DataFrame | None, rows: pd.DataFrame) -> pd.DataFrame:
+    """The first of ``held`` and ``rows`` by (ts, offset), as a one-row frame."""
+    rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
+    return rows.sort_values(["ts", "offset"], kind="stable", na_position="first").head(1)
+
+
 class NewVisitorFlag(StatefulProcessor):
     """Per visitor, the first ``is_new='1'`` record keeps '1'; later ones become '0'.
 
-    State: one boolean per visitor, never expired (as in the original).  Rows of one
-    micro-batch are handled in (ts, offset) order.
+    State: one boolean per visitor, never expired (as in the original).  Rows of one micro-batch
+    count in (ts, offset) order; only the candidate for the first one is held, every other row
+    passes frame by frame.
     """
 
+    def __init__(self, columns: list[str]):
+        self.columns = columns
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "offset"], kind="stable")
-        flags = pdf["is_new"].to_numpy(dtype=object).copy()
-        ones = np.flatnonzero(flags == "1")
-        if len(ones):
-            seen = self.seen.exists() and bool(self.seen.get()[0])
-            flags[ones if seen else ones[1:]] = "0"
-            if not seen:
-                self.seen.update((True,))
-        pdf["is_new"] = flags
-        yield pdf[["offset", "mid", "is_new"]]
+        seen = self.seen.exists() and bool(self.seen.get()[0])
+        held = None
+        for pdf in rows:
+            ones = pdf["is_new"] == "1"
+            out = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            if not seen and (held is not None or ones.any()):
+                out = out.reset_index(drop=True)
+                held = _first(None, out[out["is_new"] == "1"])
+                out = out.drop(held.index)
+            out = out.assign(is_new=out["is_new"].where(out["is_new"] != "1", "0"))
+            if len(out):
+                yield out[self.columns]
+        if held is not None:
+            self.seen.update((True,))
+            yield held[self.columns]
+
+    def close(self) -> None:
+        pass
+
+
+class FirstVisit(StatefulProcessor):
+    """The first entry of a visitor and day, emitted with the micro-batch that brings it.
+
+    State: one boolean per (visitor, day), expired ``ttl_ms`` of processing time after it was
+    written.  There is no watermark, so a late entry of a day not seen yet is emitted too.  Of
+    several entries in one micro-batch the first by (ts, offset) counts; frames are not gathered.
+    """
+
+    def __init__(self, columns: list[str], ttl_ms: int):
+        self.columns, self.ttl_ms = columns, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "seen boolean", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self.seen.exists():
+            return
+        held = None
+        for pdf in rows:
+            held = _first(held, pdf)
+        if held is not None:
+            self.seen.update((True,))
+            yield held[self.columns]
 
     def close(self) -> None:
         pass
@@ -111,12 +153,30 @@ class BounceDetector(StatefulProcessor):
         pass
 
 
-def new_flag_stream(logs: DataFrame) -> DataFrame:
-    """T1 on a stream of valid log records (``common``, ``ts``, ``offset``)."""
+def new_flag_stream(logs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """T1 on a stream of valid log records (``common``, ``ts``, ``offset``); ``carry`` names text
+    columns of ``logs`` that pass through."""
     flat = logs.select("offset", F.col("common.mid").alias("mid"),
-                       F.col("common.is_new").alias("is_new"), "ts")
+                       F.col("common.is_new").alias("is_new"), "ts", *carry)
+    schema = ", ".join([NEW_FLAG_OUTPUT, *[f"{c} string" for c in carry]])
     return flat.groupBy("mid").transformWithStateInPandas(
-        NewVisitorFlag(), NEW_FLAG_OUTPUT, "Append", "None")
+        NewVisitorFlag(["offset", "mid", "is_new", *carry]), schema, "Append", "None")
+
+
+def unique_visit_stream(pages: DataFrame, ttl: str = VISIT_STATE_TTL) -> DataFrame:
+    """T2/T3 on a stream of page records: the page record plus ``visit_day``, emitted at once.
+
+    Keyed by (visitor, day), so a busy visitor is spread over its days.  The processing-time
+    expiry asks for a micro-batch after every one, also without new data; run finite inputs with
+    ``spark.sql.streaming.noDataMicroBatches.enabled=false``.
+    """
+    entries = pages.filter(is_entry_page()).select(
+        F.col("common.mid").alias("mid"), day_text(event_time("ts")).alias("visit_day"), "ts", "offset",
+        F.to_json(F.struct(*pages.columns)).alias("record"))
+    first = entries.groupBy("mid", "visit_day").transformWithStateInPandas(
+        FirstVisit(["visit_day", "record"], duration_ms(ttl)), "visit_day string, record string",
+        "Append", "ProcessingTime")
+    return first.select(F.from_json("record", pages.schema).alias("r"), "visit_day").select("r.*", "visit_day")
 
 
 def bounce_stream(pages: DataFrame, within: str = BOUNCE_WITHIN,
