@@ -68,3 +68,41 @@ def test_documents_keep_their_other_columns_and_lines(spark):
 
 def test_empty_table(spark):
     assert lines.line_components(table(spark, [])).count() == 0
+
+
+def every_shingle(line):
+    return {line[i:i + 8] for i in range(max(1, len(line) - 7))}
+
+
+def test_shingles_start_at_every_character(spark):
+    cases = ["", "a", "sevench", "eight ch", "中文" * 40, "a\r b 🙂" * 60, *("".join(chr(97 + i % 23 + i // 29 % 3) for i in range(n)) for n in (
+        lines.STRETCH + k for k in range(-2, 12)))]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(cases)], "i int, line string").select(
+        "i", lines.F.size(lines.shingle_set(lines.F.col("line"))).alias("n")).collect()
+    assert {r.i: r.n for r in rows} == {i: len(every_shingle(x)) for i, x in enumerate(cases)}
+
+
+def test_unspaced_near_copies_match_brute_force_over_every_position(spark):
+    r = random.Random(7)
+    han = ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(200)) for _ in range(12)]
+    url = ["https://" + "".join(r.choice("0123456789abcdef/") for _ in range(400)) for _ in range(12)]
+    prose = [" ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9))) for _ in range(40)) for _ in range(12)]
+    texts = []
+    for x in han + url + prose:
+        texts += [x, "z" + x, x[:50] + x[51:], x[:120] + "y" + x[120:], x[:len(x) // 2]]
+    sets = [every_shingle(x) for x in texts]
+    root = list(range(len(texts)))  # the smallest index of the component
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= 80 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    want = {i: find(i) == i for i in range(len(texts))}
+    got = {x.doc_id: x.kept for x in lines.line_components(table(spark, list(enumerate(texts)))).collect()}
+    assert got == want and sum(want.values()) == 72

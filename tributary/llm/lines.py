@@ -5,9 +5,9 @@ character shingles; bands of them that two classes share make a candidate pair,
 similarity of the shingle sets confirms it, and a distributed union-find over the confirmed pairs
 leaves one line of every component: the first by (doc_id, line number).
 
-Shingles are ``SHINGLE_CHARS`` characters long; one starts at every word and after every
-``STEP_CHARS`` characters within a word, so all characters are covered at about a fifth of the
-positions.  Small buckets are compared pair by pair; in large ones the lines hang on the bucket's first
+Shingles are ``SHINGLE_CHARS`` characters long and one starts at every character; a shorter line is one
+shingle.  A line is first cut into overlapping stretches, so that taking a shingle by its place never
+scans more than one of them, however long the line.  Small buckets are compared pair by pair; in large ones the lines hang on the bucket's first
 line, or on a line that does, and only what is left is compared pair by pair, so a crowd of copies makes no
 rows by its square and no bucket is capped.
 """
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from tributary.llm.common import cut, digest
 from tributary.llm.components import components
 
-SHINGLE_CHARS, STEP_CHARS = 8, 6
+SHINGLE_CHARS = 8
+STRETCH = 48  # shingles of a stretch
 HASHES = 12  # each gives two values: its least and its greatest
 #: The bands: places of the values that they hold.  Two agreeing bands in a hundred lines are chance,
 #: one of eight is missed by about 2 in 100 pairs at the threshold and by 2 in 1,000 at 0.9.
@@ -39,15 +40,27 @@ def line_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     return rows.where(F.col("line").rlike(r"\S")).select("*", *digest(F.col("line")))
 
 
-def shingles(line: Column) -> Column:
-    pattern = rf"(?=(.{{1,{SHINGLE_CHARS}}}))(?:\S{{1,{STEP_CHARS}}}\s*|\s+)"
-    return F.regexp_extract_all(line, F.lit(pattern), F.lit(1))
+def stretches(line: Column) -> Column:
+    """Pieces of a line whose shingles together are those of the line."""
+    pattern = rf"(?s)(?=(.{{{SHINGLE_CHARS},{STRETCH + SHINGLE_CHARS - 1}}})).{{1,{STRETCH}}}"
+    return F.when(F.length(line) < SHINGLE_CHARS, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)))
+
+
+def _starts(stretch: Column) -> Column:
+    return F.sequence(F.lit(1), F.greatest(F.length(stretch) - (SHINGLE_CHARS - 1), F.lit(1)))
+
+
+def shingle_set(line: Column) -> Column:
+    """The distinct shingles of a line, as hashes."""
+    return F.array_distinct(F.flatten(F.transform(stretches(line), lambda s: F.transform(
+        _starts(s), lambda i: F.hash(F.substr(s, i, F.lit(SHINGLE_CHARS)))))))
 
 
 def _bands(lines: DataFrame) -> DataFrame:
     """(node, bands) of every distinct line; node is d1.  Equal lines are added up before the shuffle."""
-    parts = lines.select("d1", "d2", F.explode(shingles(F.col("line"))).alias("shingle")).select(
-        "d1", "d2", F.xxhash64("shingle").alias("x"))
+    parts = lines.select("d1", "d2", F.explode(stretches(F.col("line"))).alias("s"))
+    parts = parts.select("d1", "d2", "s", F.explode(_starts(F.col("s"))).alias("i")).select(
+        "d1", "d2", F.xxhash64(F.substr("s", "i", F.lit(SHINGLE_CHARS))).alias("x"))
     values = parts.select("d1", "d2", *(F.xxhash64("x", F.lit(j)).alias(f"h{j}") for j in range(HASHES)))
     least = values.groupBy("d1").agg(
         F.min("d2").alias("d2"), F.max("d2").alias("other"),
@@ -77,7 +90,7 @@ def _links(lines: DataFrame) -> DataFrame:
     large = members.where(F.col("n") > SMALL)
     wanted = functools.reduce(DataFrame.unionAll, [pairs.select("a"), pairs.select("b"), large.select("node")]).toDF("node").distinct()
     once = lines.select(F.col("d1").alias("node"), "line").join(wanted.hint("shuffle_hash"), "node").dropDuplicates(["node"])
-    sets = cut(once.select("node", F.transform(F.array_distinct(shingles(F.col("line"))), lambda s: F.hash(s)).alias("own")), "sets")
+    sets = cut(once.select("node", shingle_set(F.col("line")).alias("own")), "sets")
     left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
     links = cut(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(_similar(F.col("left"), F.col("right"))).select("a", "b"), "links")
     if large.isEmpty():
