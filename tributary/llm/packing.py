@@ -29,16 +29,24 @@ SALTS = 256
 
 
 class FileEncoder(dict):
-    """Ids by a byte-level BPE tokenizer file; as a dict, pre-token -> its ids as bytes (a bounded memory)."""
+    """Ids by a byte-level BPE tokenizer file; as a dict, pre-token -> its ids as bytes (a bounded memory).
+
+    As in the tokenizers library, a text is first split at the file's added tokens (the longest at a place),
+    which get their own ids; what lies between is encoded by itself.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         with open(path, encoding="utf-8") as file:
-            self.model = json.load(file)["model"]["vocab"]
+            parts = json.load(file)
+        self.model = parts["model"]["vocab"]
+        self.added = {t["content"]: t["id"] for t in parts.get("added_tokens") or [] if t["content"]}
+        if any(t.get(k) for t in parts.get("added_tokens") or [] for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that depend on their surroundings are not read")
         self._build()
 
     def __reduce__(self):
-        return _restored, (self.model,)
+        return _restored, (self.model, self.added)
 
     def _build(self) -> None:
         import re
@@ -53,7 +61,8 @@ class FileEncoder(dict):
         others = [b for b in range(256) if b not in plain]
         byte_of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
         ranks = {bytes(byte_of[c] for c in word): i for word, i in self.model.items() if all(c in byte_of for c in word)}
-        ranks = {w: i for w, i in ranks.items() if not (w.startswith(b"<|") and w.endswith(b"|>"))}
+        ranks = {w: i for w, i in ranks.items() if w.decode("utf-8", "replace") not in self.added}
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
         white = public_tokenizers.PATTERN.replace(r"(?!\S)", r"(?!\P{White_Space})").replace(r"\s", r"\p{White_Space}")
         self.find, self.find_ascii = regex.compile(white).findall, re.compile(ASCII_PATTERN).findall
         self.whole = {w.decode("utf-8"): i.to_bytes(4, "little") for w, i in ranks.items() if _is_text(w)}
@@ -71,12 +80,18 @@ class FileEncoder(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        if not any(t in text for t in self.added):
+            return self._plain(text)
+        # at the odd places stand the added tokens
+        return b"".join(self.added[x].to_bytes(4, "little") if k % 2 else self._plain(x) for k, x in enumerate(self.split(text)))
+
+    def _plain(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, (self.find_ascii if text.isascii() else self.find)(text)))
 
 
-def _restored(model):
+def _restored(model, added):
     encoder = FileEncoder.__new__(FileEncoder)
-    encoder.model = model
+    encoder.model, encoder.added = model, added
     encoder._build()
     return encoder
 
