@@ -6,6 +6,9 @@ word of the notices that prose hardly uses.  A paragraph without a key word ther
 prose, and one expression over the text finds the paragraphs worth scoring.  Probabilities are
 calibrated on variants held out; what looks like a license but like no family is ``unknown``.
 A prediction is confirmed if enough of a notice's word n-grams stand in the paragraph.
+
+A paragraph is a line, or a block of lines between blank ones: notices are often wrapped, and none of
+their lines then holds enough of them.  Comment marks count as white space in blocks.
 """
 
 from __future__ import annotations
@@ -92,6 +95,8 @@ SAMPLE_PARAGRAPHS = 2_000  # paragraphs of the corpus that train the class ``non
 MAX_BACKGROUND = 0.02  # share of prose paragraphs in which a key word may occur
 MIN_PROBABILITY = 0.5
 MIN_CONFIRMED = 0.6
+#: What may stand before the text of a line, and in a line that counts as blank: white space, comment marks, rules.
+MARKS = r"(?md)^[ \t\x0B\f\r/*#;%!<>=+_~|-]*+(?:(?:rem|dnl)(?![a-z0-9]))?[ \t\x0B\f\r/*#;%!<>=+_~|-]*+"
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 
 
@@ -187,6 +192,19 @@ def paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         F.col(key).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("paragraph", "body"))
 
 
+def blocks(texts: DataFrame) -> DataFrame:
+    """(doc, doc_id, paragraph, lines, low): the runs of two and more non-blank lines of the lower-case texts
+    (doc, doc_id, low), without comment marks; ``paragraph`` is the first line's number."""
+    rows = texts.withColumn("low", F.regexp_replace("low", MARKS, "")).withColumn("all", F.split("low", "\n", -1))
+    first = F.filter(F.sequence(F.lit(0), F.size("all") - 1), lambda i: (F.get("all", i) != "") & (
+        (i == 0) | (F.get("all", i - 1) == "")))
+    bodies = F.split(F.regexp_replace("low", r"\A\n+|\n+\z", ""), r"\n\n+", -1)
+    rows = rows.select("doc", "doc_id", F.explode(F.arrays_zip(first.alias("first"), bodies.alias("body"))).alias("b"))
+    rows = rows.where(F.col("b.first").isNotNull()).select("doc", "doc_id", F.col("b.first").alias("paragraph"), F.size(F.split("b.body", "\n", -1)).alias("lines"),
+                       F.col("b.body").alias("low"))
+    return rows.where("lines > 1")
+
+
 def train_on(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     """Fits the classifier with at most ``SAMPLE_PARAGRAPHS`` paragraphs of the corpus as prose.
 
@@ -209,8 +227,11 @@ def _grams(words: Column) -> Column:
 
 
 def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, paragraph, license, probability, similarity, confirmed) of every paragraph that is a
-    license notice; ``license`` is a family, or ``unknown``.
+    """(doc_id, paragraph, lines, license, probability, similarity, confirmed) of every paragraph that is a
+    license notice; ``license`` is a family, or ``unknown``.  ``paragraph`` is the number of its first line.
+
+    Every line is judged, and every block of ``lines`` > 1 lines.  A block is left out if one of its lines says
+    as much: the same license with the same similarity or a greater one.
 
     ``similarity`` is the largest share of a notice of that family (its distinct word n-grams) that stands in the paragraph;
     a family is ``confirmed`` from ``MIN_CONFIRMED`` on, ``unknown`` never.  Null and empty texts have no
@@ -219,9 +240,14 @@ def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     spark = docs.sparkSession
     number = len(model.classes)
     key_word = r"\b(?:" + "|".join(map(re.escape, model.keys)) + r")\b"
-    found = paragraphs(docs, key, text).withColumn("low", F.lower("body")).where(F.col("low").rlike(key_word))
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.lower(text).alias("low"))
+    texts = texts.where(F.col("low").rlike(key_word)).withColumn("doc", F.monotonically_increasing_id())
+    # stored, since ``doc`` must be the same for lines and blocks
+    texts = cut(texts, "texts")
+    single = texts.select("doc", "doc_id", F.posexplode(F.split("low", "\n", -1)).alias("paragraph", "low")).withColumn("lines", F.lit(1))
+    found = single.unionByName(blocks(texts)).where(F.col("low").rlike(key_word))
     found = found.withColumn("id", F.monotonically_increasing_id()).withColumn(
-        "words", F.regexp_extract_all("low", F.lit(WORD), F.lit(0))).select("doc_id", "paragraph", "id", "words")
+        "words", F.regexp_extract_all("low", F.lit(WORD), F.lit(0))).select("doc", "doc_id", "paragraph", "lines", "id", "words")
     found = cut(found, "paragraphs")
     # the n-grams of the notices above: a table whose size does not depend on the corpus
     weights = spark.createDataFrame([(g, w) for g, w in model.weights.items()], "gram string, w array<double>")
@@ -230,12 +256,13 @@ def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
         *(F.sum(F.col("w")[i]).alias(f"s{i}") for i in range(number)))
     scores = F.array(*((F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.lit(model.bias[i])) / F.lit(model.temperature)
                        for i in range(number)))
-    scored = found.select("id", "doc_id", "paragraph").join(sums, "id", "left").withColumn("z", scores)
+    places = ["doc", "doc_id", "paragraph", "lines"]
+    scored = found.select("id", *places).join(sums, "id", "left").withColumn("z", scores)
     scored = scored.withColumn("e", F.transform("z", lambda x: F.exp(x - F.array_max("z")))).withColumn(
         "total", F.aggregate("e", F.lit(0.0), lambda a, x: a + x))
     families = F.array(*map(F.lit, model.classes))
     best = F.array_position(F.col("e"), F.array_max("e")).cast("int")
-    predicted = scored.select("id", "doc_id", "paragraph", F.get(families, best - 1).alias("predicted"),
+    predicted = scored.select("id", *places, F.get(families, best - 1).alias("predicted"),
                               (F.array_max("e") / F.col("total")).alias("probability")).where(F.col("predicted") != NONE)
     labelled = predicted.withColumn("license", F.when(F.col("probability") >= MIN_PROBABILITY, F.col("predicted")).otherwise(UNKNOWN))
     notices = spark.createDataFrame([(c, i, g) for c, texts in NOTICES.items() for i, t in enumerate(texts)
@@ -244,6 +271,11 @@ def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     shared = (labelled.select("id", "license").join(grams, "id").join(F.broadcast(notices), ["license", "gram"])
               .groupBy("id", "license", "notice").agg(F.count("*").alias("both")).join(F.broadcast(sizes), ["license", "notice"])
               .groupBy("id").agg(F.max(F.col("both") / F.col("n")).alias("similarity")))
-    out = labelled.join(shared, "id", "left").withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))
-    return out.select("doc_id", "paragraph", "license", "probability", "similarity",
-                      ((F.col("license") != UNKNOWN) & (F.col("similarity") >= MIN_CONFIRMED)).alias("confirmed"))
+    out = cut(labelled.join(shared, "id", "left").withColumn("similarity", F.coalesce("similarity", F.lit(0.0))), "notices")
+    of_block, of_line = out.where("lines > 1").alias("b"), out.where("lines = 1").alias("l")
+    said = of_block.join(of_line, (F.col("b.doc") == F.col("l.doc")) & (F.col("b.license") == F.col("l.license"))
+                         & (F.col("l.paragraph") >= F.col("b.paragraph")) & (F.col("l.paragraph") < F.col("b.paragraph") + F.col("b.lines"))
+                         & (F.col("l.similarity") >= F.col("b.similarity")), "left_anti")
+    return out.where("lines = 1").unionByName(said.select(*out.columns)).select(
+        "doc_id", "paragraph", "lines", "license", "probability", "similarity",
+        ((F.col("license") != UNKNOWN) & (F.col("similarity") >= MIN_CONFIRMED)).alias("confirmed"))
