@@ -37,3 +37,24 @@ def test_blocks_and_their_first_lines(spark):
     rows = [(0, 7, "\n \na\nb\n\n # \n# c\n# d\n#e\n--\nalone\n\n"), (1, 8, ""), (2, 9, "\n"), (3, 9, "x\ny")]
     got = licences.blocks(spark.createDataFrame(rows, "doc long, doc_id long, low string")).collect()
     assert sorted(tuple(r) for r in got) == [(0, 7, 2, 2, "a\nb"), (0, 7, 6, 3, "c\nd\ne"), (3, 9, 0, 2, "x\ny")]
+
+
+def test_key_words_are_counted_over_all_lines(spark):
+    opening = "This program is free software: you can redistribute it"
+    gpl = licences.NOTICES["gpl"][1]
+    rows = [(i, opening + "\n" + "\n".join(f"the weather of day {i} and hour {h} was fair" for h in range(10))) for i in range(300)]
+    docs = spark.createDataFrame(rows + [(1_000, "\n".join(textwrap.wrap(gpl, 72))), (1_001, gpl)], "doc_id long, text string")
+    model = licences.train_on(docs)
+    assert {"free", "program", "redistribute", "software"} <= set(model.keys)
+    got = {(r.doc_id, r.license) for r in licences.scan(docs, model).collect() if r.confirmed}
+    assert got == {(1_000, "gpl"), (1_001, "gpl")}
+
+
+def test_words_that_prose_uses_anywhere_are_no_key_words(spark):
+    # the first lines hold none of them; long lines are read whole
+    rows = [(i, "a title\n" + "filler " * 500 + f"permission granted to person {i}") for i in range(100)]
+    keys = licences.train_on(spark.createDataFrame(rows, "doc_id long, text string")).keys
+    assert not {"permission", "granted", "person"} & set(keys) and "redistribute" in keys
+    docs = spark.createDataFrame([(1, "Plain words\n\nmit stuff\nAll rights reserved"), (2, None), (2, "x\nx")], "doc_id long, text string")
+    assert sorted(r.body for r in licences.prose(licences.paragraphs(docs)).collect()) == ["Plain words", "mit stuff", "x", "x"]
+    assert licences.train_on(docs.where("doc_id > 5")).keys

@@ -92,6 +92,7 @@ PROSE = [
 NONE, UNKNOWN = "none", "unknown"
 GRAMS = 3
 SAMPLE_PARAGRAPHS = 2_000  # paragraphs of the corpus that train the class ``none`` at most
+NOTICE_RUN = 5  # words of a notice in a row that rule a line out as prose
 MAX_BACKGROUND = 0.02  # share of prose paragraphs in which a key word may occur
 MIN_PROBABILITY = 0.5
 MIN_CONFIRMED = 0.6
@@ -133,18 +134,23 @@ def _variants(text: str, filler: list[list[str]], r: random.Random, n: int) -> l
     return out
 
 
-def train(prose: list[str], steps: int = 300, rate: float = 0.5, decay: float = 1e-4, variants: int = 16) -> Model:
-    """Fits and calibrates the classifier; ``prose`` holds paragraphs of the corpus (a bounded sample)."""
+def train(prose: list[str], steps: int = 300, rate: float = 0.5, decay: float = 1e-4, variants: int = 16,
+          counted: tuple[int, dict[str, int]] | None = None) -> Model:
+    """Fits and calibrates the classifier; ``prose`` holds paragraphs of the corpus (a bounded sample).
+
+    ``counted``: how many paragraphs of prose the corpus has, and in how many of them each word of the notices
+    stands; without it both are taken from ``prose``.
+    """
     r = random.Random(5)
     background = [words_of(p) for p in [*prose, *PROSE]]
     classes = [*NOTICES, UNKNOWN, NONE]
     notices = [(c, t) for c, texts in NOTICES.items() for t in texts] + [(UNKNOWN, t) for t in OTHER_NOTICES]
-    counts: dict[str, int] = {}
-    for p in background:
+    counts: dict[str, int] = dict(counted[1]) if counted else {}
+    for p in background if counted is None else map(words_of, PROSE):
         for w in set(p):
             counts[w] = counts.get(w, 0) + 1
     notice_words = {w for _, t in notices for w in words_of(t)}
-    limit = max(MAX_BACKGROUND * len(background), 2)
+    limit = max(MAX_BACKGROUND * (counted[0] + len(PROSE) if counted else len(background)), 2)
     keys = sorted(w for w in notice_words if counts.get(w, 0) <= limit and not w.isdigit() and len(w) > 2)
     rows = [(classes.index(c), own, i % 4 == 0 and i > 0) for c, t in notices
             for i, own in enumerate(_variants(t, background, r, variants))]
@@ -205,15 +211,40 @@ def blocks(texts: DataFrame) -> DataFrame:
     return rows.where("lines > 1")
 
 
+def prose(lines: DataFrame) -> DataFrame:
+    """(body, words): those of ``lines`` (body) that are taken for prose.
+
+    Lines that say license or copyright, and those with ``NOTICE_RUN`` words of a notice in a row, are none.
+    """
+    texts = [words_of(t) for t in [*(t for texts in NOTICES.values() for t in texts), *OTHER_NOTICES]]
+    parts = sorted({" ".join(w[i:i + NOTICE_RUN]) for w in texts for i in range(len(w) - NOTICE_RUN + 1)})
+    runs = F.array(*map(F.lit, parts))
+    rows = lines.withColumn("low", F.lower("body")).where(
+        F.col("low").rlike(r"\S") & ~F.col("low").rlike("licen[cs]|copyright|rights reserved"))
+    rows = rows.withColumn("words", F.regexp_extract_all("low", F.lit(WORD), F.lit(0)))
+    # the runs are looked for in lines with as many words of notices only
+    own = F.array(*map(F.lit, sorted({w for t in texts for w in t})))
+    many = F.size(F.array_intersect("words", own)) >= min(len(set(p.split(" "))) for p in parts)
+    joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
+    told = F.when(many, F.exists(runs, lambda p: F.contains(joined, F.concat(F.lit(" "), p, F.lit(" "))))).otherwise(False)
+    return rows.where(~told).select("body", "words")
+
+
 def train_on(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
-    """Fits the classifier with at most ``SAMPLE_PARAGRAPHS`` paragraphs of the corpus as prose.
+    """Fits the classifier with at most ``SAMPLE_PARAGRAPHS`` whole lines, drawn by a hash over all
+    lines; those that are no prose are left out of them.
 
-    Those that say license or copyright are left out of the sample.
+    How often the words of the notices stand in prose is counted over all its lines.
     """
-    few = (docs.where(F.col(text).isNotNull()).select(F.xxhash64(key).alias("h"), text).orderBy("h", F.xxhash64(text))
-           .limit(SAMPLE_PARAGRAPHS).select(F.get(F.split(F.col(text), "\n"), F.lit(0)).alias("body")))
-    few = few.where(~F.lower("body").rlike("licen[cs]|copyright|rights reserved")).select(F.substr("body", F.lit(1), F.lit(2_000)))
-    return train([r[0] for r in few.collect()])  # the training sample only: its rows and their length are bounded
+    rows = paragraphs(docs, key, text).where(F.col("body").rlike(r"\S"))
+    notice_words = sorted({w for t in [*(t for texts in NOTICES.values() for t in texts), *OTHER_NOTICES] for w in words_of(t)})
+    # a null beside the words counts the line itself; one row for each word of the notices at most
+    counts = {r[0]: r[1] for r in prose(rows).select(F.explode(F.concat(
+        F.array(F.lit(None).cast("string")), F.array_intersect("words", F.array(*map(F.lit, notice_words))))).alias("w"))
+        .groupBy("w").count().collect()}
+    few = rows.select("body", F.xxhash64("doc_id", "paragraph", "body").alias("h")).orderBy("h", "body").limit(SAMPLE_PARAGRAPHS)
+    # the training sample only: its rows are bounded
+    return train([r[0] for r in prose(few).collect()], counted=(counts.pop(None, 0), counts))
 
 
 def _grams(words: Column) -> Column:
