@@ -211,23 +211,25 @@ def blocks(texts: DataFrame) -> DataFrame:
     return rows.where("lines > 1")
 
 
+def _run_pattern(texts: list[str]) -> str:
+    """One expression for any of the texts; those that begin alike share their beginning."""
+    tree: dict[str, list[str]] = {}
+    for t in texts:
+        tree.setdefault(t[:1], []).append(t[1:])
+    parts = [(r"[^a-z0-9]+" if c == " " else re.escape(c)) + _run_pattern(rest) if c else r"\b" for c, rest in tree.items()]
+    return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"
+
+
 def prose(lines: DataFrame) -> DataFrame:
-    """(body, words): those of ``lines`` (body) that are taken for prose.
+    """(body, low): those of ``lines`` (body) that are taken for prose.
 
     Lines that say license or copyright, and those with ``NOTICE_RUN`` words of a notice in a row, are none.
     """
     texts = [words_of(t) for t in [*(t for texts in NOTICES.values() for t in texts), *OTHER_NOTICES]]
-    parts = sorted({" ".join(w[i:i + NOTICE_RUN]) for w in texts for i in range(len(w) - NOTICE_RUN + 1)})
-    runs = F.array(*map(F.lit, parts))
-    rows = lines.withColumn("low", F.lower("body")).where(
-        F.col("low").rlike(r"\S") & ~F.col("low").rlike("licen[cs]|copyright|rights reserved"))
-    rows = rows.withColumn("words", F.regexp_extract_all("low", F.lit(WORD), F.lit(0)))
-    # the runs are looked for in lines with as many words of notices only
-    own = F.array(*map(F.lit, sorted({w for t in texts for w in t})))
-    many = F.size(F.array_intersect("words", own)) >= min(len(set(p.split(" "))) for p in parts)
-    joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    told = F.when(many, F.exists(runs, lambda p: F.contains(joined, F.concat(F.lit(" "), p, F.lit(" "))))).otherwise(False)
-    return rows.where(~told).select("body", "words")
+    runs = sorted({tuple(w[i:i + NOTICE_RUN]) for w in texts for i in range(len(w) - NOTICE_RUN + 1)})
+    rows = lines.select("body", F.lower("body").alias("low"))
+    return rows.where(F.col("low").rlike(r"\S") & ~F.col("low").rlike("licen[cs]|copyright|rights reserved")
+                      & ~F.col("low").rlike(r"\b" + _run_pattern([" ".join(r) for r in runs])))
 
 
 def train_on(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
@@ -239,9 +241,9 @@ def train_on(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
     rows = paragraphs(docs, key, text).where(F.col("body").rlike(r"\S"))
     notice_words = sorted({w for t in [*(t for texts in NOTICES.values() for t in texts), *OTHER_NOTICES] for w in words_of(t)})
     # a null beside the words counts the line itself; one row for each word of the notices at most
-    counts = {r[0]: r[1] for r in prose(rows).select(F.explode(F.concat(
-        F.array(F.lit(None).cast("string")), F.array_intersect("words", F.array(*map(F.lit, notice_words))))).alias("w"))
-        .groupBy("w").count().collect()}
+    words = prose(rows).select(F.explode(F.concat(F.array(F.lit(None).cast("string")), F.array_distinct(
+        F.regexp_extract_all("low", F.lit(WORD), F.lit(0))))).alias("w")).where(F.col("w").isNull() | F.col("w").isin(notice_words))
+    counts = {r[0]: r[1] for r in words.groupBy("w").count().collect()}
     few = rows.select("body", F.xxhash64("doc_id", "paragraph", "body").alias("h")).orderBy("h", "body").limit(SAMPLE_PARAGRAPHS)
     # the training sample only: its rows are bounded
     return train([r[0] for r in prose(few).collect()], counted=(counts.pop(None, 0), counts))
