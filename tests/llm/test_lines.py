@@ -3,11 +3,13 @@ import random
 from tributary.llm import lines
 
 
+def every_shingle(line):
+    return {line[i:i + 8] for i in range(max(1, len(line) - 7))}
+
+
 def brute(docs):
-    import re
-    step = re.compile(r"(?=(.{1,8}))(?:\S{1,6}\s*|\s+)")
     rows = [(d, i, x) for d, t in docs if t is not None for i, x in enumerate(t.split("\n")) if x.strip(" \t\r\f\v")]
-    sets = {x: {m.group(1) for m in step.finditer(x)} for _, _, x in rows}
+    sets = {x: every_shingle(x) for _, _, x in rows}
     texts = list(sets)
     root = {x: x for x in texts}
 
@@ -70,8 +72,22 @@ def test_empty_table(spark):
     assert lines.line_components(table(spark, [])).count() == 0
 
 
-def every_shingle(line):
-    return {line[i:i + 8] for i in range(max(1, len(line) - 7))}
+def test_lines_go_from_their_own_row_only(spark):
+    """Rows that share a doc_id, or have none, keep the lines that are theirs alone."""
+    docs = table(spark, [(1, "a shared line of words\nsecond here"), (5, "a shared line of words\nx y z one"),
+                         (5, "only in this text and nowhere\nq r s two"), (None, "first of the nulls\nits second line here"),
+                         (None, "something else entirely\nfirst of the nulls"), (None, "a third row\nand its own second line")])
+    got = sorted(x.text for x in lines.without_repeated_lines(docs).collect())
+    assert got == sorted(["a shared line of words\nsecond here", "x y z one", "only in this text and nowhere\nq r s two",
+                          "first of the nulls\nits second line here", "something else entirely", "a third row\nand its own second line"])
+
+
+def test_of_equal_lines_at_one_place_of_rows_of_one_id_one_stays(spark):
+    docs = table(spark, [(5, "the very same line here\none one one"), (5, "the very same line here\ntwo two two"), (6, "twin twin twin"), (6, "twin twin twin")])
+    got = [x.text for x in lines.without_repeated_lines(docs).collect()]
+    assert "\n".join(got).count("the very same line here") == 1
+    assert {"one one one", "two two two"} <= {x for t in got for x in t.split("\n")}
+    assert got.count("twin twin twin") == 2  # a repeated row keeps what its twin keeps
 
 
 def test_shingles_start_at_every_character(spark):

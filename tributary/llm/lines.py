@@ -34,9 +34,11 @@ BLOCK = 4096  # lines of a larger bucket that meet in one task
 
 
 def line_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, line_no, line, d1, d2) of every line that has a character other than white space."""
+    """(doc_id, t1, t2, line_no, line, d1, d2) of every line that has a character other than white space; t1 and t2
+    are the digest of the whole text, which tells rows of one doc_id apart."""
+    whole = [d.alias(name) for d, name in zip(digest(F.col(text)), ("t1", "t2"))]
     rows = docs.where(F.col(text).isNotNull()).select(
-        F.col(key).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
+        F.col(key).cast("long").alias("doc_id"), *whole, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
     return rows.where(F.col("line").rlike(r"\S")).select("*", *digest(F.col("line")))
 
 
@@ -53,7 +55,7 @@ def _starts(stretch: Column) -> Column:
 def shingle_set(line: Column) -> Column:
     """The distinct shingles of a line, as hashes."""
     return F.array_distinct(F.flatten(F.transform(stretches(line), lambda s: F.transform(
-        _starts(s), lambda i: F.hash(F.substr(s, i, F.lit(SHINGLE_CHARS)))))))
+        _starts(s), lambda i: F.xxhash64(F.substr(s, i, F.lit(SHINGLE_CHARS)))))))
 
 
 def _bands(lines: DataFrame) -> DataFrame:
@@ -138,36 +140,53 @@ def _met(x: DataFrame, y: DataFrame, how: str, also: Column | None = None) -> Da
     return x.join(y.hint("merge"), on & _similar(F.col("x.own"), F.col("y.own")), how)
 
 
+#: A line's place as one number, which a hash aggregate can take the least of: doc_id, line number, then some bits of
+#: the text's digest, so that of two rows with one doc_id the lines of one of them come first.
+TEXT_BITS = 28
+
+
+def _place() -> Column:
+    number = F.coalesce(F.col("doc_id"), F.lit(-2**63)).cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)") + F.col("line_no")
+    return (number.cast("decimal(29,0)") * F.lit(2**TEXT_BITS).cast("decimal(9,0)")
+            + F.col("t1").bitwiseAND(F.lit(2**TEXT_BITS - 1))).cast("decimal(38,0)")
+
+
 def line_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, line_no, d1, d2, kept): every line with a word, and whether it stays.
+    """(doc_id, t1, t2, line_no, d1, d2, kept): every line with a word, and whether it stays.
 
     Lines are equal as they are written; two lines are linked if the Jaccard similarity of their
     shingle sets is ``THRESHOLD`` or more.  Of every component the first line by (doc_id, line
-    number) stays; a null doc_id comes first.  Rows of one doc_id share their places, so a repeated row keeps what
-    its twin keeps.  Null and empty texts and blank lines give no rows; extra columns are left out.
+    number) stays; a null doc_id comes first.  Rows that share a doc_id are told apart by their texts (t1, t2): of equal
+    lines at the same place of two such rows one stays, and a row that repeats another in id and text keeps what its
+    twin keeps.  Null and empty texts and blank lines give no rows; extra columns are left out.
     """
     lines = line_rows(docs, key, text)
-    places = cut(lines.select("doc_id", "line_no", "d1", "d2"), "places")
+    row = ["doc_id", "t1", "t2", "line_no", "d1", "d2"]
+    places = cut(lines.select(*row), "places")
     label = components(_links(lines)).select(F.col("node").alias("d1"), "component")
     # the class of a line that has no link is (d1, d2)
-    place = (F.coalesce(F.col("doc_id"), F.lit(-2**63)).cast("decimal(20,0)") * F.lit(2**31).cast("decimal(10,0)")
-             + F.col("line_no")).cast("decimal(38,0)")
     marked = places.join(label.hint("merge"), "d1", "left").select(
-        "doc_id", "line_no", "d1", "d2", F.coalesce("component", "d1").alias("c1"),
-        F.when(F.col("component").isNull(), F.col("d2")).otherwise(0).alias("c2"), place.alias("place"))
-    first = marked.groupBy("c1", "c2").agg(F.min("place").alias("first"))
-    return marked.join(first, ["c1", "c2"]).select("doc_id", "line_no", "d1", "d2", (F.col("place") == F.col("first")).alias("kept"))
+        *row, F.coalesce("component", "d1").alias("c1"), F.when(F.col("component").isNull(), F.col("d2")).otherwise(0).alias("c2"),
+        _place().alias("place"))
+    # only classes of several lines lose any; written, so that the join back has an exchange of its own, which
+    # adaptive execution may split where one class holds very many lines
+    first = marked.groupBy("c1", "c2").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    first = cut(first.where("n > 1").select("c1", "c2", "first"), "first-lines")
+    kept = F.col("first").isNull() | (F.col("place") == F.col("first"))
+    return marked.join(first, ["c1", "c2"], "left").select(*row, kept.alias("kept"))
 
 
 def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, with only the lines that stay; a document that loses all its lines goes.
 
-    Blank lines stay where they are; documents with nothing to remove stay as they are, null and
-    empty texts too.
+    Blank lines stay where they are; documents with nothing to remove stay as they are, null, empty and blank
+    texts too.  A line goes from the row it was judged in: rows are known by doc_id (null or not) and text.
     """
-    gone = line_components(docs, key, text).where("not kept").groupBy(F.col("doc_id").alias("__id")).agg(
-        F.collect_set("line_no").alias("__gone"))
-    rows = docs.join(gone, docs[key].cast("long").eqNullSafe(F.col("__id")), "left")
+    gone = line_components(docs, key, text).where("not kept").groupBy(
+        F.col("doc_id").alias("__id"), F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).agg(F.collect_set("line_no").alias("__gone"))
+    t1, t2 = digest(F.col(text))
+    rows = docs.withColumns({"__x1": t1, "__x2": t2})
+    rows = rows.join(gone, docs[key].cast("long").eqNullSafe(F.col("__id")) & (F.col("__x1") == F.col("__t1")) & (F.col("__x2") == F.col("__t2")), "left")
     lines = F.split(F.col(text), "\n", -1)
     kept = F.filter(F.transform(lines, lambda x, i: F.when(~F.array_contains("__gone", i), x)), lambda x: x.isNotNull())
     new = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))

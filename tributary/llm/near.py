@@ -2,18 +2,20 @@
 
 Every document gets a MinHash signature over its word shingles; documents of equal shingle sets are
 one class.  A class is posted under the (coordinate, value) pairs of its signature; two classes
-collide as often as their signatures agree, and those that agree at ``MATCHES`` coordinates or more
+collide as often as their signatures agree, and those that agree at ``matches_needed`` coordinates or more
 are candidates.  Prefix: a pair with that many collisions shares one of the first
-``COORDINATES - MATCHES + 1`` postings of both, in any common order; here the rarest come first, so
+``COORDINATES - matches + 1`` postings of both, in any common order; here the rarest come first, so
 widespread values are hardly ever joined on.  Skip: within a posting list a pair already known to
 hang together is passed over.  Candidates that hang together are then compared on their full
 shingle sets, in blocks: all intersections of a block come from one sparse matrix product, and only
-a spanning set of the links found leaves the task, so no list or group makes rows by its square.
+a spanning set of the links found leaves the task.  A group of n members in blocks of b costs n * n / b rows of
+sets or signatures on the way in, since every pair of blocks meets once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -25,7 +27,7 @@ from tributary.llm.common import WordHashes, cut, local_roots, map_runs, mix, ng
 from tributary.llm.components import components
 
 COORDINATES = 32
-MATCHES = 18
+MISSED = 5e-5  # of pairs just at the threshold, at most
 LIST_BLOCK = 512  # members of a posting list that are compared at once
 SET_BLOCK = 128  # full shingle sets that are compared at once
 SHINGLE_WORDS = 5
@@ -33,6 +35,16 @@ THRESHOLD = (4, 5)  # similarity as a fraction
 SLICE = 2_048  # shingles hashed, or columns multiplied, at once
 
 
+def matches_needed(threshold: tuple[int, int]) -> int:
+    """The most coordinates that may be asked to agree so that a pair at the threshold is missed by ``MISSED`` at most."""
+    t, missed, m = threshold[0] / threshold[1], 0.0, 0
+    while True:
+        missed += comb(COORDINATES, m) * t**m * (1 - t) ** (COORDINATES - m)
+        if missed > MISSED:
+            return m
+        m += 1
+
+
 def permutations(n: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Multiply-add-shift hash functions (odd multipliers)."""
     r = np.random.default_rng(seed)
@@ -79,14 +91,14 @@ def signatures(docs: DataFrame, key: str, text: str, shingle_words: int) -> Data
         task, "doc_id long, n_shingles long, c1 long, c2 long, sig binary")
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, needed: int) -> DataFrame:
     """(token, df, node, sig): every class under the shared postings of its prefix, rarest first."""
     word = F.expr(f"transform(sequence(0, {COORDINATES - 1}), i -> xxhash64(i, substring(sig, 4 * i + 1, 4)))")
     tokens = classes.select("node", F.explode(word).alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     held = tokens.join(shared, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("held"))
     # the postings that nobody shares come first in a prefix; what is left of it is joined on
-    room = F.lit(COORDINATES - MATCHES + 1) - (F.lit(COORDINATES) - F.size("held"))
+    room = F.lit(COORDINATES - needed + 1) - (F.lit(COORDINATES) - F.size("held"))
     prefix = held.where(room > 0).select("node", F.explode(F.slice("held", F.lit(1), room)).alias("x"))
     lists = prefix.select("node", F.col("x.token").alias("token"))
     sizes = lists.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
@@ -112,21 +124,24 @@ def _spanning(nodes: np.ndarray, left: np.ndarray, right: np.ndarray) -> pd.Data
     return pd.DataFrame({"a": nodes[at], "b": nodes[root[at]]})
 
 
-def _collide(run: dict[str, np.ndarray]) -> pd.DataFrame | None:
-    nodes = run["node"]
-    if len(nodes) < 2:
-        return None
-    sig = np.frombuffer(b"".join(run["sig"]), np.uint32).reshape(len(nodes), -1)
-    matches = np.zeros((len(nodes), len(nodes)), np.uint8)
-    for c in range(sig.shape[1]):
-        matches += sig[:, c, None] == sig[None, :, c]
-    return _spanning(nodes, *np.nonzero(np.triu(matches >= MATCHES, 1)))
+def _collide(needed: int):
+    def each(run: dict[str, np.ndarray]) -> pd.DataFrame | None:
+        nodes = run["node"]
+        if len(nodes) < 2:
+            return None
+        sig = np.frombuffer(b"".join(run["sig"]), np.uint32).reshape(len(nodes), -1)
+        matches = np.zeros((len(nodes), len(nodes)), np.uint8)
+        for c in range(sig.shape[1]):
+            matches += sig[:, c, None] == sig[None, :, c]
+        return _spanning(nodes, *np.nonzero(np.triu(matches >= needed, 1)))
+
+    return each
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    rows = block_pairs(_postings(classes), F.col("df"), LIST_BLOCK, F.col("node"))
+def _candidates(classes: DataFrame, needed: int) -> DataFrame:
+    rows = block_pairs(_postings(classes, needed), F.col("df"), LIST_BLOCK, F.col("node"))
     # a posting list of one block is hashed by its token alone; longer ones by their pair of blocks too
-    return map_runs(rows.select("token", "left", "right", "node", "sig"), ["token", "left", "right"], _collide, "a long, b long")
+    return map_runs(rows.select("token", "left", "right", "node", "sig"), ["token", "left", "right"], _collide(needed), "a long, b long")
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -195,7 +210,7 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     classes = sigs.where("c1 is not null and doc_id is not null").groupBy("c1", "c2").agg(
         F.min("doc_id").alias("node"), F.first("sig").alias("sig"))
     classes = cut(classes, "classes")
-    links = _candidates(classes.select("node", "sig"))
+    links = _candidates(classes.select("node", "sig"), matches_needed(threshold))
     group = components(links).withColumnRenamed("component", "group")
     group = cut(group, "groups")
     sizes = group.groupBy("group").agg(F.count("*").alias("n"))
