@@ -193,6 +193,20 @@ def test_sharding(docs, none):
         sizes[r.shard] += r.size
     assert max(sizes.values()) - min(sizes.values()) <= 2 * max(r.size for r in rows)
     assert sharding.assign_shards(none, 4).count() == 0
+    checksums = Counter((r.doc_id, r.text_crc32) for r in rows)
+    assert checksums == Counter((d, zlib.crc32((t or "").encode())) for d, t in DOCS)
+    homes = {}  # equal texts share a shard, unless they fill one
+    for r in rows:
+        homes.setdefault((r.size, r.text_crc32), set()).add(r.shard)
+    assert all(len(h) == 1 for h in homes.values())
+
+
+def test_sharding_splits_along_sources_with_a_long_common_beginning(spark):
+    docs = spark.createDataFrame([(d, f"text number {d:04d}", f"https://example.org/{'ab'[d % 2]}") for d in range(200)],
+                                 "doc_id long, text string, source string")
+    rows = sharding.assign_shards(docs, 2).collect()
+    assert Counter((r.doc_id % 2, r.shard) for r in rows).values() and len({(r.doc_id % 2, r.shard) for r in rows}) == 2
+    assert Counter(r.shard for r in rows) == Counter({0: 100, 1: 100})
 
 
 def test_quality_statistics_and_model(spark, docs, none):

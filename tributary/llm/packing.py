@@ -4,7 +4,7 @@ Documents become pieces of at most ``capacity`` tokens.  What is packed is the h
 lengths (at most ``capacity`` entries, however large the corpus): a bitset subset-sum over the
 available lengths finds the fullest combination beside the largest piece left, and that combination
 is removed as often as the histogram allows.  Pieces then take their places by their rank among
-those of the same length; ranks are counted in salted groups, so a hot length is many small sorts.
+those of the same length; ranks are counted in salted groups of a bounded size, so a hot length is many small sorts.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from tributary.llm.common import cut
 
 CAPACITY = 2048
 END_ID = 0
-SALTS = 256
+RANKED_TOGETHER = 1_024  # pieces of a length whose ranks one sort gives, about
 
 
 class FileEncoder(dict):
@@ -195,9 +195,14 @@ def _places(filled: list[tuple[list[int], int]]) -> dict[int, tuple[np.ndarray,
     return {k: tuple(np.array(c, np.int64) for c in zip(*v)) for k, v in table.items()}
 
 
-def ranked(cut_pieces: DataFrame) -> DataFrame:
-    """Adds ``rank``: 0, 1, ... among the pieces of a length, counted in ``SALTS`` groups for each."""
-    salted = cut_pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
+def ranked(cut_pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
+    """Adds ``rank``: 0, 1, ... among the pieces of a length, counted in groups of about ``RANKED_TOGETHER`` pieces.
+
+    ``histogram``: the number of pieces of every length.
+    """
+    groups_of = [max(1, -(-histogram.get(n, 0) // RANKED_TOGETHER)) for n in range(1, max(histogram, default=1) + 1)]
+    salts = F.element_at(F.array(*map(F.lit, groups_of)), F.col("length").cast("int"))
+    salted = cut_pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), salts).cast("long"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     groups = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).select(
         "length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -229,7 +234,7 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield rows.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
 
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    return ranked(cut_pieces).select(*columns, "rank").mapInPandas(
+    return ranked(cut_pieces, histogram).select(*columns, "rank").mapInPandas(
         task, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 

@@ -20,10 +20,19 @@ SLOT_GROUPS = 4_096
 LAW = "bytes"
 
 
-def _ordinal(column: Column) -> Column:
-    """A string's place in the alphabet as a number (by its first six bytes)."""
-    text = F.rpad(F.substr(F.hex(F.encode(F.coalesce(column, F.lit("")), "utf-8")), F.lit(1), F.lit(12)), 12, "0")
-    return F.conv(text, 16, 10).cast("double")
+def _with_ordinal(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """Adds ``name``: the bytes of all rows whose (whole) string comes before the row's own.
+
+    The distinct strings are dealt by ranges and summed up range by range, so no task sees more than one
+    range; the ranges' own sums are a row a partition.
+    """
+    sums = rows.groupBy(column).agg(F.sum("size").alias("bytes"))
+    sums = cut(sums.repartitionByRange(column).withColumn("range", F.spark_partition_id()), f"shard-{column}")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = sums.groupBy("range").agg(F.sum("bytes").alias("all")).select("range", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("first"))
+    within = Window.partitionBy("range").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
+    own = sums.withColumn("own", F.coalesce(F.sum("bytes").over(within), F.lit(0))).join(ranges, "range")
+    return rows.join(own.select(column, (F.col("first") + F.col("own")).cast("double").alias(name)), column)
 
 
 DIMENSIONS = ("d_size", "d_chars", "d_source", "d_lang", "d_id")
@@ -39,7 +48,7 @@ def _units(rows: DataFrame, leaf_bytes: int) -> tuple[DataFrame, DataFrame]:
     units = rows.groupBy("d1", "d2", "part").agg(
         F.sum("size").alias("bytes"), F.log2(F.max("size").cast("double")).alias("d_size"),
         F.log2(F.min(F.coalesce("chars", F.lit(0))).cast("double") + 1).alias("d_chars"),
-        F.min(_ordinal(F.col("source"))).alias("d_source"), F.min(_ordinal(F.col("lang"))).alias("d_lang"),
+        F.min("o_source").alias("d_source"), F.min("o_lang").alias("d_lang"),
         F.min(F.coalesce(F.col("doc_id"), F.lit(0)).cast("double")).alias("d_id"))
     place = F.pmod(F.xxhash64("d1", "d2", "part"), F.lit(BINS)).cast("int")
     return rows, units.withColumn("place", place)
@@ -64,11 +73,13 @@ def assign_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
                            (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
                            F.crc32(F.coalesce(raw, F.encode(F.lit(""), "utf-8"))).alias("text_crc32"),
                            *digest(F.coalesce(F.col("text"), F.lit(""))),
-                           has("source", "string").alias("source"), has("lang", "string").alias("lang"),
+                           F.coalesce(has("source", "string"), F.lit("")).alias("source"),
+                           F.coalesce(has("lang", "string"), F.lit("")).alias("lang"),
                            has("n_chars", "long").alias("chars")), "shard-rows")
     total = rows.agg(F.sum("size")).first()[0]
     if total is None:
         return _numbered(rows.withColumn("shard", F.lit(0)))
+    rows = _with_ordinal(_with_ordinal(rows, "source", "o_source"), "lang", "o_lang")
     rows, units = _units(rows, max(1, total // shards))
     units = cut(units.withColumn("node", F.lit(1)), "shard-units")
     whole = units.agg(*(F.min(d).alias(f"{d}_low") for d in DIMENSIONS), *(F.max(d).alias(f"{d}_high") for d in DIMENSIONS)).first()

@@ -32,6 +32,7 @@ ANCHOR = WINDOW - PERIOD + 1
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_ROWS = 2_000  # documents of a block at most
 BLOCK_BYTES = 8 << 20  # text of a block, up to the document that passes it
+TARGET_BYTES = 16 << 20  # text whose hashes meet in one target of the exchange
 BASE_2 = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -240,7 +241,8 @@ def _by_document(run: dict[str, np.ndarray]) -> pd.DataFrame:
 def _exchange(docs: DataFrame, windows: bool) -> DataFrame:
     """(k, d1, ats): the flagged places of documents.  A block in two parts (after a retry on other
     splits) only gives a document two rows, so rows are merged by document at the end."""
-    targets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    targets = max(1, -(-text_bytes // TARGET_BYTES))
     asked = docs.mapInArrow(_send(targets, windows), MESSAGE)
     answers = map_runs(asked, ["target"], _answer(windows), MESSAGE)
     return map_runs(answers.select("block", "names", "docs", "ats"), ["block"], _by_document, "k long, d1 long, ats binary")
