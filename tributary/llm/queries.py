@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import (bpe, chat, fingerprints, harmonic, licences, lines, near, negatives, packing, quality, repair,
-                           sharding, substring)
+from tributary.llm import (bpe, chat, fingerprints, harmonic, licences, lines, near, negatives, oracle, packing, quality,
+                           repair, sharding, substring)
 from tributary.llm.common import read_table
 
 
@@ -90,24 +90,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op12_negatives": """
-WITH v AS (
-  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
-  FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-scored AS (
-  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
-         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
-positives AS (
-  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
-  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
-SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.other_id AS negative_id,
-       p.positive_score, n.score AS negative_score
-FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
- AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
-WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id)
-QUALIFY row_number() OVER w <= 3""",
+    "op4_substring": oracle.SUBSTRING, "op7_near": oracle.NEAR, "op10_chat": oracle.CHAT, "op12_negatives": oracle.NEGATIVES,
 }
