@@ -36,3 +36,17 @@ def test_sql_and_dataframe_tokenizers_agree(spark):
                       df.select("id", F.explode(keyword_tokens("t")).alias("word")).collect())
     assert sql_words == df_words
     assert (5, "单") in df_words and (4, "大数") in df_words and (4, "数据") in df_words
+
+
+def test_dictionary_words_all_found_and_the_rest_whole(spark):
+    from tributary.functions.keywords import dictionary_words
+    d = spark.createDataFrame([("中国",), ("中国人",), ("国人",), ("人民",), ("中国",), ("",), (None,), ("AB",)], "word string")
+    phrases = [(1, "中国人民银行 Red-7"), (2, "银行"), (3, None), (4, ""), (5, "人民x人民"), (6, "中"), (7, "国中国人们")]
+    t = spark.createDataFrame([(i, x, "extra") for i, x in phrases], "id long, full_word string, word string")
+    got = {}
+    for r in dictionary_words(t, d, ["id"]).collect():
+        got.setdefault(r.id, []).append(r.word)
+    assert {k: sorted(v) for k, v in got.items()} == {
+        1: sorted(["中国", "中国人", "国人", "人民", "银行", "red", "7"]), 2: ["银行"], 5: sorted(["人民", "人民", "x"]), 6: ["中"],
+        7: sorted(["国", "中国", "中国人", "国人", "们"])}
+    assert sorted(r.word for r in dictionary_words(t.where("id = 1"), d.limit(0), ["id"]).collect()) == sorted(["中国人民银行", "red", "7"])

@@ -1,10 +1,10 @@
-"""Sinks: per-record topics (K2), replay-safe dimension deltas (K3/D5), OLAP order (K5)."""
+"""Topic sinks (K1, K2) and the rule topic; dimension store and ledger have tests of their own."""
 
 import os
 import uuid
 
 from tributary.session import scratch_path
-from tributary.sinks import dims, topics
+from tributary.sinks import topics
 
 
 def test_dynamic_topics_and_default(spark):
@@ -16,35 +16,6 @@ def test_dynamic_topics_and_default(spark):
     assert got == ["topic=dwd_a", "topic=dwd_b", "topic=dwd_default_topic"]
 
 
-def test_dimension_deltas_replay_safe(spark):
-    root = scratch_path(spark, "test-dims", uuid.uuid4().hex)
-
-    def routed(rows):
-        return spark.createDataFrame(rows, "offset long, sinkTable string, sinkPk string, "
-                                           "data map<string,string>")
-    b0 = routed([(1, "dim_user", None, {"id": "1", "a": "x", "b": "y"})])
-    b1 = routed([(2, "dim_user", None, {"id": "1", "a": "z"}), (3, "dim_user", None, {"id": "2", "a": "q"})])
-    dims.write_deltas(dims.dimension_deltas(b0), root, 0)
-    dims.write_deltas(dims.dimension_deltas(b0), root, 0)          # replay of batch 0
-    dims.write_deltas(dims.dimension_deltas(b1), root, 1)
-    cur = {r.id: (r.a, r.b) for r in dims.dimension_table(spark, root, "dim_user", "id,a,b").collect()}
-    assert cur == {"1": ("z", "y"), "2": ("q", None)}
-
-
-def test_dimension_table_created_once_per_rule(spark):
-    from tributary.sources.changes import RULE_ROW
-    root = scratch_path(spark, "test-dims", uuid.uuid4().hex)
-    rules = spark.createDataFrame([
-        (0, "user_info", "insert", "hbase", "dim_user_info", "id,name", None, None),
-        (0, "user_info", "update", "hbase", "dim_user_info", "id,name", None, None),
-        (0, "base_trademark", "insert", "hbase", "dim_tm", "tm_id,tm_name", "tm_id", None),
-        (0, "order_info", "insert", "kafka", "dwd_order_info", "id", None, None)], RULE_ROW)
-    assert sorted(dims.ensure_dimension_tables(spark, root, rules)) == ["dim_tm", "dim_user_info"]
-    assert dims.ensure_dimension_tables(spark, root, rules) == []          # already there
-    tm = spark.read.parquet(os.path.join(root, "tables", "dim_tm"))
-    assert tm.columns == ["tm_id", "tm_name"] and tm.count() == 0
-
-
 def test_topic_round_trip_keeps_offsets(spark):
     from tributary.sources.logs import read_log_topic
     path = scratch_path(spark, "test-topics", uuid.uuid4().hex)
@@ -65,36 +36,6 @@ def test_fixed_topic_records_omit_nulls(spark):
     assert [r.value for r in spark.read.text(path).collect()] == ['{"id":1,"name":"a"}']
 
 
-def test_reads_after_compaction_equal_reads_before(spark):
-    root = scratch_path(spark, "test-dims", uuid.uuid4().hex)
-
-    def write(batch, rows):
-        df = spark.createDataFrame(rows, "offset long, sinkTable string, sinkPk string, data map<string,string>")
-        dims.write_deltas(dims.dimension_deltas(df), root, batch)
-
-    def read():
-        return {r.id: (r.a, r.b) for r in dims.dimension_table(spark, root, "d", "id,a,b").collect()}
-    assert dims.compact(spark, root) is None
-    write(0, [(1, "d", None, {"id": "1", "a": "x", "b": "y"})])
-    write(1, [(2, "d", None, {"id": "1", "a": "z"})])
-    before = read()
-    assert dims.compact(spark, root) == 1 and dims.compact(spark, root) == 1
-    assert read() == before == {"1": ("z", "y")}
-    write(2, [(3, "d", None, {"id": "1", "b": "w"}), (4, "d", None, {"id": "2", "a": "q"})])
-    assert read() == {"1": ("z", "w"), "2": ("q", None)}
-    assert dims.compact(spark, root) == 2
-    assert read() == {"1": ("z", "w"), "2": ("q", None)}
-
-
-def test_first_rule_declares_the_table(spark):
-    from tributary.sources.changes import RULE_ROW
-    root = scratch_path(spark, "test-dims", uuid.uuid4().hex)
-    rules = spark.createDataFrame([(2, "user_info", "update", "hbase", "dim_user", "id", None, None),
-                                   (1, "user_info", "insert", "hbase", "dim_user", "id,name", None, None)], RULE_ROW)
-    assert dims.ensure_dimension_tables(spark, root, rules) == ["dim_user"]
-    assert spark.read.parquet(os.path.join(root, "tables", "dim_user")).columns == ["id", "name"]
-
-
 def test_rule_topic_keeps_rule_order_and_drops_bad_records(spark):
     from tributary.operators import cdc
     from tributary.sources import changes

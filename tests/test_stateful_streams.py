@@ -47,6 +47,70 @@ def test_bounce_stream_fixture(spark):
     assert sorted((r.mid, r.ts - T0) for r in out) == [("a", 0), ("c", 0), ("d", 0)]
 
 
+def _bounce_run(spark, batches):
+    def build(src):
+        return stateful.bounce_stream(logs.page_logs(logs.valid_logs(logs.parse_logs(src))), within=BOUNCE_WITHIN)
+    return sorted((r.mid, r.ts - T0) for r in _run(spark, batches, build))
+
+
+def test_bounces_over_bucket_ends_and_late_pages_equal_the_batch(spark):
+    """Random visits in random order of arrival: the watermark is far behind, then passes everything."""
+    import random
+
+    from tributary.operators import visits
+    r = random.Random(11)
+    rows = [_page(i, f"m{r.randrange(4)}", r.randrange(0, 60_000), r.random() < .4) for i in range(400)]
+    rows += [_page(400 + i, "edge", 10_000 * i + d, e) for i, (d, e) in enumerate([(0, True), (0, False), (-1, True), (0, True), (9_999, False)])]
+    flush = [_page(900, "z", 200_000, False)]
+    r.shuffle(rows)
+    got = _bounce_run(spark, [rows, flush])
+    pages = logs.page_logs(logs.valid_logs(logs.parse_logs(spark.createDataFrame(rows, TOPIC))))
+    assert got == sorted((x.common.mid, x.ts - T0) for x in visits.bounces(pages, within=BOUNCE_WITHIN).collect())
+
+
+def test_bounces_decided_over_several_batches(spark):
+    """An entry waits over batches for the page that decides it, within its bucket and in the next."""
+    batches = [[_page(0, "a", 0, True), _page(1, "b", 0, True)],
+               [_page(3, "a", 400, False), _page(2, "c", 9_500, True)],
+               [_page(5, "c", 10_100, False), _page(6, "d", 10_200, True)],
+               [_page(7, "y", 60_000, False)], [_page(8, "y", 90_000, False)]]
+    assert _bounce_run(spark, batches) == [("b", 0), ("d", 10_200)]
+
+
+def test_records_without_a_time_take_no_part(spark):
+    from tributary.operators import visits
+    spoilt = [(0, json.dumps({"common": {"mid": "a"}, "page": {"page_id": "p"}, "ts": "soon"})), (1, json.dumps({"common": {"mid": "a"}, "page": {"page_id": "p"}})),
+              _page(2, "a", 0, True), _page(3, "b", 0, True), (4, json.dumps({"common": {}, "page": {"page_id": "p"}, "ts": T0}))]
+    assert [m for m, _ in sorted(((m or "", t) for m, t in _bounce_run_null(spark, [spoilt, [_page(9, "z", 60_000, False)]])))] == ["", "a", "b"]
+    pages = logs.page_logs(logs.valid_logs(logs.parse_logs(spark.createDataFrame(spoilt, TOPIC))))
+    assert sorted(r.offset for r in visits.untimed(pages).collect()) == [0, 1]
+    assert sorted(r.offset for r in visits.bounces(pages, within=BOUNCE_WITHIN).collect()) == [2, 3, 4]
+
+
+def _bounce_run_null(spark, batches):
+    def build(src):
+        return stateful.bounce_stream(logs.page_logs(logs.valid_logs(logs.parse_logs(src))), within=BOUNCE_WITHIN)
+    return [(r.mid, r.ts - T0) for r in _run(spark, batches, build)]
+
+
+def test_state_of_a_busy_visitor_is_small(spark):
+    """100,000 pages of one visitor in one micro-batch: what is held are undecided entries and what is beside them."""
+    src, out, ck = (scratch_path(spark, "test-streams", uuid.uuid4().hex) for _ in range(3))
+    page = ('concat(\'{"common":{"mid":"busy"},"page":{"page_id":"p"\', if(id % 1000 = 7, \'\', \',"last_page_id":"home"\'), '
+            f'\'}},"ts":\', {T0} + id % 30000, \'}}\')')
+    spark.range(100_000).selectExpr("id AS offset", f"{page} AS value").coalesce(1).write.json(f"{src}/b0")
+    pages = logs.page_logs(logs.valid_logs(logs.parse_logs(spark.readStream.schema(TOPIC).json(f"{src}/*"))))
+    df = stateful.bounce_stream(pages, within=BOUNCE_WITHIN)
+    from tributary.streaming.runner import without_empty_batches
+    with without_empty_batches(spark):              # no second batch: nothing is decided yet
+        (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).trigger(availableNow=True)
+           .start().awaitTermination())
+    held = (spark.read.format("statestore").option("path", ck).option("stateVarName", "held").option("flattenCollectionTypes", True).load())
+    entries = 100
+    assert entries <= held.count() <= 3 * entries + 2 * 4      # four buckets and their ends
+    assert held.selectExpr("key.bucket").distinct().count() >= 3
+
+
 def test_new_flag_stream_fixture(spark):
     def rec(off, mid, flag, ts):
         return (off, json.dumps({"common": {"mid": mid, "is_new": flag}, "page": {"page_id": "p"},

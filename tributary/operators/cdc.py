@@ -137,7 +137,7 @@ def rule_versions(rules: DataFrame) -> DataFrame:
                         F.lead("rule_seq").over(w).alias("valid_to"), *RULE_FIELDS)
 
 
-def _filter_columns(after: Column, sink_columns: Column) -> Column:
+def filter_columns(after: Column, sink_columns: Column) -> Column:
     """Keep keys listed in ``sinkColumns`` split on ',' with no trimming."""
     cols = F.split(sink_columns, ",")
     return F.map_filter(after, lambda k, _v: F.array_contains(cols, k))
@@ -169,7 +169,7 @@ def route(env: DataFrame, rules: DataFrame, seq: str | None = None,
                     F.coalesce(F.col("sinkPk"), F.lit(DEFAULT_PK)).alias("sinkPk"),
                     *(["valid_from"] if seq else []),
                     F.when(F.col("rule_key").isNotNull(),
-                           _filter_columns(F.col("after"), F.col("sinkColumns"))).alias("data"))
+                           filter_columns(F.col("after"), F.col("sinkColumns"))).alias("data"))
 
 
 def facts(routed: DataFrame) -> DataFrame:

@@ -14,13 +14,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.functions.keywords import keyword_tokens
 from tributary.functions.timefmt import (event_time, flexible_event_time, second_event_time,
                                          window_text_columns)
 from tributary.operators.lookup import lookup
 from tributary.operators.visits import is_entry_page
-from tributary.schemas import (APPRAISE_GOOD, KEYWORD_SOURCE, MONEY, MONEY_SUM,
+from tributary.schemas import (APPRAISE_GOOD, DISPLAY, KEYWORD_SOURCE, MONEY, MONEY_SUM,
                                PRODUCT_STATS_COLUMNS, PROVINCE_STATS_COLUMNS,
                                VISITOR_STATS_COLUMNS, WATERMARK_DELAY, WINDOW_SIZE)
 
@@ -100,6 +101,7 @@ PRODUCT_EVENT_COLUMNS = {
 }
 
 
+DISPLAYS = T.ArrayType(DISPLAY).simpleString()
 ZERO_DEFAULT = {c for c in PRODUCT_EVENT_COLUMNS if c.endswith(("_ct", "_num", "_amount"))}
 
 
@@ -130,6 +132,17 @@ def product_displays(pages: DataFrame) -> DataFrame:
              .select(F.col("__d.item").try_cast("bigint").alias("sku_id"), "ts"))
 
 
+def product_page_events(pages: DataFrame) -> DataFrame:
+    """P11 + P12: the click and the displays of a page in one pass, as rows of the product statistics."""
+    def sku(item: Column, click: int) -> Column:
+        return F.struct(item.try_cast("bigint").alias("sku_id"), F.lit(click).alias("click_ct"), F.lit(1 - click).alias("display_ct"))
+    clicked = (F.col("page.page_id") == "good_detail") & (F.col("page.item_type") == "sku_id")
+    click = F.when(clicked, F.array(sku(F.col("page.item"), 1))).otherwise(F.array().cast("array<struct<sku_id:bigint,click_ct:int,display_ct:int>>"))
+    shown = F.transform(F.filter(F.coalesce("displays", F.array().cast(DISPLAYS)), lambda d: d["item_type"] == "sku_id"), lambda d: sku(d["item"], 0))
+    e = pages.select("ts", F.explode(F.concat(click, shown)).alias("__e"))
+    return _product_rows(e, sku_id=F.col("__e.sku_id"), ts=F.col("ts"), click_ct=F.col("__e.click_ct"), display_ct=F.col("__e.display_ct"))
+
+
 def product_events(pages: DataFrame, favor: DataFrame, cart: DataFrame, order_wide: DataFrame,
                    payment_wide: DataFrame, refund: DataFrame, comment: DataFrame) -> DataFrame:
     """P12 + U3: the seven product inputs mapped to one row shape and unioned.
@@ -139,9 +152,7 @@ def product_events(pages: DataFrame, favor: DataFrame, cart: DataFrame, order_wi
     """
     ms = lambda c: F.col(c).cast("string").try_cast("bigint")
     parts = [
-        _product_rows(product_clicks(pages), sku_id=F.col("sku_id"), ts=F.col("ts"), click_ct=1),
-        _product_rows(product_displays(pages), sku_id=F.col("sku_id"), ts=F.col("ts"),
-                      display_ct=1),
+        product_page_events(pages),
         _product_rows(favor, sku_id=F.col("sku_id"), ts=ms("create_time"), favor_ct=1),
         _product_rows(cart, sku_id=F.col("sku_id"), ts=ms("create_time"), cart_ct=1),
         _product_rows(order_wide, sku_id=F.col("sku_id"), ts=ms("create_time"),

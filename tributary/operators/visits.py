@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.timefmt import day_text, duration_ms, event_time
+from tributary.operators.logs import from_order_key, order_key
 from tributary.schemas import BOUNCE_WITHIN
 
 
@@ -21,20 +22,38 @@ def is_entry_page(last_page_id: Column | None = None) -> Column:
     return c.isNull() | (F.length(c) == 0)
 
 
+def untimed(pages: DataFrame) -> DataFrame:
+    """The side output of the bounce job: valid records whose ``ts`` is missing or no number."""
+    return pages.filter(F.col("ts").isNull())
+
+
 def unique_visits(pages: DataFrame, offset: str = "offset") -> DataFrame:
     """T2 (batch): the first entry page of each visitor on each day (session time zone).
 
-    MIN over a struct that starts with (ts, offset) picks the whole first record in one
-    aggregate, with map-side partial aggregation.  Output: the page record plus
-    ``visit_day``.  The stream form, which emits at once, is
-    ``streaming.stateful.unique_visit_stream``.
+    The least (ts, offset) of a visitor and day, as one number that a hash aggregate combines before the
+    shuffle, names the record; a semi-join on it brings the record.  Output: the page record plus
+    ``visit_day``.  Records of one visitor that share time and offset are all returned.  The stream form, which emits at
+    once, is ``streaming.stateful.unique_visit_stream``.
     """
-    entries = pages.filter(is_entry_page()).withColumn("visit_day", day_text(event_time("ts")))
-    rest = [c for c in pages.columns if c not in ("ts", offset)]
-    first = (entries.groupBy(F.col("common.mid").alias("__mid"), "visit_day")
-                    .agg(F.min(F.struct("ts", offset, *rest)).alias("__r")))
-    return first.select(F.col("__r.ts").alias("ts"), F.col(f"__r.{offset}").alias(offset),
-                        *[F.col(f"__r.{c}").alias(c) for c in rest], "visit_day")
+    entries = _entries(pages).withColumn("__mid", F.col("common.mid")).withColumn("__key", order_key(offset=offset))
+    first = _first_entries(entries).toDF("__m", "__d", "__first")
+    same = F.col("__mid").eqNullSafe(F.col("__m")) & F.col("visit_day").eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("__first"))
+    return entries.join(first, same, "left_semi").select(*pages.columns, "visit_day")
+
+
+def _entries(pages: DataFrame) -> DataFrame:
+    return pages.filter(is_entry_page()).withColumn("visit_day", day_text(event_time("ts")))
+
+
+def _first_entries(entries: DataFrame) -> DataFrame:
+    return entries.groupBy("__mid", "visit_day").agg(F.min("__key").alias("__first"))
+
+
+def unique_visit_times(pages: DataFrame, offset: str = "offset") -> DataFrame:
+    """T2 (batch) without the record: (mid, visit_day, ts, offset), from the aggregate alone.  A missing offset reads 0."""
+    entries = _entries(pages).select(F.col("common.mid").alias("__mid"), "visit_day", order_key(offset=offset).alias("__key"))
+    ts, at = from_order_key(F.col("__first"))
+    return _first_entries(entries).select(F.col("__mid").alias("mid"), "visit_day", ts.alias("ts"), at.alias(offset))
 
 
 def bounces(pages: DataFrame, within: str = BOUNCE_WITHIN, offset: str = "offset") -> DataFrame:
@@ -47,22 +66,26 @@ def bounces(pages: DataFrame, within: str = BOUNCE_WITHIN, offset: str = "offset
     Events are bucketed by ``ts div within``.  The next event of e is either the next
     one in e's bucket or, when e is last in its bucket, the first event of bucket+1;
     when bucket+1 is empty the next event is more than ``within`` away, so e bounces.
-    Groups are (visitor, bucket): bounded by one visitor's activity in one window.
+    Groups are (visitor, bucket): bounded by one visitor's activity in one window.  Records without
+    a time take no part (``untimed``).
     """
     w_ms = duration_ms(within)
-    ev = (pages.select(F.col("common.mid").alias("__mid"), is_entry_page().alias("__entry"),
+    ev = (pages.filter(F.col("ts").isNotNull()).select(F.col("common.mid").alias("__mid"), is_entry_page().alias("__entry"),
                        *pages.columns)
                .withColumn("__bucket", F.floor(F.col("ts") / w_ms)))
     w = Window.partitionBy("__mid", "__bucket").orderBy("ts", offset)
     nxt = F.lead(F.struct(F.col("ts").alias("ts"), F.col("__entry").alias("entry"))).over(w)
     ev = ev.withColumn("__next", nxt)
+    # (ts, offset, entry) as one number, which a hash aggregate can take the least of
+    place = (order_key(offset=offset).cast("decimal(37,0)") * 2 + F.col("__entry").cast("int")).cast("decimal(38,0)")
     firsts = (ev.groupBy(F.col("__mid").alias("__fmid"), (F.col("__bucket") - 1).alias("__fb"))
-                .agg(F.min(F.struct(F.col("ts").alias("ts"), F.col(offset).alias("o"),
-                                    F.col("__entry").alias("entry"))).alias("__f")))
+                .agg(F.min(place).alias("__f")))
+    first_entry = F.pmod("__f", F.lit(2))
+    first_ts, _ = from_order_key(((F.col("__f") - first_entry) / 2).cast("decimal(38,0)"))
     entries = ev.filter("__entry")
     j = entries.join(firsts, (F.col("__mid").eqNullSafe(F.col("__fmid")))
                      & (F.col("__bucket") == F.col("__fb")), "left")
-    next_ts = F.coalesce(F.col("__next.ts"), F.col("__f.ts"))
-    next_entry = F.coalesce(F.col("__next.entry"), F.col("__f.entry"))
+    next_ts = F.coalesce(F.col("__next.ts"), first_ts)
+    next_entry = F.coalesce(F.col("__next.entry"), first_entry == 1)
     bounce = next_ts.isNull() | (next_ts - F.col("ts") >= w_ms) | next_entry
     return j.filter(bounce).select(*pages.columns)

@@ -323,6 +323,17 @@ LEFT JOIN dim_base_trademark tm ON tm.id = CAST(TRY_CAST(s.tm_id AS BIGINT) AS V
 SELECT event_id AS "offset", full_word, CAST(len(toks) AS BIGINT) AS n_words,
        array_to_string(toks, ' ') AS words
 FROM (SELECT *, regexp_extract_all(lower(full_word), '[a-z0-9]+') AS toks FROM st)"""),
+    "keyword_dictionary": (("st",), """
+, t AS (SELECT event_id, translate(replace(full_word, ' ', ''), 'abcdefghijklmnopqrstuvwxyz', '一二三四五六七八九十百千天地人水火木金土日月山川田石') AS run FROM st),
+d AS (SELECT DISTINCT translate(string_split(p_name, ' ')[1], 'abcdefghijklmnopqrstuvwxyz', '一二三四五六七八九十百千天地人水火木金土日月山川田石') AS word FROM part),
+place AS (SELECT event_id, run, unnest(range(1, length(run) + 1)) AS i FROM t),
+hit AS (SELECT p.event_id, p.i, d.word FROM place p JOIN d ON substr(p.run, p.i, length(d.word)) = d.word),
+bare AS (SELECT p.event_id, p.i, substr(p.run, p.i, 1) AS c FROM place p
+         WHERE NOT EXISTS (SELECT 1 FROM hit h WHERE h.event_id = p.event_id AND h.i <= p.i AND p.i < h.i + length(h.word))),
+rest AS (SELECT event_id, string_agg(c, '' ORDER BY i) AS word
+         FROM (SELECT *, i - row_number() OVER (PARTITION BY event_id ORDER BY i) AS island FROM bare) GROUP BY event_id, island)
+SELECT event_id AS "offset", word, count(*) AS n
+FROM (SELECT event_id, word FROM hit UNION ALL SELECT event_id, word FROM rest) GROUP BY event_id, word"""),
     "keyword_stats": (("kw",), f"""
 SELECT word AS keyword, CAST(count(*) AS BIGINT) AS ct, 'search' AS source, {_window_text('ws')}
 FROM (SELECT *, (ts_ms // 1000 * 1000) - (ts_ms // 1000 * 1000) % {S} AS ws FROM kw)
@@ -361,6 +372,17 @@ WHERE c.type <> 'delete' AND c.seq NOT IN (SELECT seq FROM routed_v)"""),
     "route_rules": (("routed_v",), f"""
 SELECT seq AS "offset", table_name, type, CAST(rule_seq AS BIGINT) AS rule_version, sink_type,
        sink_table, {KEPT_KEYS} FROM routed_v"""),
+    "route_dropped": ((), """
+SELECT c_custkey - 10000000000 AS "offset", 'user_info' AS table_name, 'read' AS type, 'clickhouse' AS sink_type,
+       'ck_user_info' AS sink_table FROM customer"""),
+    "dim_upsert_pk": (("changes",), """
+SELECT 'dim_segment' AS sink_table, segment AS pk, arg_max(CAST(id AS VARCHAR), seq) AS last_id, arg_max(name, seq) FILTER (WHERE name IS NOT NULL) AS last_name
+FROM changes WHERE table_name = 'user_info' AND type IN ('insert', 'update') GROUP BY segment"""),
+    "dim_read": (("ow_base",), """
+SELECT ow.detail_id, ow.province_id, n.n_name AS nation_name, CAST(n.n_regionkey AS VARCHAR) AS region_key
+FROM ow_base ow LEFT JOIN nation n ON n.n_nationkey = ow.province_id"""),
+    "bounce_untimed": (("raw_log",), """
+SELECT event_id AS "offset", mid FROM raw_log WHERE NOT is_dirty AND NOT is_start AND event_id % 9 = 0"""),
     "dim_upsert": (("routed",), """
 SELECT sink_table, CAST(id AS VARCHAR) AS pk,
        arg_max(CASE WHEN list_contains(cols, 'name') THEN name END, seq)
@@ -454,6 +476,37 @@ FROM (SELECT changes.*, (seq - lo) // width AS chunk FROM changes,
 WHERE type = 'insert' AND (table_name = 'order_info' OR (table_name = 'user_info' AND chunk >= 2))""")
 
 
+def dim_tables() -> str:
+    """Declared columns of the created dimension tables (the rule's list, in order) and their values."""
+    return f"""WITH d AS ({build("dim_upsert")})
+SELECT sink_table, 'id' AS column_name, CAST(0 AS BIGINT) AS position, true AS is_key, count(pk) AS n_values FROM d GROUP BY ALL
+UNION ALL SELECT sink_table, 'name', 1, false, count(name) FROM d GROUP BY ALL
+UNION ALL SELECT sink_table, 'segment', 2, false, count(segment) FROM d GROUP BY ALL"""
+
+
+def cdc_handoff(chunks: int) -> str:
+    """Events of a snapshot in ``chunks`` chunks of ids: chunk c begins after the c-th stretch of the log and is
+    read half way through the next one.  Keys that change in that stretch are told by their changes alone."""
+    return build_body(("changes",), f"""
+, u AS (SELECT *, min(seq) OVER () AS lo, (max(seq) OVER () - min(seq) OVER ()) // {chunks} + 1 AS width, id % {chunks} AS c
+        FROM changes WHERE table_name = 'user_info'),
+last AS (SELECT id, arg_max({{'type': type, 'segment': segment}}, seq) AS l FROM u
+         WHERE seq <= lo + width * c + width // 2 GROUP BY id)
+SELECT 'user_info' AS table_name, 'read' AS type, CAST(NULL AS BIGINT) AS "offset", CAST(id AS VARCHAR) AS id, l.segment AS segment
+FROM last WHERE l.type <> 'delete' AND id NOT IN (SELECT id FROM u WHERE (seq - lo) // width = c)
+UNION ALL
+SELECT table_name, type, seq, CAST(id AS VARCHAR), segment FROM u WHERE (seq - lo) // width >= c""")
+
+
+def log_source() -> str:
+    """Offsets of a topic in four partitions: the place of a record among those of its partition."""
+    return build_body(("raw_log",), """
+SELECT "partition", "offset", mid, ts FROM (
+  SELECT CAST(event_id % 4 AS INTEGER) AS "partition", mid, ts_ms AS ts, is_dirty,
+         row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) - 1 AS "offset" FROM raw_log)
+WHERE NOT is_dirty""")
+
+
 def log_split() -> str:
     """The four topics of the log split, with a field each that no schema names."""
     return build_body(("raw_log", "log_fixed", "page_log", "display_log"), """

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.keywords import keyword_tokens
-from tributary.operators import cdc, logs, orders, stats
+from tributary.operators import cdc, logs, orders, stats, visits
 from tributary.plans.warehouse import Warehouse
 from tributary.sources import testdata
 
@@ -58,7 +58,7 @@ def log_page(spark, sf_dir):
 
 
 def log_display(spark, sf_dir):
-    return logs.display_logs(_w(spark, sf_dir, LOG_ONCE).pages, carry=("offset",))
+    return logs.display_logs(_w(spark, sf_dir, NONE).page_views, carry=("offset",))
 
 
 def visitor_new_flag(spark, sf_dir):
@@ -69,13 +69,12 @@ def visitor_new_flag(spark, sf_dir):
 
 # ---------------------------------------------------------------- visit detail
 def unique_visit(spark, sf_dir):
-    w = _w(spark, sf_dir, LOG_ONCE)
-    return w.unique_visits.select("offset", F.col("common.mid").alias("mid"), "visit_day", "ts")
+    return visits.unique_visit_times(_w(spark, sf_dir, NONE).page_views).select("offset", "mid", "visit_day", "ts")
 
 
 def bounce_detail(spark, sf_dir):
-    w = _w(spark, sf_dir, LOG_ONCE)
-    return w.bounces.select("offset", F.col("common.mid").alias("mid"), "ts")
+    w = _w(spark, sf_dir, NONE)
+    return visits.bounces(w.page_views, within=w.within).select("offset", F.col("common.mid").alias("mid"), "ts")
 
 
 def visitor_events(spark, sf_dir):
@@ -200,39 +199,57 @@ def province_stats(spark, sf_dir):
 
 # ----------------------------------------------------------------- product path
 def product_clicks(spark, sf_dir):
-    return stats.product_clicks(_w(spark, sf_dir, LOG_ONCE).pages)
+    return stats.product_clicks(_w(spark, sf_dir, NONE).page_views)
 
 
 def product_displays(spark, sf_dir):
-    return stats.product_displays(_w(spark, sf_dir, LOG_ONCE).pages)
+    return stats.product_displays(_w(spark, sf_dir, NONE).page_views)
 
 
 def product_events(spark, sf_dir):
-    return _w(spark, sf_dir, LOG_FANOUT | {"dwm_order_wide"}).product_events
+    return _w(spark, sf_dir, frozenset({"dwm_order_wide"})).product_events
 
 
 def product_stats(spark, sf_dir):
-    return _w(spark, sf_dir, LOG_FANOUT | {"dwm_order_wide"}).product_stats
+    return _w(spark, sf_dir, frozenset({"dwm_order_wide"})).product_stats
 
 
 # ------------------------------------------------------------------ search path
 def search_terms(spark, sf_dir):
-    return _w(spark, sf_dir, LOG_ONCE).search_terms.select("offset", "full_word", "ts")
+    return _w(spark, sf_dir, NONE).search_terms.select("offset", "full_word", "ts")
 
 
 def keyword_split(spark, sf_dir):
-    return _w(spark, sf_dir, LOG_ONCE).keyword_words.select("offset", "word")
+    return _w(spark, sf_dir, NONE).keyword_words.select("offset", "word")
 
 
 def keyword_tokens_query(spark, sf_dir):
-    t = _w(spark, sf_dir, LOG_ONCE).search_terms
+    t = _w(spark, sf_dir, NONE).search_terms
     toks = keyword_tokens("full_word")
     return t.select("offset", "full_word", F.size(toks).cast("bigint").alias("n_words"),
                     F.array_join(toks, " ").alias("words"))
 
 
+# Letters written as Han characters (fixed values of this check): phrases without blanks, to be told apart by a dictionary.
+LETTERS, HAN = "abcdefghijklmnopqrstuvwxyz", "一二三四五六七八九十百千天地人水火木金土日月山川田石"
+
+
+def keyword_dictionary(spark, sf_dir):
+    """Search phrases without blanks, in Han letters, segmented by the dictionary of all first words of the
+    part names; how often each word occurs in each phrase."""
+    from tributary.functions.keywords import dictionary_words
+
+    def han(text):
+        return F.translate(text, LETTERS, HAN)
+    terms = _w(spark, sf_dir, NONE).search_terms
+    phrases = terms.select("offset", han(F.translate("full_word", " ", "")).alias("full_word"))
+    first = testdata.table(spark, sf_dir, "part").select(han(F.split("p_name", " ")[0]).alias("word"))
+    words = dictionary_words(phrases, first, key=["offset"])
+    return words.groupBy("offset", "word").agg(F.count("*").alias("n"))
+
+
 def keyword_stats(spark, sf_dir):
-    return _w(spark, sf_dir, LOG_ONCE).keyword_stats
+    return _w(spark, sf_dir, NONE).keyword_stats
 
 
 # ------------------------------------------------------------------- CDC path
@@ -299,6 +316,44 @@ def route_rules(spark, sf_dir):
                     _kept_keys())
 
 
+def route_dropped(spark, sf_dir):
+    """Matched changes whose sink type is neither a topic nor a dimension: the snapshot's rows under a
+    ``read`` rule of another sink type."""
+    from tributary.sources.changes import rule_change_log
+    snap = cdc.normalize_changes(testdata.snapshot_records(spark, sf_dir))
+    r = cdc.dropped(cdc.route(snap, cdc.latest_rules(rule_change_log(spark))))
+    return r.select("offset", F.col("tableName").alias("table_name"), "type", F.col("sinkType").alias("sink_type"),
+                    F.col("sinkTable").alias("sink_table"))
+
+
+def dim_upsert_pk(spark, sf_dir):
+    """D3: a rule names another key than ``id``: one row per segment, last user by change order."""
+    from tributary.sources.changes import routing_rules
+    rules = [(0, "user_info", op, "hbase", "dim_segment", "id,name,segment", "segment", None) for op in ("insert", "update")]
+    env = cdc.drop_deletes(_w(spark, sf_dir, NONE).envelopes)
+    d = cdc.upsert_dimensions(cdc.dimensions(cdc.route(env, cdc.latest_rules(routing_rules(spark, rules)))))
+    return d.select("sink_table", "pk", F.col("row")["id"].alias("last_id"), F.col("row")["name"].alias("last_name"))
+
+
+def dim_read(spark, sf_dir):
+    """A dimension read from files as an all-text table and joined to the order wide rows."""
+    from tributary.operators.lookup import lookup
+    from tributary.sources.dims import read_dimension
+    nation = read_dimension(spark, f"{sf_dir}/nation.parquet")
+    j = lookup(_w(spark, sf_dir, NONE).order_wide_base, nation, "province_id",
+               {"n_name": "nation_name", "n_regionkey": "region_key"}, dim_key="n_nationkey")
+    return j.select("detail_id", "province_id", "nation_name", "region_key")
+
+
+def bounce_untimed(spark, sf_dir):
+    """T4 side output: page records without a usable time (every ninth log record here says ``soon``)."""
+    lines = testdata.log_lines(spark, sf_dir)
+    spoilt = F.regexp_replace("value", r'"ts":\d+}$', '"ts":"soon"}')
+    lines = lines.withColumn("value", F.when(F.col("offset") % 9 == 0, spoilt).otherwise(F.col("value")))
+    pages = logs.page_logs(logs.valid_logs(logs.parse_logs(lines.drop("ts_ms"))))
+    return visits.untimed(pages).select("offset", F.col("common.mid").alias("mid"))
+
+
 def dim_upsert(spark, sf_dir):
     d = cdc.upsert_dimensions(cdc.dimensions(_w(spark, sf_dir, NONE).routed))
     return d.select("sink_table", "pk", F.col("row")["name"].alias("name"),
@@ -348,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "search_terms": search_terms,
     "keyword_split": keyword_split,
     "keyword_tokens": keyword_tokens_query,
+    "keyword_dictionary": keyword_dictionary,
     "keyword_stats": keyword_stats,
     "cdc_normalize": cdc_normalize,
     "cdc_table_filter": cdc_table_filter,
@@ -358,7 +414,11 @@ QUERIES: dict[str, Query] = {
     "route_dims": route_dims,
     "route_unmatched": route_unmatched,
     "route_rules": route_rules,
+    "route_dropped": route_dropped,
     "dim_upsert": dim_upsert,
+    "dim_upsert_pk": dim_upsert_pk,
+    "dim_read": dim_read,
+    "bounce_untimed": bounce_untimed,
     "cdc_snapshot": cdc_snapshot,
     "cdc_retract": cdc_retract,
 }

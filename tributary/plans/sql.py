@@ -66,8 +66,7 @@ def province_stats_sql(order_wide: DataFrame, size: str = QUERY_WINDOW) -> DataF
 
 
 def keyword_stats_sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Warehouse(spark, sf_dir, layers=frozenset({"dwd_valid_log"}))
-    return keyword_stats_sql(w.pages)
+    return keyword_stats_sql(Warehouse(spark, sf_dir, layers=frozenset()).page_views)
 
 
 def province_stats_sql_query(spark: SparkSession, sf_dir: str) -> DataFrame:

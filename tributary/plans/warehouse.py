@@ -73,6 +73,11 @@ class Warehouse:
     def pages(self) -> DataFrame:
         return logs.page_logs(self.repaired)
 
+    @cached_property
+    def page_views(self) -> DataFrame:
+        """The page log for jobs that do not look at the new-visitor flag: read once, so not written and not repaired."""
+        return logs.page_logs(logs.valid_logs(self.parsed))
+
     @cached_property
     def starts(self) -> DataFrame:
         return logs.start_logs(self.repaired)
@@ -123,7 +128,7 @@ class Warehouse:
     @cached_property
     def product_events(self) -> DataFrame:
         s, d = self.spark, self.sf_dir
-        return stats.product_events(self.pages, testdata.favor_info(s, d), testdata.cart_info(s, d),
+        return stats.product_events(self.page_views, testdata.favor_info(s, d), testdata.cart_info(s, d),
                                     self.order_wide_base, self.payment_wide,
                                     testdata.order_refund_info(s, d), testdata.comment_info(s, d))
 
@@ -142,7 +147,7 @@ class Warehouse:
     # -------------------------------------------------------------- search path
     @cached_property
     def search_terms(self) -> DataFrame:
-        return stats.search_terms(self.pages)
+        return stats.search_terms(self.page_views)
 
     @cached_property
     def keyword_words(self) -> DataFrame:

@@ -63,7 +63,6 @@ DISPLAY = T.StructType([
     T.StructField("item", T.StringType()),
     T.StructField("item_type", T.StringType()),
 ])
-CORRUPT_COLUMN = "_corrupt_record"
 # `start` is read as raw text on purpose: `"start": {}` is a start log (text "{}" is
 # non-empty) while `"start": ""` is a page log.
 ACTION_LOG = T.StructType([
@@ -72,7 +71,6 @@ ACTION_LOG = T.StructType([
     T.StructField("page", PAGE),
     T.StructField("displays", T.ArrayType(DISPLAY)),
     T.StructField("ts", T.LongType()),
-    T.StructField(CORRUPT_COLUMN, T.StringType()),
 ])
 
 STRING_MAP = T.MapType(T.StringType(), T.StringType())

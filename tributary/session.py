@@ -23,6 +23,8 @@ def configure(spark: SparkSession, time_zone: str | None = None) -> SparkSession
     conf.set("spark.sql.adaptive.enabled", "true")
     conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Of a field that a JSON record repeats the last one counts, as in the original's parser.
+    conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     # State that outgrows memory (per-visitor flags, join buffers, window sets) lives in
     # RocksDB on local disk, checkpointed with each micro-batch.
     conf.set("spark.sql.streaming.stateStore.providerClass",

@@ -2,18 +2,18 @@
 
 The original inserted each bean's non-transient fields in declaration order, five rows
 per JDBC batch.  Here a micro-batch is written whole, in the fixed column order, either
-to a parquet table (one folder per batch id, overwritten on replay: exactly once) or
-through JDBC with a configurable batch size.
+to a parquet table whose ledger names the batches that count (exactly once, ``sinks.ledger``) or
+through JDBC with a configurable batch size.  The JDBC table appends: a batch that runs again after a failure
+appends its rows again, and a table engine that replaces rows of equal keys has to drop them.
 """
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tributary.schemas import (KEYWORD_STATS_COLUMNS, PRODUCT_STATS_COLUMNS,
                                PROVINCE_STATS_COLUMNS, VISITOR_STATS_COLUMNS)
+from tributary.sinks.ledger import Fault, Ledger, ledgered
 
 TABLE_COLUMNS = {
     "visitor_stats": VISITOR_STATS_COLUMNS,
@@ -32,14 +32,18 @@ def sink_columns(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cols)
 
 
-def olap_batch_writer(table: str, path: str | None = None, jdbc: dict | None = None,
-                      batch_size: int = 1000):
+def olap_batch_writer(spark: SparkSession, table: str, path: str | None = None, jdbc: dict | None = None,
+                      batch_size: int = 1000, fault: Fault | None = None):
     """A ``foreachBatch`` handler writing one micro-batch of ``table``."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = sink_columns(batch, table)
-        if jdbc:
-            (rows.write.format("jdbc").options(**jdbc).option("dbtable", table)
-                 .option("batchsize", batch_size).mode("append").save())
-        else:
-            rows.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id:012d}"))
-    return write
+    if jdbc:
+        def append(batch: DataFrame, batch_id: int) -> None:
+            (sink_columns(batch, table).write.format("jdbc").options(**jdbc).option("dbtable", table)
+                .option("batchsize", batch_size).mode("append").save())
+        return append
+    return ledgered(spark, path, lambda batch, _id, folder: sink_columns(batch, table).write.mode("overwrite").parquet(folder("rows")), fault)
+
+
+def read_olap(spark: SparkSession, table: str, path: str, schema) -> DataFrame:
+    """The committed rows of a parquet statistics table, in the declared column order."""
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    return Ledger(spark, path).read("rows", ddl).select(*TABLE_COLUMNS[table])

@@ -8,20 +8,12 @@ Column names stay snake_case (the original's camel-case renaming is not needed).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_dimension(spark: SparkSession, path: str, fmt: str = "parquet",
                    options: dict | None = None) -> DataFrame:
-    """A dimension table from files (``parquet``/``json``/``csv``) or ``jdbc`` (options)."""
-    reader = spark.read.format(fmt)
-    if options:
-        reader = reader.options(**options)
-    return reader.load(path) if fmt != "jdbc" else reader.load()
-
-
-def current_dimension(spark: SparkSession, root: str, table: str, sink_columns: str,
-                      sink_pk: str | None = None) -> DataFrame:
-    """A dimension maintained by :mod:`tributary.sinks.dims` (snapshot + batch deltas),
-    read afresh on every call, so a job that calls it per micro-batch sees updates."""
-    from tributary.sinks.dims import dimension_table
-    return dimension_table(spark, root, table, sink_columns, sink_pk)
+    """A dimension table from files (``parquet``/``json``/``csv``) or ``jdbc`` (options), every column as text."""
+    reader = spark.read.format(fmt).options(**(options or {}))
+    rows = reader.load(path) if fmt != "jdbc" else reader.load()
+    return rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns))

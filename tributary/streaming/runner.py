@@ -49,16 +49,21 @@ class ChunkedTopics:
     def _staged(self, topic: str) -> str:
         return f"{self.root}/_staged/{topic}"
 
-    def _release(self, i: int, folder: str) -> None:
+    def chunk(self, topic: str, i: int) -> DataFrame | None:
+        """The staged rows of chunk ``i``; None if no row of the topic falls into it."""
         from pyspark.errors import AnalysisException
-        for topic, schema in self.schemas.items():
-            try:
-                part = self.spark.read.schema(schema).json(f"{self._staged(topic)}/__chunk={i}")
-            except AnalysisException as e:
-                if e.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                continue                       # no row of this topic falls in chunk i
-            part.write.mode("append").json(f"{self.path(topic)}/{folder}")
+        try:
+            return self.spark.read.schema(self.schemas[topic]).json(f"{self._staged(topic)}/__chunk={i}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def _release(self, i: int, folder: str) -> None:
+        for topic in self.schemas:
+            part = self.chunk(topic, i)
+            if part is not None:
+                part.write.mode("append").json(f"{self.path(topic)}/{folder}")
 
     def write_chunk(self, i: int) -> None:
         self._release(i, f"chunk-{i:04d}")

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ from tributary.schemas import BOUNCE_WITHIN, VISIT_STATE_TTL, WATERMARK_DELAY
 
 NEW_FLAG_OUTPUT = "offset long, mid string, is_new string"
 BOUNCE_OUTPUT = "offset long, mid string, ts long"
-BUFFER_SCHEMA = "ts long, offset long, entry boolean"
+EVENT = ["ts", "offset", "entry"]
+EVENT_SCHEMA = "ts long, offset long, entry boolean"
 
 
 def _first(held: pd.DataFrame | None, rows: pd.DataFrame) -> pd.DataFrame:
@@ -99,10 +101,16 @@ class BounceDetector(StatefulProcessor):
     """T4: emit an entry page when the visitor's next event is absent for ``within``, is at
     least ``within`` later, or is itself an entry page.
 
-    State: the visitor's events from its oldest undecided entry on (ts, offset, entry),
-    plus one event-time timer per entry at ``ts + within``.  When a timer fires every
-    event before ``ts + within`` has arrived (later ones would be late), so the entry is
-    decided from its successor and the buffer is cut after it.
+    The key is (visitor, time bucket), a bucket being ``within`` long: what follows an entry within ``within``
+    lies in its own bucket or in the next one, so a bucket needs its own events and the first one of the next
+    (``bounce_stream`` sends every event to both).  A busy visitor is spread over its buckets.
+
+    State: in order of time, the bucket's entries that are not decided yet and, of every run of other pages
+    between them, the first and the last (an entry that arrives late inside a run is followed by a page
+    of the run within ``within``, whichever it is); the first event of the next bucket; the time of the
+    one timer.  The timer stands at the end of the first undecided entry's window and decides all
+    entries whose window has ended; every earlier event has arrived then (later ones would be late).  With
+    no entry left it stands where the bucket can get none any more, and clears it.
     """
 
     def __init__(self, within_ms: int):
@@ -110,44 +118,85 @@ class BounceDetector(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", BUFFER_SCHEMA)
-
-    def _load(self) -> list[tuple]:
-        return [tuple(r) for r in self.buf.get()] if self.buf.exists() else []
-
-    def _store(self, events: list[tuple]) -> None:
-        i = 0
-        while i < len(events) and not events[i][2]:   # no undecided entry before them
-            i += 1
-        events = events[i:]
-        if events:
-            self.buf.put(events)
+        self.held = handle.getListState("held", EVENT_SCHEMA)
+        self.after = handle.getValueState("after", EVENT_SCHEMA)
+        self.timer = handle.getValueState("timer", "at long")
+
+    def _load(self) -> pd.DataFrame:
+        rows = list(self.held.get()) if self.held.exists() else []
+        return pd.DataFrame([tuple(r) for r in rows], columns=EVENT)
+
+    @staticmethod
+    def _thinned(events: pd.DataFrame) -> pd.DataFrame:
+        """In order, without the pages that are neither an entry nor beside one, at the front or at the end."""
+        events = events.sort_values(["ts", "offset"], kind="stable", ignore_index=True)
+        entry = events["entry"].to_numpy(bool)
+        if len(entry) < 3:
+            return events
+        keep = entry.copy()
+        keep[1:] |= entry[:-1]
+        keep[:-1] |= entry[1:]
+        keep[[0, -1]] = True
+        return events[keep].reset_index(drop=True)
+
+    def _store(self, key, events: pd.DataFrame) -> None:
+        entries = events["ts"].to_numpy()[events["entry"].to_numpy(bool)]
+        at = int(entries[0]) + self.within if len(entries) else (int(key[1]) + 2) * self.within
+        before = self.timer.get()[0] if self.timer.exists() else None
+        if at != before:
+            if before is not None:
+                self.handle.deleteTimer(before)
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
+        if len(events):
+            self.held.put([(int(t), int(o), bool(e)) for t, o, e in events.itertuples(index=False)])
         else:
-            self.buf.clear()
+            self.held.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        new = list(zip(pdf["ts"].astype("int64"), pdf["offset"].astype("int64"),
-                       pdf["entry"].astype(bool)))
-        for ts in {int(t) for t, _, e in new if e}:
-            self.handle.registerTimer(ts + self.within)
-        self._store(sorted(self._load() + [(int(t), int(o), bool(e)) for t, o, e in new]))
+        events = self._load()
+        after = tuple(self.after.get()) if self.after.exists() else None
+        for pdf in rows:                        # frame by frame: what is held stays small
+            own = pdf["own"].to_numpy(bool)
+            new, following = pdf.loc[own, EVENT], pdf.loc[~own, EVENT]
+            if len(following):
+                first = following.sort_values(["ts", "offset"], kind="stable").iloc[0]
+                first = (int(first["ts"]), int(first["offset"]), bool(first["entry"]))
+                after = first if after is None else min(after, first)
+            if len(new):
+                events = self._thinned(new if not len(events) else pd.concat([events, new], ignore_index=True))
+        if after is not None:
+            self.after.update(after)
+        self._store(key, events)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due = expiredTimerInfo.getExpiryTimeInMs() - self.within
-        events = sorted(self._load())
-        out, last = [], -1
-        for i, (ts, off, entry) in enumerate(events):
-            if entry and ts == due:
-                nxt = events[i + 1] if i + 1 < len(events) else None
-                if nxt is None or nxt[0] - ts >= self.within or nxt[2]:
-                    out.append((off, key[0], ts))
-                last = i
-        if last >= 0:
-            self._store(events[last + 1:])
-        if out:
-            yield pd.DataFrame(out, columns=["offset", "mid", "ts"])
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        if self.timer.exists() and self.timer.get()[0] == fired:
+            self.timer.clear()
+        now = max(fired, timerValues.getCurrentWatermarkInMs())
+        if now >= (int(key[1]) + 2) * self.within:
+            now = (int(key[1]) + 2) * self.within      # the whole bucket is over
+        events = self._load()
+        after = tuple(self.after.get()) if self.after.exists() else None
+        ts, entry = events["ts"].to_numpy("int64"), events["entry"].to_numpy(bool)
+        next_ts, next_entry = np.append(ts[1:], 0), np.append(entry[1:], False)
+        alone = np.zeros(len(ts), bool)
+        if len(ts):
+            alone[-1] = after is None
+            next_ts[-1], next_entry[-1] = (after[0], after[2]) if after else (0, False)
+        due = entry & (ts + self.within <= now)
+        bounced = events[due & (alone | (next_ts - ts >= self.within) | next_entry)]
+        if now >= (int(key[1]) + 2) * self.within:
+            self.held.clear()
+            self.after.clear()
+        else:
+            open_entries = np.flatnonzero(entry & ~due)
+            first = open_entries[0] if len(open_entries) else len(ts)
+            # an entry that is still to come lies behind the watermark, and so does what it needs
+            self._store(key, events[(np.arange(len(ts)) >= first) | (ts >= now)].reset_index(drop=True))
+        if len(bounced):
+            yield pd.DataFrame({"offset": bounced["offset"].astype("int64"), "mid": key[0], "ts": bounced["ts"].astype("int64")})
 
     def close(self) -> None:
         pass
@@ -181,9 +230,17 @@ def unique_visit_stream(pages: DataFrame, ttl: str = VISIT_STATE_TTL) -> DataFra
 
 def bounce_stream(pages: DataFrame, within: str = BOUNCE_WITHIN,
                   delay: str = WATERMARK_DELAY["bounce"]) -> DataFrame:
-    """T4 on a stream of page records, watermark ``delay`` on the event time."""
-    ev = (pages.select("offset", F.col("common.mid").alias("mid"), "ts",
+    """T4 on a stream of page records, watermark ``delay`` on the event time.  Records without a time take no
+    part (``visits.untimed`` is their side output).  The visitor's records are only compared with one another, so
+    a missing visitor id is an id of its own."""
+    ms = duration_ms(within)
+    ev = (pages.filter(F.col("ts").isNotNull())
+               .select(F.coalesce("offset", F.lit(0)).alias("offset"), F.col("common.mid").alias("mid"), "ts",
                        is_entry_page().alias("entry"), event_time("ts").alias("__et"))
                .withWatermark("__et", delay))
-    return ev.groupBy("mid").transformWithStateInPandas(
-        BounceDetector(duration_ms(within)), BOUNCE_OUTPUT, "Append", "EventTime")
+    bucket = F.floor(F.col("ts") / ms).cast("bigint")
+    places = F.explode(F.array(F.struct(bucket.alias("bucket"), F.lit(True).alias("own")),
+                               F.struct((bucket - 1).alias("bucket"), F.lit(False).alias("own"))))
+    ev = ev.select("*", places.alias("__p")).select("offset", "mid", "ts", "entry", "__et", "__p.bucket", "__p.own")
+    return ev.groupBy("mid", "bucket").transformWithStateInPandas(
+        BounceDetector(ms), BOUNCE_OUTPUT, "Append", "EventTime")
