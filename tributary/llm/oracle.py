@@ -50,10 +50,10 @@ FROM long_ GROUP BY conv_id"""
 NEGATIVES = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+         [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS q
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
          CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
