@@ -91,8 +91,9 @@ def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str,
 
 
 def map_runs(df: DataFrame, keys: list[str], each: Callable[[dict[str, np.ndarray]], pd.DataFrame | None],
-             schema: str) -> DataFrame:
-    """``each`` over the rows of every key, streamed through sorted partitions."""
+             schema: str, partitions: int | None = None) -> DataFrame:
+    """``each`` over the rows of every key, streamed through sorted partitions.  With ``partitions`` the single key
+    is the partition's number (0 to ``partitions`` - 1) itself, so that no task gets two keys."""
 
     def task(batches):
         held, rows = [], 0
@@ -107,7 +108,8 @@ def map_runs(df: DataFrame, keys: list[str], each: Callable[[dict[str, np.ndarra
         if held:
             yield pd.concat(held, ignore_index=True)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(task, schema)
+    dealt = df.repartition(*keys) if partitions is None else df.repartitionById(partitions, keys[0])
+    return dealt.sortWithinPartitions(*keys).mapInPandas(task, schema)
 
 
 def local_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:

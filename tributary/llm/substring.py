@@ -244,7 +244,7 @@ def _exchange(docs: DataFrame, windows: bool) -> DataFrame:
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     targets = max(1, -(-text_bytes // TARGET_BYTES))
     asked = docs.mapInArrow(_send(targets, windows), MESSAGE)
-    answers = map_runs(asked, ["target"], _answer(windows), MESSAGE)
+    answers = map_runs(asked, ["target"], _answer(windows), MESSAGE, partitions=targets)
     return map_runs(answers.select("block", "names", "docs", "ats"), ["block"], _by_document, "k long, d1 long, ats binary")
 
 
