@@ -63,29 +63,21 @@ def bounces(pages: DataFrame, within: str = BOUNCE_WITHIN, offset: str = "offset
     at least ``within`` later, or is itself an entry page (the two-entry pattern
     matched).  A non-entry page within the window continues the visit.
 
-    Events are bucketed by ``ts div within``.  The next event of e is either the next
-    one in e's bucket or, when e is last in its bucket, the first event of bucket+1;
-    when bucket+1 is empty the next event is more than ``within`` away, so e bounces.
-    Groups are (visitor, bucket): bounded by one visitor's activity in one window.  Records without
-    a time take no part (``untimed``).
+    Events are bucketed by ``ts div within``.  What follows an event within ``within`` lies in its bucket or in the
+    next one, so every event goes to its own bucket and, without its record, to the one before; there the next
+    event of e is the next row, or e is followed by nothing for longer than ``within``.  One shuffle, and its groups are
+    (visitor, two buckets): bounded by one visitor's activity in two windows.  Records without a time take no
+    part (``untimed``).
     """
     w_ms = duration_ms(within)
-    ev = (pages.filter(F.col("ts").isNotNull()).select(F.col("common.mid").alias("__mid"), is_entry_page().alias("__entry"),
-                       *pages.columns)
-               .withColumn("__bucket", F.floor(F.col("ts") / w_ms)))
+    bucket = F.floor(F.col("ts") / w_ms)
+    ev = (pages.filter(F.col("ts").isNotNull())
+               .select("*", F.col("common.mid").alias("__mid"), is_entry_page().alias("__entry"), bucket.alias("__own"),
+                       F.explode(F.array(bucket, bucket - 1)).alias("__bucket")))
+    own = F.col("__own") == F.col("__bucket")
+    carried = [c for c in pages.columns if c not in ("ts", offset)]
+    ev = ev.select("__mid", "__bucket", "__entry", own.alias("__is_own"), "ts", offset, *(F.when(own, F.col(c)).alias(c) for c in carried))
     w = Window.partitionBy("__mid", "__bucket").orderBy("ts", offset)
-    nxt = F.lead(F.struct(F.col("ts").alias("ts"), F.col("__entry").alias("entry"))).over(w)
-    ev = ev.withColumn("__next", nxt)
-    # (ts, offset, entry) as one number, which a hash aggregate can take the least of
-    place = (order_key(offset=offset).cast("decimal(37,0)") * 2 + F.col("__entry").cast("int")).cast("decimal(38,0)")
-    firsts = (ev.groupBy(F.col("__mid").alias("__fmid"), (F.col("__bucket") - 1).alias("__fb"))
-                .agg(F.min(place).alias("__f")))
-    first_entry = F.pmod("__f", F.lit(2))
-    first_ts, _ = from_order_key(((F.col("__f") - first_entry) / 2).cast("decimal(38,0)"))
-    entries = ev.filter("__entry")
-    j = entries.join(firsts, (F.col("__mid").eqNullSafe(F.col("__fmid")))
-                     & (F.col("__bucket") == F.col("__fb")), "left")
-    next_ts = F.coalesce(F.col("__next.ts"), first_ts)
-    next_entry = F.coalesce(F.col("__next.entry"), first_entry == 1)
-    bounce = next_ts.isNull() | (next_ts - F.col("ts") >= w_ms) | next_entry
-    return j.filter(bounce).select(*pages.columns)
+    ev = ev.withColumns({"__next_ts": F.lead("ts").over(w), "__next_entry": F.lead("__entry").over(w)})
+    bounce = F.col("__next_ts").isNull() | (F.col("__next_ts") - F.col("ts") >= w_ms) | F.col("__next_entry")
+    return ev.filter(F.col("__is_own") & F.col("__entry") & bounce).select(*pages.columns)
