@@ -89,10 +89,17 @@ def test_walk_stops_where_the_bound_certifies_it():
 def test_no_anchor_no_rows_and_no_exact_score(spark):
     assert mined(spark, []).collect() == []
     assert mined(spark, [(1, [1.0], 1), (2, [1.0], 2)]).collect() == []
-    with pytest.raises(Exception, match="2\\*\\*53"):
+    with pytest.raises(Exception, match="2\\*\\*63"):
         mined(spark, [(10, [3e12], 1), (2, [3e12], 2)]).collect()
 
 
+def test_scores_beyond_the_doubles_are_exact(spark):
+    r = np.random.default_rng(4)
+    rows = [(k, [float(np.float32(x)) for x in r.uniform(2e6, 4e6, 3)], k % 3) for k in range(60)]
+    got = sorted((tuple(x) for x in mined(spark, rows).collect()), key=str)
+    assert got == brute(rows, lambda i: i % 10 == 0) and any(x[4] % 2 for x in got) and max(x[4] for x in got) > 2**56
+
+
 def test_query_equals_brute_force_on_the_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(r.vec_id, r.embedding, (r.label + 1) % 10 if r.vec_id % 7 == 0 else r.label) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]

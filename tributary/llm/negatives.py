@@ -3,8 +3,8 @@
 Anchors are clustered by direction.  For a cluster with centroid c whose members lie within an angle r of it, a
 candidate at angle t to c has an inner product of at most ``|member| |candidate| cos(max(0, t - r))`` with any
 member.  So the candidates are sorted by ``|candidate| cos(max(0, t - r))`` once a cluster, and every member walks that
-list until its bound certifies that nothing further on can enter its result.  Vectors are compared
-exactly: components are whole numbers and all sums stay below 2**53.
+list until its bound certifies that nothing further on can enter its result.  Scores are exact:
+components are whole numbers, and where sums may pass 2**53 they are added up as 64-bit integers.
 
 Candidates lie in blocks of bounded size (those of one direction together), cluster by cluster of at most some
 hundred anchors passes over each block, and the results of the blocks are merged by a window per
@@ -31,7 +31,7 @@ ROUNDS = 6
 BLOCK = 65_536  # candidates of a block
 CHUNK = 256  # anchors of a shared list
 STEP = 1024  # candidates of a list that are scored at once
-EXACT = 2.0**53
+EXACT, WIDEST = 2.0**53, 2.0**63  # sums of doubles below the first, of 64-bit integers below the second, are exact
 NO_ID = 2**63 - 1  # stands for a null vec_id, behind all others
 
 ROW = "place long, vec_id long, label long, anchor boolean, vector binary"
@@ -138,6 +138,10 @@ class SharedList:
         self.bound = bound[self.order]
 
 
+def _wide_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a.astype(np.int64) @ b.astype(np.int64)).astype(np.longdouble)
+
+
 def walk(block: dict, members: list[dict], same: bool, take: int, width: int) -> list[tuple]:
     """(place, walker, id, place, score) of the best ``take`` candidates of a block for every walker.
 
@@ -146,17 +150,20 @@ def walk(block: dict, members: list[dict], same: bool, take: int, width: int) ->
     """
     vectors = _matrix([bytes(m["vector"]) for m in members], width)
     norms = _norms(vectors)
-    if norms.max() * block["norms"].max(initial=0.0) >= EXACT:
-        raise ArithmeticError("scores of 2**53 and more are not exact")
+    widest = norms.max() * block["norms"].max(initial=0.0)
+    if widest >= WIDEST:
+        raise ArithmeticError("a score may pass 2**63")
+    # an extended double holds any 64-bit integer
+    number, product = (np.float64, np.matmul) if widest < EXACT else (np.longdouble, _wide_product)
     shared = SharedList(block, vectors)
     of = np.array([k for k, m in enumerate(members) for _ in m["bands"]])
     walker = np.array([j for m in members for j in range(len(m["bands"]))])
-    low = np.array([b["low"] for m in members for b in m["bands"]], float)
-    high = np.array([b["high"] for m in members for b in m["bands"]], float)
+    low = np.array([b["low"] for m in members for b in m["bands"]], np.int64).astype(number)
+    high = np.array([b["high"] for m in members for b in m["bands"]], np.int64).astype(number)
     labels = np.array([m["label"] for m in members], np.int64)
     places = np.array([m["place"] for m in members], np.int64)
     n = len(of)
-    none = np.full((n, take), -np.inf)
+    none = np.full((n, take), -np.inf, number)
     score, ident, where = none, np.full((n, take), NO_ID), np.full((n, take), -1)
     alive = np.arange(n)
     for lo in range(0, len(shared.order), STEP):
@@ -166,7 +173,7 @@ def walk(block: dict, members: list[dict], same: bool, take: int, width: int) ->
             break
         here = shared.order[lo: lo + STEP]
         needed, back = np.unique(of[alive], return_inverse=True)
-        new = (vectors[needed] @ block["vectors"][here].T)
+        new = product(vectors[needed], block["vectors"][here].T)
         fits = (labels[needed][:, None] == block["labels"][here]) == same
         fits &= places[needed][:, None] != block["places"][here]
         new = np.where(fits, new, -np.inf)[back]
@@ -238,8 +245,8 @@ def mine(rows: DataFrame, anchors: Column, positives: int = 5, negatives: int =
     first rows of another label whose score s satisfies ``band[0] * p <= 100 * s <= band[1] * p`` for the positive's score p.
     Anchors are the rows for which ``anchors`` is true, out of all rows that take part (``prepared``).
     Rows that repeat an id are rows of their own; a null id comes behind all others.  A shorter vector counts
-    as filled up with zeros.  Extra columns are left out.  A table without anchors gives no rows.  Scores of
-    2**53 and more raise an error, since they would not be exact.
+    as filled up with zeros.  Extra columns are left out.  A table without anchors gives no rows.  Vectors whose
+    score may pass 2**63, which no long holds, raise an error.
     """
     spark = rows.sparkSession
     table = cut(prepared(rows, anchors, key, vector, label), "vectors")
