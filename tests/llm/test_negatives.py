@@ -9,12 +9,12 @@ from tributary.llm import negatives, queries
 SCHEMA = "vec_id long, embedding array<float>, label int, place string, score int"
 
 
-def brute(rows, anchor, positives=5, negatives_=3, band=(50, 95)):
+def brute(rows, anchor, positives=5, negatives_=3, band=(50, 95), kind=np.float32):
     own = []
     for vec_id, vec, label in rows:
         if label is None or vec is None or any(x is None or not np.isfinite(x) for x in vec):
             continue
-        own.append((vec_id, [int(np.floor(256 * float(np.float32(x)))) for x in vec], label))
+        own.append((vec_id, [int(np.floor(256 * float(kind(x)))) for x in vec], label))
     out = []
     for a, (vec_id, vec, label) in enumerate(own):
         if not anchor(vec_id):
@@ -95,9 +95,10 @@ def test_no_anchor_no_rows_and_no_exact_score(spark):
 
 def test_scores_beyond_the_doubles_are_exact(spark):
     r = np.random.default_rng(4)
-    rows = [(k, [float(np.float32(x)) for x in r.uniform(2e6, 4e6, 3)], k % 3) for k in range(60)]
-    got = sorted((tuple(x) for x in mined(spark, rows).collect()), key=str)
-    assert got == brute(rows, lambda i: i % 10 == 0) and any(x[4] % 2 for x in got) and max(x[4] for x in got) > 2**56
+    rows = [(k, r.uniform(2e6, 4e6, 3).tolist(), k % 3) for k in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((tuple(x) for x in negatives.mine(df, F.col("vec_id") % 10 == 0).collect()), key=str)
+    assert got == brute(rows, lambda i: i % 10 == 0, kind=float) and any(x[4] % 2 for x in got) and max(x[4] for x in got) > 2**56
 
 
 def test_query_equals_brute_force_on_the_whole_table(spark):
