@@ -1,9 +1,10 @@
 """Per-visitor state machines for streams (T1 new-visitor repair, T2 unique visits, T4 bounces).
 
 The rules depend on the order of one visitor's events, which no built-in streaming
-operator expresses, so they run as ``transformWithStateInPandas`` processors keyed by
-visitor: the rows of one visitor in one micro-batch arrive as pandas frames, the state
-lives in the (RocksDB) state store, and event-time timers drive the bounce timeout.
+operator expresses, so they run as pandas functions over keyed state in the (RocksDB) state store.  The rows of one
+key in one micro-batch arrive as pandas frames.  T1 and T2 need one value a key: their state comes and goes with the
+rows of many keys (``applyInPandasWithState``).  T4 needs lists and an event-time timer
+(``transformWithStateInPandas``), where each use of state is a call to the JVM, so its keys hold many visitors.
 The batch forms in ``operators.logs`` / ``operators.visits`` compute the same results
 without any per-visitor task.
 """
@@ -16,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tributary.functions.timefmt import day_text, duration_ms, event_time
@@ -24,8 +26,10 @@ from tributary.schemas import BOUNCE_WITHIN, VISIT_STATE_TTL, WATERMARK_DELAY
 
 NEW_FLAG_OUTPUT = "offset long, mid string, is_new string"
 BOUNCE_OUTPUT = "offset long, mid string, ts long"
-EVENT = ["ts", "offset", "entry"]
-EVENT_SCHEMA = "ts long, offset long, entry boolean"
+EVENT = ["mid", "ts", "offset", "entry"]
+EVENT_SCHEMA = "mid string, ts long, offset long, entry boolean"
+#: Parts into which the visitors of a time bucket are dealt (T4).
+SLOTS = 32
 
 
 def _first(held: pd.DataFrame | None, rows: pd.DataFrame) -> pd.DataFrame:
@@ -34,22 +38,15 @@ def _first(held: pd.DataFrame | None, rows: pd.DataFrame) -> pd.DataFrame:
     return rows.sort_values(["ts", "offset"], kind="stable", na_position="first").head(1)
 
 
-class NewVisitorFlag(StatefulProcessor):
+def new_visitor_flag(columns: list[str]):
     """Per visitor, the first ``is_new='1'`` record keeps '1'; later ones become '0'.
 
     State: one boolean per visitor, never expired (as in the original).  Rows of one micro-batch
     count in (ts, offset) order; only the candidate for the first one is held, every other row
     passes frame by frame.
     """
-
-    def __init__(self, columns: list[str]):
-        self.columns = columns
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seen = self.seen.exists() and bool(self.seen.get()[0])
+    def flagged(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen = state.exists
         held = None
         for pdf in rows:
             ones = pdf["is_new"] == "1"
@@ -60,54 +57,50 @@ class NewVisitorFlag(StatefulProcessor):
                 out = out.drop(held.index)
             out = out.assign(is_new=out["is_new"].where(out["is_new"] != "1", "0"))
             if len(out):
-                yield out[self.columns]
+                yield out[columns]
         if held is not None:
-            self.seen.update((True,))
-            yield held[self.columns]
-
-    def close(self) -> None:
-        pass
+            state.update((True,))
+            yield held[columns]
+    return flagged
 
 
-class FirstVisit(StatefulProcessor):
+def first_visit(columns: list[str], ttl_ms: int):
     """The first entry of a visitor and day, emitted with the micro-batch that brings it.
 
-    State: one boolean per (visitor, day), expired ``ttl_ms`` of processing time after it was
+    State: per (visitor, day) the processing time at which it expires, ``ttl_ms`` after it was
     written.  There is no watermark, so a late entry of a day not seen yet is emitted too.  Of
     several entries in one micro-batch the first by (ts, offset) counts; frames are not gathered.
     """
-
-    def __init__(self, columns: list[str], ttl_ms: int):
-        self.columns, self.ttl_ms = columns, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean", self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if self.seen.exists():
+    def first(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        now = state.getCurrentProcessingTimeMs()
+        if state.exists and (left := state.get[0] - now) > 0:
+            state.setTimeoutDuration(left)          # a timeout holds until the key's next rows only
             return
         held = None
         for pdf in rows:
             held = _first(held, pdf)
         if held is not None:
-            self.seen.update((True,))
-            yield held[self.columns]
-
-    def close(self) -> None:
-        pass
+            state.update((now + ttl_ms,))
+            state.setTimeoutDuration(ttl_ms)
+            yield held[columns]
+    return first
 
 
 class BounceDetector(StatefulProcessor):
     """T4: emit an entry page when the visitor's next event is absent for ``within``, is at
     least ``within`` later, or is itself an entry page.
 
-    The key is (visitor, time bucket), a bucket being ``within`` long: what follows an entry within ``within``
-    lies in its own bucket or in the next one, so a bucket needs its own events and the first one of the next
-    (``bounce_stream`` sends every event to both).  A busy visitor is spread over its buckets.
+    The key is (slot of visitors, time bucket), a bucket being ``within`` long: what follows an entry within ``within``
+    lies in its own bucket or in the next one, so a bucket needs its own events and every visitor's first one of the
+    next (``bounce_stream`` sends every event to both).  A busy visitor is spread over its buckets, and the visitors
+    of a bucket over its slots: state and timers cost calls for each key, not for each visitor.
 
-    State: in order of time, the bucket's entries that are not decided yet and, of every run of other pages
-    between them, the first and the last (an entry that arrives late inside a run is followed by a page
-    of the run within ``within``, whichever it is); the first event of the next bucket; the time of the
+    State: in order of visitor and time, the bucket's entries that are not decided yet and, of every run of other pages
+    of the visitor between them, the first and the last (an entry that arrives late inside a run is followed by a page
+    of the run within ``within``, whichever it is); each visitor's first event of the next bucket; the time of the
     one timer.  The timer stands at the end of the first undecided entry's window and decides all
     entries whose window has ended; every earlier event has arrived then (later ones would be late).  With
     no entry left it stands where the bucket can get none any more, and clears it.
@@ -119,84 +112,104 @@ class BounceDetector(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.held = handle.getListState("held", EVENT_SCHEMA)
-        self.after = handle.getValueState("after", EVENT_SCHEMA)
+        self.after = handle.getListState("after", EVENT_SCHEMA)
         self.timer = handle.getValueState("timer", "at long")
 
-    def _load(self) -> pd.DataFrame:
-        rows = list(self.held.get()) if self.held.exists() else []
-        return pd.DataFrame([tuple(r) for r in rows], columns=EVENT)
+    @staticmethod
+    def _load(state) -> pd.DataFrame:
+        return pd.DataFrame([tuple(r) for r in state.get()], columns=EVENT)
 
     @staticmethod
-    def _thinned(events: pd.DataFrame) -> pd.DataFrame:
-        """In order, without the pages that are neither an entry nor beside one, at the front or at the end."""
-        events = events.sort_values(["ts", "offset"], kind="stable", ignore_index=True)
-        entry = events["entry"].to_numpy(bool)
-        if len(entry) < 3:
+    def _save(state, events: pd.DataFrame) -> None:
+        if len(events):
+            state.put([(m if isinstance(m, str) else None, int(t), int(o), bool(e)) for m, t, o, e in events.itertuples(index=False)])
+        else:
+            state.clear()
+
+    @staticmethod
+    def _sorted(events: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+        """In order of visitor and time, and whether each row is its visitor's last.  No visitor id is an id of its own."""
+        visitor = pd.factorize(events["mid"])[0]
+        order = np.lexsort((events["offset"].to_numpy("int64"), events["ts"].to_numpy("int64"), visitor))
+        visitor = visitor[order]
+        return events.iloc[order].reset_index(drop=True), np.append(visitor[1:] != visitor[:-1], True)[:len(visitor)]
+
+    @classmethod
+    def _thinned(cls, events: pd.DataFrame) -> pd.DataFrame:
+        """In order, without the pages that are neither an entry nor beside one, at the visitor's front or end."""
+        events, last = cls._sorted(events)
+        if not len(events):
             return events
-        keep = entry.copy()
-        keep[1:] |= entry[:-1]
+        entry = events["entry"].to_numpy(bool)
+        keep = entry | last
+        keep[1:] |= (entry | last)[:-1]             # behind an entry, or the next visitor's first
         keep[:-1] |= entry[1:]
-        keep[[0, -1]] = True
+        keep[0] = True
         return events[keep].reset_index(drop=True)
 
-    def _store(self, key, events: pd.DataFrame) -> None:
-        entries = events["ts"].to_numpy()[events["entry"].to_numpy(bool)]
-        at = int(entries[0]) + self.within if len(entries) else (int(key[1]) + 2) * self.within
-        before = self.timer.get()[0] if self.timer.exists() else None
+    @classmethod
+    def _firsts(cls, events: pd.DataFrame) -> pd.DataFrame:
+        """Every visitor's first event."""
+        events, last = cls._sorted(events)
+        return events[np.append(True, last[:-1])[:len(last)]].reset_index(drop=True)
+
+    def _set_timer(self, key, events: pd.DataFrame, before: int | None) -> None:
+        entries = events["ts"].to_numpy("int64")[events["entry"].to_numpy(bool)]
+        at = int(entries.min()) + self.within if len(entries) else (int(key[1]) + 2) * self.within
         if at != before:
             if before is not None:
                 self.handle.deleteTimer(before)
             self.handle.registerTimer(at)
             self.timer.update((at,))
-        if len(events):
-            self.held.put([(int(t), int(o), bool(e)) for t, o, e in events.itertuples(index=False)])
-        else:
-            self.held.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = self._load()
-        after = tuple(self.after.get()) if self.after.exists() else None
+        events, after, new_after = self._load(self.held), None, False
         for pdf in rows:                        # frame by frame: what is held stays small
             own = pdf["own"].to_numpy(bool)
             new, following = pdf.loc[own, EVENT], pdf.loc[~own, EVENT]
             if len(following):
-                first = following.sort_values(["ts", "offset"], kind="stable").iloc[0]
-                first = (int(first["ts"]), int(first["offset"]), bool(first["entry"]))
-                after = first if after is None else min(after, first)
+                after = self._load(self.after) if after is None else after
+                after = self._firsts(following if not len(after) else pd.concat([after, following], ignore_index=True))
+                new_after = True
             if len(new):
                 events = self._thinned(new if not len(events) else pd.concat([events, new], ignore_index=True))
-        if after is not None:
-            self.after.update(after)
-        self._store(key, events)
+        if new_after:
+            self._save(self.after, after)
+        self._set_timer(key, events, self.timer.get()[0] if self.timer.exists() else None)
+        self._save(self.held, events)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         fired = expiredTimerInfo.getExpiryTimeInMs()
-        if self.timer.exists() and self.timer.get()[0] == fired:
+        before = self.timer.get()[0] if self.timer.exists() else None
+        if before == fired:
             self.timer.clear()
-        now = max(fired, timerValues.getCurrentWatermarkInMs())
-        if now >= (int(key[1]) + 2) * self.within:
-            now = (int(key[1]) + 2) * self.within      # the whole bucket is over
-        events = self._load()
-        after = tuple(self.after.get()) if self.after.exists() else None
+            before = None
+        end = (int(key[1]) + 2) * self.within
+        now = min(max(fired, timerValues.getCurrentWatermarkInMs()), end)      # at the end the whole bucket is over
+        events, last = self._sorted(self._load(self.held))
+        after = self._load(self.after)
         ts, entry = events["ts"].to_numpy("int64"), events["entry"].to_numpy(bool)
-        next_ts, next_entry = np.append(ts[1:], 0), np.append(entry[1:], False)
+        next_ts, next_entry = np.append(ts[1:], 0)[:len(ts)], np.append(entry[1:], False)[:len(ts)]
         alone = np.zeros(len(ts), bool)
-        if len(ts):
-            alone[-1] = after is None
-            next_ts[-1], next_entry[-1] = (after[0], after[2]) if after else (0, False)
+        if last.any():
+            at = pd.Index(after["mid"]).get_indexer(pd.Index(events["mid"][last]))
+            alone[last] = at < 0
+            next_ts[last] = np.append(after["ts"].to_numpy("int64"), 0)[at]
+            next_entry[last] = np.append(after["entry"].to_numpy(bool), False)[at]
         due = entry & (ts + self.within <= now)
         bounced = events[due & (alone | (next_ts - ts >= self.within) | next_entry)]
-        if now >= (int(key[1]) + 2) * self.within:
+        if now >= end:
             self.held.clear()
             self.after.clear()
         else:
-            open_entries = np.flatnonzero(entry & ~due)
-            first = open_entries[0] if len(open_entries) else len(ts)
             # an entry that is still to come lies behind the watermark, and so does what it needs
-            self._store(key, events[(np.arange(len(ts)) >= first) | (ts >= now)].reset_index(drop=True))
+            waits = pd.Series(entry & ~due).groupby(np.cumsum(np.append(True, last[:-1])[:len(last)])).cummax().to_numpy(bool)
+            events = events[waits | (ts >= now)].reset_index(drop=True)
+            self._set_timer(key, events, before)
+            self._save(self.held, events)
         if len(bounced):
-            yield pd.DataFrame({"offset": bounced["offset"].astype("int64"), "mid": key[0], "ts": bounced["ts"].astype("int64")})
+            yield bounced[["offset", "mid", "ts"]].astype({"offset": "int64", "ts": "int64"})
 
     def close(self) -> None:
         pass
@@ -208,8 +221,8 @@ def new_flag_stream(logs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     flat = logs.select("offset", F.col("common.mid").alias("mid"),
                        F.col("common.is_new").alias("is_new"), "ts", *carry)
     schema = ", ".join([NEW_FLAG_OUTPUT, *[f"{c} string" for c in carry]])
-    return flat.groupBy("mid").transformWithStateInPandas(
-        NewVisitorFlag(["offset", "mid", "is_new", *carry]), schema, "Append", "None")
+    return flat.groupBy("mid").applyInPandasWithState(
+        new_visitor_flag(["offset", "mid", "is_new", *carry]), schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
 
 
 def unique_visit_stream(pages: DataFrame, ttl: str = VISIT_STATE_TTL) -> DataFrame:
@@ -222,9 +235,9 @@ def unique_visit_stream(pages: DataFrame, ttl: str = VISIT_STATE_TTL) -> DataFra
     entries = pages.filter(is_entry_page()).select(
         F.col("common.mid").alias("mid"), day_text(event_time("ts")).alias("visit_day"), "ts", "offset",
         F.to_json(F.struct(*pages.columns)).alias("record"))
-    first = entries.groupBy("mid", "visit_day").transformWithStateInPandas(
-        FirstVisit(["visit_day", "record"], duration_ms(ttl)), "visit_day string, record string",
-        "Append", "ProcessingTime")
+    first = entries.groupBy("mid", "visit_day").applyInPandasWithState(
+        first_visit(["visit_day", "record"], duration_ms(ttl)), "visit_day string, record string", "until long",
+        "append", GroupStateTimeout.ProcessingTimeTimeout)
     return first.select(F.from_json("record", pages.schema).alias("r"), "visit_day").select("r.*", "visit_day")
 
 
@@ -241,6 +254,7 @@ def bounce_stream(pages: DataFrame, within: str = BOUNCE_WITHIN,
     bucket = F.floor(F.col("ts") / ms).cast("bigint")
     places = F.explode(F.array(F.struct(bucket.alias("bucket"), F.lit(True).alias("own")),
                                F.struct((bucket - 1).alias("bucket"), F.lit(False).alias("own"))))
-    ev = ev.select("*", places.alias("__p")).select("offset", "mid", "ts", "entry", "__et", "__p.bucket", "__p.own")
-    return ev.groupBy("mid", "bucket").transformWithStateInPandas(
+    slot = F.pmod(F.xxhash64("mid"), F.lit(SLOTS)).cast("int")
+    ev = ev.select("*", places.alias("__p")).select("offset", "mid", "ts", "entry", "__et", slot.alias("slot"), "__p.bucket", "__p.own")
+    return ev.groupBy("slot", "bucket").transformWithStateInPandas(
         BounceDetector(ms), BOUNCE_OUTPUT, "Append", "EventTime")
