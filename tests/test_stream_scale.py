@@ -40,3 +40,60 @@ def test_state_of_bounces_has_a_key_for_many_visitors(spark):
     out, _ = _run(stateful.bounce_stream(_pages(spark, rows)))      # the empty batch behind the first moves the watermark
     first = {r.mid for r in out.collect() if r.ts < start + 5_000}
     assert first == {f"m{i}" for i in range(0, 300, 2) if i <= 299 + 11_000 - 1_000 - 10_000}
+
+
+def test_retract_state_has_a_key_for_many_rows(spark):
+    """3,000 rows of a table, a tenth of them deleted: at most one state key a slot."""
+    from tributary.streaming import changelog
+    path = scratch_path(spark, "test-scale", uuid.uuid4().hex)
+    image = "map('id', cast(id % 3000 AS string), 'a', cast(id AS string))"
+    (spark.range(6000).selectExpr("id AS offset", "'t' AS tableName", "if(id >= 5700, 'delete', 'update') AS type", f"{image} AS before",
+                                  f"if(id >= 5700, NULL, {image}) AS after").coalesce(1).write.parquet(path))
+    changes = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    out, ck = _run(changelog.retract_messages(changes, ["a"]))
+    assert spark.read.format("statestore").load(ck).count() <= changelog.SLOTS
+    left = changelog.fold(out, ["pk", "a"]).collect()
+    assert sorted((int(r.pk), int(r.a)) for r in left) == [(i, i + 3000) for i in range(2700)]
+
+
+def test_flags_and_visits_have_a_key_for_many_visitors(spark):
+    from tributary.streaming.runner import without_empty_batches
+    rows = [(2 * i + k, f"m{i}" if i else None, T0 + 10 * k + i % 3, True) for i in range(1500) for k in range(2)]
+    out, ck = _run(stateful.new_flag_stream(_pages(spark, rows)))
+    assert spark.read.format("statestore").load(ck).count() <= stateful.VISITOR_SLOTS
+    assert {(r.offset, r.is_new) for r in out.collect()} == {(2 * i + k, "01"[k == 0]) for i in range(1500) for k in range(2)}
+    with without_empty_batches(spark):
+        out, ck = _run(stateful.unique_visit_stream(_pages(spark, rows)))
+    assert spark.read.format("statestore").load(ck).count() <= stateful.SLOTS
+    assert sorted(r.offset for r in out.collect()) == [2 * i for i in range(1500)]
+
+
+def test_an_expired_visit_is_told_again():
+    """24 h of processing time after it was written a visitor's day is forgotten, the others of its slot are not."""
+    import pandas as pd
+
+    class State:
+        hasTimedOut, value, timeout, now = False, None, None, 0
+        exists = property(lambda self: self.value is not None)
+        get = property(lambda self: self.value)
+
+        def getCurrentProcessingTimeMs(self):
+            return self.now
+
+        def update(self, value):
+            self.value = value
+
+        def remove(self):
+            self.value = None
+
+        def setTimeoutDuration(self, ms):
+            self.timeout = ms
+    state, visit = State(), stateful.first_visit(["mid"], 100)
+
+    def at(now, *mids, timed_out=False):
+        state.now, state.hasTimedOut = now, timed_out
+        frames = [pd.DataFrame({"mid": [m], "ts": [now], "offset": [0]}) for m in mids]
+        return [m for pdf in visit(("day", 0), iter(frames), state) for m in pdf["mid"]]
+    assert at(0, "a") == ["a"] and at(40, "a", "b") == ["b"] and state.timeout == 60
+    assert at(100, timed_out=True) == [] and state.value == (["b"], [140]) and state.timeout == 40
+    assert at(120, "a", "b") == ["a"] and at(220, timed_out=True) == [] and state.value is None

@@ -13,38 +13,38 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 MESSAGES = "tableName string, pk string, seq long, pos int, flag boolean, image string"
 
 
-class RowState(StatefulProcessor):
-    """Key: (table, primary key).  State: the last change's sequence and image; a deleted row keeps its
-    sequence with no image, so that an older change can't bring it back."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.row = handle.getValueState("row", "seq long, image string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seq, image = tuple(self.row.get()) if self.row.exists() else (None, None)
-        before = seq
-        for pdf in rows:
-            out = []
-            for at, new in pdf.sort_values("seq", kind="stable")[["seq", "image"]].itertuples(index=False):
-                at, new = int(at), new if isinstance(new, str) else None
-                if seq is not None and at <= seq:
-                    continue
-                told = [(False, image)] if image is not None else []
-                told += [(True, new)] if new is not None else []
-                out += [(key[0], key[1], at, pos, flag, said) for pos, (flag, said) in enumerate(told)]
-                seq, image = at, new
-            if out:
-                yield pd.DataFrame(out, columns=["tableName", "pk", "seq", "pos", "flag", "image"])
-        if seq != before:
-            self.row.update((seq, image))
-
-    def close(self) -> None:
-        pass
+#: Parts into which the rows of a table are dealt.  A key costs far more than a change; a slot's state is read whole
+#: when the slot gets changes.
+SLOTS = 512
+
+
+def row_messages(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Key: (table, slot of primary keys).  State: of each row the last change's sequence and image; a deleted row
+    keeps its sequence with no image, so that an older change can't bring it back."""
+    stood = {pk: (seq, image) for pk, seq, image in zip(*state.get)} if state.exists else {}
+    moved = False
+    for pdf in rows:
+        out = []
+        changes = zip(pdf["seq"].tolist(), pdf["pk"].tolist(), pdf["image"].tolist())
+        for at, pk, new in sorted(changes, key=lambda change: change[0]):
+            at, pk, new = int(at), pk if isinstance(pk, str) else None, new if isinstance(new, str) else None
+            seq, image = stood.get(pk, (None, None))
+            if seq is not None and at <= seq:
+                continue
+            told = [(False, image)] if image is not None else []
+            told += [(True, new)] if new is not None else []
+            out += [(key[0], pk, at, pos, flag, said) for pos, (flag, said) in enumerate(told)]
+            stood[pk] = (at, new)
+            moved = True
+        if out:
+            yield pd.DataFrame(out, columns=["tableName", "pk", "seq", "pos", "flag", "image"])
+    if moved:
+        state.update((list(stood), [seq for seq, _ in stood.values()], [image for _, image in stood.values()]))
 
 
 def retract_messages(env: DataFrame, columns: list[str], key: str = "id", seq: str = "offset") -> DataFrame:
@@ -57,7 +57,9 @@ def retract_messages(env: DataFrame, columns: list[str], key: str = "id", seq: s
     image = F.when(~F.col("type").eqNullSafe("delete"), F.to_json("after"))
     keyed = env.select("tableName", F.coalesce(F.col("after")[key], F.col("before")[key]).alias("pk"),
                        F.col(seq).alias("seq"), image.alias("image"))
-    told = keyed.groupBy("tableName", "pk").transformWithStateInPandas(RowState(), MESSAGES, "Append", "None")
+    slot = F.pmod(F.xxhash64("pk"), F.lit(SLOTS)).cast("int").alias("slot")
+    told = keyed.select("*", slot).groupBy("tableName", "slot").applyInPandasWithState(
+        row_messages, MESSAGES, "pk array<string>, seq array<long>, image array<string>", "append", GroupStateTimeout.NoTimeout)
     row = F.from_json("image", "map<string,string>")
     return told.select("seq", "tableName", "pk", "pos", "flag", *(row[c].alias(c) for c in columns))
 
