@@ -2,9 +2,9 @@
 
 The rules depend on the order of one visitor's events, which no built-in streaming
 operator expresses, so they run as pandas functions over keyed state in the (RocksDB) state store.  The rows of one
-key in one micro-batch arrive as pandas frames.  T1 and T2 need one value a key: their state comes and goes with the
-rows of many keys (``applyInPandasWithState``).  T4 needs lists and an event-time timer
-(``transformWithStateInPandas``), where each use of state is a call to the JVM, so its keys hold many visitors.
+key in one micro-batch arrive as pandas frames.  A key costs milliseconds whatever it holds, so a key is a slot
+of visitors, judged visitor by visitor.  T1 and T2 need one value a key, which comes and goes with the rows
+(``applyInPandasWithState``); T4 needs lists and an event-time timer (``transformWithStateInPandas``).
 The batch forms in ``operators.logs`` / ``operators.visits`` compute the same results
 without any per-visitor task.
 """
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -28,38 +28,46 @@ NEW_FLAG_OUTPUT = "offset long, mid string, is_new string"
 BOUNCE_OUTPUT = "offset long, mid string, ts long"
 EVENT = ["mid", "ts", "offset", "entry"]
 EVENT_SCHEMA = "mid string, ts long, offset long, entry boolean"
-#: Parts into which the visitors of a time bucket are dealt (T4).
+#: Parts into which the visitors of a time bucket (T4) or day (T2) are dealt, and all visitors (T1).  A key costs far
+#: more than a row; a slot's state is read whole when the slot gets rows.
 SLOTS = 32
+VISITOR_SLOTS = 512
 
 
-def _first(held: pd.DataFrame | None, rows: pd.DataFrame) -> pd.DataFrame:
-    """The first of ``held`` and ``rows`` by (ts, offset), as a one-row frame."""
-    rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
-    return rows.sort_values(["ts", "offset"], kind="stable", na_position="first").head(1)
+def _slot(slots: int) -> Column:
+    return F.pmod(F.xxhash64("mid"), F.lit(slots)).cast("int").alias("slot")
+
+
+def _firsts(rows: pd.DataFrame) -> pd.DataFrame:
+    """Every visitor's first row by (ts, offset).  No visitor id is an id of its own."""
+    ordered = rows.sort_values(["ts", "offset"], kind="stable", na_position="first")
+    return ordered[~ordered["mid"].duplicated().to_numpy(bool)]
+
+
+def _texts(ids: pd.Series) -> list[str | None]:
+    return [m if isinstance(m, str) else None for m in ids.tolist()]
 
 
 def new_visitor_flag(columns: list[str]):
     """Per visitor, the first ``is_new='1'`` record keeps '1'; later ones become '0'.
 
-    State: one boolean per visitor, never expired (as in the original).  Rows of one micro-batch
-    count in (ts, offset) order; only the candidate for the first one is held, every other row
-    passes frame by frame.
+    Key: a slot of visitors.  State: the visitors seen, never expired (as in the original).  Rows of one
+    micro-batch count in (ts, offset) order; only the visitors' candidates for the first one are held, every
+    other row passes frame by frame.
     """
     def flagged(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen = state.exists
+        seen = list(state.get[0]) if state.exists else []
+        known = pd.Index(seen, dtype=object)
         held = None
         for pdf in rows:
-            ones = pdf["is_new"] == "1"
             out = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            if not seen and (held is not None or ones.any()):
-                out = out.reset_index(drop=True)
-                held = _first(None, out[out["is_new"] == "1"])
-                out = out.drop(held.index)
-            out = out.assign(is_new=out["is_new"].where(out["is_new"] != "1", "0"))
+            out = out.reset_index(drop=True)
+            held = _firsts(out[(out["is_new"] == "1") & ~out["mid"].isin(known)])
+            out = out.drop(held.index)
             if len(out):
-                yield out[columns]
-        if held is not None:
-            state.update((True,))
+                yield out.assign(is_new=out["is_new"].where(out["is_new"] != "1", "0"))[columns]
+        if held is not None and len(held):
+            state.update((seen + _texts(held["mid"]),))
             yield held[columns]
     return flagged
 
@@ -67,24 +75,26 @@ def new_visitor_flag(columns: list[str]):
 def first_visit(columns: list[str], ttl_ms: int):
     """The first entry of a visitor and day, emitted with the micro-batch that brings it.
 
-    State: per (visitor, day) the processing time at which it expires, ``ttl_ms`` after it was
-    written.  There is no watermark, so a late entry of a day not seen yet is emitted too.  Of
-    several entries in one micro-batch the first by (ts, offset) counts; frames are not gathered.
+    Key: a day and a slot of visitors.  State: each visitor seen on the day and the processing time at which that
+    expires, ``ttl_ms`` after it was written.  There is no watermark, so a late entry of a day not seen yet is
+    emitted too.  Of several entries in one micro-batch the first by (ts, offset) counts; frames are not gathered.
     """
     def first(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         now = state.getCurrentProcessingTimeMs()
-        if state.exists and (left := state.get[0] - now) > 0:
-            state.setTimeoutDuration(left)          # a timeout holds until the key's next rows only
-            return
+        seen = [(m, until) for m, until in zip(*state.get) if until > now] if state.exists else []
         held = None
-        for pdf in rows:
-            held = _first(held, pdf)
-        if held is not None:
-            state.update((now + ttl_ms,))
-            state.setTimeoutDuration(ttl_ms)
+        if not state.hasTimedOut:
+            known = pd.Index([m for m, _ in seen], dtype=object)
+            for pdf in rows:
+                pdf = pdf[~pdf["mid"].isin(known)]
+                held = _firsts(pdf if held is None else pd.concat([held, pdf], ignore_index=True))
+            seen += [(m, now + ttl_ms) for m in _texts(held["mid"])] if held is not None else []
+        if seen:
+            state.update(([m for m, _ in seen], [until for _, until in seen]))
+            state.setTimeoutDuration(min(until for _, until in seen) - now)
+        elif state.exists:
+            state.remove()
+        if held is not None and len(held):
             yield held[columns]
     return first
 
@@ -221,22 +231,22 @@ def new_flag_stream(logs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     flat = logs.select("offset", F.col("common.mid").alias("mid"),
                        F.col("common.is_new").alias("is_new"), "ts", *carry)
     schema = ", ".join([NEW_FLAG_OUTPUT, *[f"{c} string" for c in carry]])
-    return flat.groupBy("mid").applyInPandasWithState(
-        new_visitor_flag(["offset", "mid", "is_new", *carry]), schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    return flat.select("*", _slot(VISITOR_SLOTS)).groupBy("slot").applyInPandasWithState(
+        new_visitor_flag(["offset", "mid", "is_new", *carry]), schema, "seen array<string>", "append", GroupStateTimeout.NoTimeout)
 
 
 def unique_visit_stream(pages: DataFrame, ttl: str = VISIT_STATE_TTL) -> DataFrame:
     """T2/T3 on a stream of page records: the page record plus ``visit_day``, emitted at once.
 
-    Keyed by (visitor, day), so a busy visitor is spread over its days.  The processing-time
+    Keyed by (day, slot of visitors), so a busy visitor is spread over its days.  The processing-time
     expiry asks for a micro-batch after every one, also without new data; run finite inputs with
     ``spark.sql.streaming.noDataMicroBatches.enabled=false``.
     """
     entries = pages.filter(is_entry_page()).select(
         F.col("common.mid").alias("mid"), day_text(event_time("ts")).alias("visit_day"), "ts", "offset",
         F.to_json(F.struct(*pages.columns)).alias("record"))
-    first = entries.groupBy("mid", "visit_day").applyInPandasWithState(
-        first_visit(["visit_day", "record"], duration_ms(ttl)), "visit_day string, record string", "until long",
+    first = entries.select("*", _slot(SLOTS)).groupBy("visit_day", "slot").applyInPandasWithState(
+        first_visit(["visit_day", "record"], duration_ms(ttl)), "visit_day string, record string", "mid array<string>, until array<long>",
         "append", GroupStateTimeout.ProcessingTimeTimeout)
     return first.select(F.from_json("record", pages.schema).alias("r"), "visit_day").select("r.*", "visit_day")
 
@@ -254,7 +264,6 @@ def bounce_stream(pages: DataFrame, within: str = BOUNCE_WITHIN,
     bucket = F.floor(F.col("ts") / ms).cast("bigint")
     places = F.explode(F.array(F.struct(bucket.alias("bucket"), F.lit(True).alias("own")),
                                F.struct((bucket - 1).alias("bucket"), F.lit(False).alias("own"))))
-    slot = F.pmod(F.xxhash64("mid"), F.lit(SLOTS)).cast("int")
-    ev = ev.select("*", places.alias("__p")).select("offset", "mid", "ts", "entry", "__et", slot.alias("slot"), "__p.bucket", "__p.own")
+    ev = ev.select("*", places.alias("__p")).select("offset", "mid", "ts", "entry", "__et", _slot(SLOTS), "__p.bucket", "__p.own")
     return ev.groupBy("slot", "bucket").transformWithStateInPandas(
         BounceDetector(ms), BOUNCE_OUTPUT, "Append", "EventTime")
