@@ -97,3 +97,28 @@ def test_an_expired_visit_is_told_again():
     assert at(0, "a") == ["a"] and at(40, "a", "b") == ["b"] and state.timeout == 60
     assert at(100, timed_out=True) == [] and state.value == (["b"], [140]) and state.timeout == 40
     assert at(120, "a", "b") == ["a"] and at(220, timed_out=True) == [] and state.value is None
+
+
+def test_topics_take_less_room_than_one_plain_copy(spark):
+    """Staged and released rows together are smaller than the rows as JSON; chunks follow the time, no time is the first."""
+    import os
+
+    from tributary.streaming.runner import ChunkedTopics
+
+    def size(path):
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(path) for f in files)
+    rows = spark.range(20_000).selectExpr("id", "if(id % 100 = 7, NULL, if(id < 10000, id, id + 20000)) AS at",
+                                          "cast(id % 90 / 4 AS decimal(18,4)) AS amount", "concat('a rather long text ', id % 50) AS text",
+                                          "cast(NULL AS string) AS nothing")
+    plain = scratch_path(spark, "test-scale", uuid.uuid4().hex)
+    rows.write.json(plain)
+    topics = ChunkedTopics(spark, {"t": (rows, F.col("at"))}, 4, "room")
+    n = []
+    for i in range(4):
+        chunk = topics.chunk("t", i)
+        n.append(0 if chunk is None else chunk.count())
+        topics.write_chunk(i)
+    assert n[1] == 0 and sum(n) == 20_000 and n[0] == 9_900 + 200
+    read = spark.read.schema(topics.schemas["t"]).json(f"{topics.path('t')}/*")
+    assert read.exceptAll(rows).isEmpty() and rows.exceptAll(read).isEmpty()
+    assert size(topics.root) < size(plain)
