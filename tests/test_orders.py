@@ -2,6 +2,8 @@
 
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from tributary.operators import orders
 
 T0 = 1_700_000_000_000
@@ -41,3 +43,22 @@ def test_unparsable_times_go_to_side_output(spark):
     pay = spark.createDataFrame([(1, 1, str(T0)), (2, 1, "yesterday"), (3, 1, None)],
                                 "id long, order_id long, create_time string")
     assert sorted(r.id for r in orders.time_parse_errors(pay).collect()) == [2, 3]
+
+
+def test_facts_are_not_shuffled_for_the_spu(spark):
+    """The spu joins the skus and the facts never meet it; facts without a sku, skus without an spu and repeated spus as before."""
+    text = {"dim_user_info": "gender birthday", "dim_base_province": "name area_code iso_code iso_3166_2", "dim_base_trademark": "tm_name",
+            "dim_sku_info": "sku_name price category3_id spu_id tm_id", "dim_spu_info": "spu_name", "dim_base_category3": "name"}
+    rows = {"dim_sku_info": [("7", "s", "1", "3", "70", "2"), ("8", "t", "1", "x", "y", "z"), ("9", "u", "1", "3", "71", "2"), (None, "v", "1", "3", "70", "2")],
+            "dim_spu_info": [("70", "spu a"), ("70", "spu b"), (None, "spu n")], "dim_base_trademark": [("2", "tm")], "dim_base_category3": [("3", "c")]}
+    dims = {d: spark.createDataFrame(rows.get(d, []), f"id string, {', '.join(f'{c} string' for c in cols.split())}") for d, cols in text.items()}
+    facts = spark.createDataFrame([(i, i, "own") for i in (7, 8, 9, 10, None)], "detail_id long, sku_id long, sku_name string")
+    facts = facts.select("*", *(F.lit(1 if c in ("user_id", "province_id") else None).cast(orders.WIDE_TYPES[c]).alias(c)
+                                for c in orders.ORDER_WIDE_COLUMNS if c not in facts.columns))
+    wide = orders.enrich_order_wide(facts, dims)
+    assert sorted(((r.detail_id or 0, r.sku_name, r.spu_id, r.spu_name, r.tm_name, r.category3_name) for r in wide.collect()), key=str) == sorted([
+        (0, "own", None, None, None, None), (10, "own", None, None, None, None), (8, "t", None, None, None, None),
+        (7, "s", 70, "spu a", "tm", "c"), (7, "s", 70, "spu b", "tm", "c"), (9, "u", 71, None, "tm", "c")], key=str)
+    lines = wide._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {c: next(i for i, line in enumerate(lines) if "Join" in line and "__dim_key" in line and c in line) for c in ("spu_id", "sku_id")}
+    assert depth["sku_id"] < depth["spu_id"]         # the skus take their spu before the facts meet them
