@@ -33,7 +33,7 @@ def _topics(spark):
             text = "soon" if (i + d) % 37 == 2 else str(T0 + 1000 * (i + d) + 999 * (d % 2))
             detail.append((10 * i + d, None if (i + d) % 23 == 4 else i, i, 1, Decimal(d), text, 1000 * (i + d) + late))
     return ChunkedTopics(spark, {"info": (spark.createDataFrame(info, INFO), F.col("arrives")),
-                                 "detail": (spark.createDataFrame(detail, DETAIL), F.col("arrives"))}, 3, "test-intervals")
+                                 "detail": (spark.createDataFrame(detail, DETAIL), F.col("arrives"))}, 4, "test-intervals")
 
 
 def _batch_join(info, detail):
