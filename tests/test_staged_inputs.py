@@ -3,8 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from tributary.operators import cdc
 from tributary.plans import warehouse
+from tributary.streaming import jobs
+from tributary.streaming.runner import ChunkedTopics
 
 
 @pytest.fixture
@@ -32,7 +36,53 @@ def layers(monkeypatch):
     return seen
 
 
+@pytest.mark.parametrize("job, topics", [(jobs.route_recovered_stream, 1)])
+def test_inputs_that_are_staged_are_not_written_as_layers_too(spark, tables, layers, monkeypatch, job, topics):
+    staged = []
+
+    class Stop(Exception):
+        pass
+
+    def stage(_spark, frames, *_):
+        staged.append(frames)
+        if len(staged) == topics:
+            raise Stop
+    monkeypatch.setattr(jobs, "ChunkedTopics", stage)
+    with pytest.raises(Stop):
+        job(spark, tables)
+    assert len(staged) == topics and layers == []
+
+
 def test_the_layer_of_the_product_statistics_has_the_columns_that_are_read(spark, tables, layers):
     events = warehouse.Warehouse(spark, tables).product_events
     assert layers == [("dwm_order_wide", list(warehouse.PRODUCT_ORDER_COLUMNS))]
     assert [(r.sku_id, r.order_id, r.order_sku_num) for r in events.where("order_id is not null").orderBy("order_id").collect()] == [(6, 1, 5), (6, 2, 1)]
+
+
+def test_a_chunk_is_read_by_plain_bounds(spark, capsys):
+    rows = spark.createDataFrame([(i, None if i == 3 else i) for i in range(10)], "id long, at long")
+    topics = ChunkedTopics(spark, {"t": (rows, F.col("at"))}, 4, "bounds")
+    got = [sorted(r.id for r in topics.chunk("t", i).collect()) for i in range(4)]
+    assert got == [[0, 1, 2, 3], [4, 5], [6, 7, 8], [9]]
+    topics.chunk("t", 2).explain()
+    assert "GreaterThanOrEqual(__at," in capsys.readouterr().out
+
+
+def test_names_of_a_rule_are_split_once_a_rule(spark, capsys):
+    env = spark.createDataFrame([(1, "t", "insert", {"a": "1", "b": "2"}), (2, "u", "insert", {"a": "3"})],
+                                "offset long, tableName string, type string, after map<string,string>")
+    rules = spark.createDataFrame([(1, "t", "insert", "kafka", "x", "b, a", None, None), (2, "u", "insert", "kafka", "y", None, None, None)],
+                                  "rule_seq long, sourceTable string, operateType string, sinkType string, sinkTable string, sinkColumns string, "
+                                  "sinkPk string, sinkExtend string")
+    routed = cdc.route(env, cdc.latest_rules(rules))
+    assert {r.offset: r.data for r in routed.collect()} == {1: {"b": "2"}, 2: {}}
+    routed.explain()
+    plan = capsys.readouterr().out
+    assert "map_filter(" in plan and "split(" not in "".join(x.split("map_filter(")[1] for x in plan.splitlines() if "map_filter(" in x)
+
+
+def test_images_without_a_date_field_are_left_as_they_are(spark):
+    raw = spark.createDataFrame([(1, "s.d.t", "c", None, {"id": "1", "n": None}), (2, "s.d.t", "u", {"birthday": None}, {"birthday": "x", "n": "1"})],
+                                "offset long, topic string, op string, before map<string,string>, after map<string,string>")
+    got = {r.offset: (r.before, r.after) for r in cdc.normalize_changes(raw).collect()}
+    assert got == {1: ({}, {"id": "1", "n": None}), 2: ({"birthday": None}, {"birthday": None, "n": "1"})}
