@@ -36,7 +36,7 @@ def layers(monkeypatch):
     return seen
 
 
-@pytest.mark.parametrize("job, topics", [(jobs.route_recovered_stream, 1)])
+@pytest.mark.parametrize("job, topics", [(jobs.route_recovered_stream, 1), (jobs.dim_freshness_stream, 2)])
 def test_inputs_that_are_staged_are_not_written_as_layers_too(spark, tables, layers, monkeypatch, job, topics):
     staged = []
 
