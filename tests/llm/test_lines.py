@@ -122,3 +122,29 @@ def test_unspaced_near_copies_match_brute_force_over_every_position(spark):
     want = {i: find(i) == i for i in range(len(texts))}
     got = {x.doc_id: x.kept for x in lines.line_components(table(spark, list(enumerate(texts)))).collect()}
     assert got == want and sum(want.values()) == 72
+
+
+def test_a_line_of_ascii_is_one_piece_and_all_pieces_hold_every_shingle_once(spark):
+    cases = ["", "short", "eight ch", "plain words " * 90, "café words " * 90, "中文" * 70, "x" * 200 + "\U0001f642"]
+    rows = lines.pieces(spark.createDataFrame([(i, x) for i, x in enumerate(cases)], "i int, line string"), "i").collect()
+    for i, x in enumerate(cases):
+        own = sorted((r for r in rows if r.i == i), key=lambda r: x.find(r.piece))
+        assert all(r.plain == r.piece.isascii() and bytes(r.bytes) == r.piece.encode() for r in own)
+        assert len(own) == 1 or not x.isascii()
+        assert sum(r.n for r in own) == max(1, len(x) - 7)
+
+
+def test_bytes_and_characters_give_one_signature(spark):
+    """Lines with the same set of shingles agree in every band, by whichever way their shingles were taken."""
+    r = random.Random(11)
+    block = "".join(r.choice("abcdefghij ") for _ in range(301))
+    texts = [block * 2, block * 3, "é" + block * 3]
+    table = spark.createDataFrame([(t,) for t in texts], "line string").select("line", *lines.digest(lines.F.col("line")))
+    bands = {x.node: x.bands for x in lines._bands(table).collect()}
+    of = {x.line: bands[x.d1] for x in table.collect()}
+    assert of[texts[0]] == of[texts[1]]
+    # one shingle is new: a band of four values stays with a chance of about 0.99
+    assert sum(a == b for a, b in zip(of[texts[1]], of[texts[2]])) >= 4
+    rows = spark.createDataFrame([(t,) for t in texts], "line string").select("line", lines.shingle_set(lines.F.col("line")).alias("own")).collect()
+    own = {x.line: set(x.own) for x in rows}
+    assert own[texts[0]] == own[texts[1]] < own[texts[2]] and len(own[texts[2]]) - len(own[texts[1]]) == 1

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.common import cut, digest
@@ -24,7 +24,9 @@ from tributary.llm.components import components
 
 SHINGLE_CHARS = 8
 STRETCH = 48  # shingles of a stretch
-HASHES = 12  # each gives two values: its least and its greatest
+LANES = 4  # shingles of a row
+#: Two hashes of a shingle are read from 6 bits on; each of these 12 orders gives two values, its least and its greatest.
+TURNS = (0, 11, 21, 32, 43, 53)
 #: The bands: places of the values that they hold.  Two agreeing bands in a hundred lines are chance,
 #: one of eight is missed by about 2 in 100 pairs at the threshold and by 2 in 1,000 at 0.9.
 BANDS = [tuple(range(4 * b, 4 * b + 4)) for b in range(6)] + [(0, 4, 8, 12), (16, 20, 1, 5)]
@@ -43,49 +45,73 @@ def line_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 
 def stretches(line: Column) -> Column:
-    """Pieces of a line whose shingles together are those of the line."""
+    """Pieces of a line whose shingles together are those of the line.  A line of ASCII alone is one piece."""
     pattern = rf"(?s)(?=(.{{{SHINGLE_CHARS},{STRETCH + SHINGLE_CHARS - 1}}})).{{1,{STRETCH}}}"
-    return F.when(F.length(line) < SHINGLE_CHARS, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)))
+    whole = (F.length(line) < SHINGLE_CHARS) | (F.length(line) == F.octet_length(line))
+    return F.when(whole, F.array(line)).otherwise(F.regexp_extract_all(line, F.lit(pattern), F.lit(1)))
 
 
-def _starts(stretch: Column) -> Column:
-    return F.sequence(F.lit(1), F.greatest(F.length(stretch) - (SHINGLE_CHARS - 1), F.lit(1)))
+def pieces(lines: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep``, piece, bytes, plain and n: a row for each piece of a line, with its bytes, whether they are
+    its characters, and its number of shingles."""
+    rows = lines.select(*keep, F.explode(stretches(F.col("line"))).alias("piece")).withColumn("bytes", F.col("piece").cast("binary"))
+    return rows.withColumns({"plain": F.length("piece") == F.length("bytes"),
+                             "n": F.greatest(F.length("piece") - (SHINGLE_CHARS - 1), F.lit(1))})
 
 
 def shingle_set(line: Column) -> Column:
     """The distinct shingles of a line, as 32-bit hashes: two shingles of a pair of lines fall together in about 1 of
     100,000 pairs, which moves a similarity by less than one shingle; 64 bits would double what the comparison moves."""
-    return F.array_distinct(F.flatten(F.transform(stretches(line), lambda s: F.transform(
-        _starts(s), lambda i: F.hash(F.substr(s, i, F.lit(SHINGLE_CHARS)))))))
+    def of(s: Column) -> Column:
+        last = F.greatest(F.length(s) - (SHINGLE_CHARS - 1), F.lit(1))
+        return F.transform(F.sequence(F.lit(1), last), lambda i: F.hash(F.substr(s, i, F.lit(SHINGLE_CHARS))))
+
+    # a lambda's argument is the bytes once made; a cast in the inner lambda would copy the line for every shingle
+    pieces = F.when(F.length(line) == F.octet_length(line), F.flatten(F.transform(F.array(line.cast("binary")), of)))
+    return F.array_distinct(pieces.otherwise(F.flatten(F.transform(stretches(line), of))))
+
+
+def _turned(x: str, by: int) -> Column:
+    """The bits of a 64-bit number, turned: its order is then that of other bits."""
+    return F.shiftleft(x, by).bitwiseOR(F.shiftrightunsigned(x, 64 - by)) if by else F.col(x)
 
 
 def _bands(lines: DataFrame) -> DataFrame:
-    """(node, bands) of every distinct line; node is d1.  Equal lines are added up before the shuffle."""
-    parts = lines.select("d1", "d2", F.explode(stretches(F.col("line"))).alias("s"))
-    parts = parts.select("d1", "d2", "s", F.explode(_starts(F.col("s"))).alias("i")).select(
-        "d1", "d2", F.xxhash64(F.substr("s", "i", F.lit(SHINGLE_CHARS))).alias("x"))
-    values = parts.select("d1", "d2", *(F.xxhash64("x", F.lit(j)).alias(f"h{j}") for j in range(HASHES)))
-    least = values.groupBy("d1").agg(
+    """(node, bands) of every distinct line; node is d1.  Equal lines are added up before the shuffle.
+
+    ``LANES`` shingles lie in a row, so that a row updates each value once for all of them; the last row of a piece
+    repeats its last shingle.  A shingle has two 64-bit hashes, each turned by ``TURNS``.
+    """
+    lanes = range(LANES)
+    rows = pieces(lines, "d1", "d2").select("*", F.explode(F.sequence(F.lit(1), F.col("n"), F.lit(LANES))).alias("i"))
+    rows = rows.withColumn("near", F.when(~F.col("plain"), F.substr("piece", "i", F.lit(LANES + SHINGLE_CHARS - 1))))
+    at = [F.least(F.lit(k), F.col("n") - F.col("i")) for k in lanes]
+    rows = rows.select("d1", "d2", *(F.xxhash64(
+        F.when(F.col("plain"), F.substring("bytes", F.col("i") + at[k], F.lit(SHINGLE_CHARS)))
+        .otherwise(F.substr("near", at[k] + 1, F.lit(SHINGLE_CHARS)).cast("binary"))).alias(f"x{k}") for k in lanes))
+    rows = rows.select("*", *(F.xxhash64(f"x{k}").alias(f"y{k}") for k in lanes))
+    values = [[_turned(f"{h}{k}", by) for k in lanes] for h in "xy" for by in TURNS]
+    least = rows.groupBy("d1").agg(
         F.min("d2").alias("d2"), F.max("d2").alias("other"),
-        *(m for j in range(HASHES) for m in (F.min(f"h{j}").alias(f"m{2 * j}"), F.max(f"h{j}").alias(f"m{2 * j + 1}"))))
+        *(m for j, v in enumerate(values) for m in (F.min(F.least(*v)).alias(f"m{2 * j}"), F.max(F.greatest(*v)).alias(f"m{2 * j + 1}"))))
     # two lines of one d1 (a collision of hashes) are left to the exact comparison of (d1, d2)
     return least.where("d2 = other").select(F.col("d1").alias("node"), F.array(
         *(F.xxhash64(F.lit(b), *(F.col(f"m{i}") for i in of)) for b, of in enumerate(BANDS))).alias("bands"))
 
 
 def _similar(a: Column, b: Column) -> Column:
-    """Intersection >= ``THRESHOLD`` of the union, in whole numbers; sizes that rule it out come first."""
+    """Intersection >= ``THRESHOLD`` of the union, in whole numbers; sizes that rule it out come first.  The sizes of two
+    sets add up to union and intersection; the union alone is made, by one hash set, where an intersection takes two."""
     percent = round(100 * THRESHOLD)
     near = (100 * F.size(a) >= percent * F.size(b)) & (100 * F.size(b) >= percent * F.size(a))
-    return near & ((100 + percent) * F.size(F.array_intersect(a, b)) >= percent * (F.size(a) + F.size(b)))
+    return near & (100 * (F.size(a) + F.size(b)) >= (100 + percent) * F.size(F.array_union(a, b)))
 
 
 def _links(lines: DataFrame) -> DataFrame:
     """(a, b): confirmed pairs of distinct lines; all of the small buckets', a connecting part of the others'."""
     classes = cut(_bands(lines), "bands")
     posted = classes.select("node", F.posexplode("bands").alias("band_no", "band"))
-    shared = posted.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = cut(posted.join(shared.hint("merge"), "band"), "buckets")
+    members = cut(posted.withColumn("n", F.count("*").over(Window.partitionBy("band"))).where("n > 1"), "buckets")
     small = members.where(F.col("n") <= SMALL).select("band", "node")
     pairs = small.alias("x").join(small.alias("y"), "band").where("x.node < y.node").select(
         F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
@@ -95,7 +121,7 @@ def _links(lines: DataFrame) -> DataFrame:
     once = lines.select(F.col("d1").alias("node"), "line").join(wanted.hint("shuffle_hash"), "node").dropDuplicates(["node"])
     sets = cut(once.select("node", shingle_set(F.col("line")).alias("own")), "sets")
     left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
-    links = cut(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").where(_similar(F.col("left"), F.col("right"))).select("a", "b"), "links")
+    links = cut(pairs.join(left.hint("shuffle_hash"), "a").join(right.hint("shuffle_hash"), "b").where(_similar(F.col("left"), F.col("right"))).select("a", "b"), "links")
     if large.isEmpty():
         return links
     return _large_links(large, sets, classes, links)
@@ -110,10 +136,10 @@ def _large_links(large: DataFrame, sets: DataFrame, classes: DataFrame, links: D
     So every pair that shares a bucket is compared, or is linked already, and a crowd of copies makes
     no rows by its square.
     """
-    rows = large.join(sets.hint("merge"), "node").join(classes.hint("merge"), "node")
-    hubs = large.groupBy("band").agg(F.min("node").alias("node")).join(sets.hint("merge"), "node").select(
+    rows = classes.join(large.hint("shuffle_hash"), "node").join(sets.hint("shuffle_hash"), "node")
+    hubs = sets.join(large.groupBy("band").agg(F.min("node").alias("node")).hint("shuffle_hash"), "node").select(
         "band", F.col("node").alias("hub"), F.col("own").alias("hub_own"))
-    rows = rows.join(hubs.hint("merge"), "band").withColumn("core", _similar(F.col("own"), F.col("hub_own"))).drop("hub_own")
+    rows = rows.join(hubs.hint("shuffle_hash"), "band").withColumn("core", _similar(F.col("own"), F.col("hub_own"))).drop("hub_own")
     rows = cut(rows.withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
                .withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), "blocks").cast("int")), "members")
     core, rest = rows.where("core"), rows.where("not core")
@@ -166,7 +192,7 @@ def line_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     places = cut(lines.select(*row), "places")
     label = components(_links(lines)).select(F.col("node").alias("d1"), "component")
     # the class of a line that has no link is (d1, d2)
-    marked = places.join(label.hint("merge"), "d1", "left").select(
+    marked = places.join(label.hint("shuffle_hash"), "d1", "left").select(
         *row, F.coalesce("component", "d1").alias("c1"), F.when(F.col("component").isNull(), F.col("d2")).otherwise(0).alias("c2"),
         _place().alias("place"))
     # only classes of several lines lose any; written, so that the join back has an exchange of its own, which
@@ -174,7 +200,7 @@ def line_components(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     first = marked.groupBy("c1", "c2").agg(F.min("place").alias("first"), F.count("*").alias("n"))
     first = cut(first.where("n > 1").select("c1", "c2", "first"), "first-lines")
     kept = F.col("first").isNull() | (F.col("place") == F.col("first"))
-    return marked.join(first, ["c1", "c2"], "left").select(*row, kept.alias("kept"))
+    return marked.join(first.hint("shuffle_hash"), ["c1", "c2"], "left").select(*row, kept.alias("kept"))
 
 
 def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
