@@ -32,6 +32,11 @@ def sink_columns(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cols)
 
 
+def olap_rows_writer(table: str):
+    """A writer of one attempt of a micro-batch of ``table``, for a ledgered job (``sinks.ledger``)."""
+    return lambda batch, _id, folder: sink_columns(batch, table).write.mode("overwrite").parquet(folder("rows"))
+
+
 def olap_batch_writer(spark: SparkSession, table: str, path: str | None = None, jdbc: dict | None = None,
                       batch_size: int = 1000, fault: Fault | None = None):
     """A ``foreachBatch`` handler writing one micro-batch of ``table``."""
@@ -40,7 +45,7 @@ def olap_batch_writer(spark: SparkSession, table: str, path: str | None = None,
             (sink_columns(batch, table).write.format("jdbc").options(**jdbc).option("dbtable", table)
                 .option("batchsize", batch_size).mode("append").save())
         return append
-    return ledgered(spark, path, lambda batch, _id, folder: sink_columns(batch, table).write.mode("overwrite").parquet(folder("rows")), fault)
+    return ledgered(spark, path, olap_rows_writer(table), fault)
 
 
 def read_olap(spark: SparkSession, table: str, path: str, schema) -> DataFrame:
